@@ -80,46 +80,6 @@ def latest_covering(
     return found.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
 
 
-def interval_left_join(
-    points: DataFrame,
-    periods: DataFrame,
-    keys,
-    at: str,
-    start: str,
-    end: str,
-    point_id,
-    *,
-    hot_periods: int = HOT_PERIODS,
-) -> DataFrame:
-    """Left join of every point to all periods of its key that hold ``at``."""
-    keys, point_id = names(keys), names(point_id)
-    periods = _usable(periods, keys, start, end)
-    added = [c for c in periods.columns if c not in keys]
-    hot = _hot_keys(periods, keys, hot_periods)
-
-    cold_points = points.join(hot, keys, "left_anti").alias("p")
-    cold_periods = periods.join(hot, keys, "left_anti").alias("v")
-    condition = F.col(start) <= F.col(at)
-    condition = condition & (F.col(end) >= F.col(at))
-    for key in keys:
-        condition = condition & (F.col(f"p.{key}") == F.col(f"v.{key}"))
-    cold = cold_points.join(cold_periods, condition, "left").select("p.*", *added)
-
-    hot_points = points.join(hot, keys, "left_semi")
-    identity = hot_points.select(*dict.fromkeys([*keys, *point_id, at]))
-    tiles = _tiled(periods.join(hot, keys, "left_semi"), start, end)
-    matched = (
-        _located(identity, at)
-        .join(tiles, [*keys, *_CELL])
-        .select(*[F.col(c).alias(f"_id_{c}") for c in point_id], *added)
-    )
-    same = F.lit(True)
-    for c in point_id:
-        same = same & F.col(c).eqNullSafe(F.col(f"_id_{c}"))
-    warm = hot_points.join(matched, same, "left").select(*points.columns, *added)
-    return cold.unionByName(warm)
-
-
 def latest_valid(
     versions: DataFrame,
     keys,
