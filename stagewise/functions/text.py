@@ -28,6 +28,9 @@ PREFIX_INTENTS = {
 PREFIX_SEPARATORS = "：: "
 UNREADABLE = {"understanding": "AI 返回格式异常，请重试", "sql": ""}
 
+# What valid JSON can look like from outside; parsing anything else only raises errors.
+_JSON_SHAPE = r'(?s)^(?:\{.*\}|\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|false|null)$'
+
 ANSWER_SCHEMA = T.StructType(
     [
         T.StructField("understanding", T.StringType()),
@@ -81,17 +84,20 @@ def tag_intent(df: DataFrame, text: str) -> DataFrame:
 
 def parse_tolerant(c: str | Column, schema: T.StructType = ANSWER_SCHEMA, default: dict = UNREADABLE) -> Column:
     """JSON record from free text: the whole text, else the first fenced block, else
-    everything between the outermost braces; ``default`` when none of them parses."""
-    whole = strip(c)
-    fenced = strip(F.regexp_extract(whole, r"(?s)```(?:json)?\s*\n?(.*?)\n?```", 1))
-    braces = F.regexp_extract(whole, r"(?s)\{.*\}", 0)
-    readable = F.coalesce(
-        *[F.when(F.try_parse_json(t).isNotNull(), t) for t in (whole, fenced, braces)]
-    )
-    fallback = F.struct(
-        *[F.lit(default.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
-    return F.when(readable.isNotNull(), F.from_json(readable, schema)).otherwise(fallback)
+    everything between the outermost braces; ``default`` when none of them parses.
+    Give it a column of its own and take fields from there, so that it is parsed once."""
+
+    def candidates(whole: Column) -> Column:
+        fenced = strip(F.regexp_extract(whole, r"(?s)```(?:json)?\s*\n?(.*?)\n?```", 1))
+        return F.array(whole, fenced, F.regexp_extract(whole, r"(?s)\{.*\}", 0))
+
+    def is_json(text: Column) -> Column:
+        return text.rlike(_JSON_SHAPE) & F.try_parse_json(text).isNotNull()
+
+    # A one-element array names the stripped text, so that it is computed once.
+    found = F.transform(F.array(strip(c)), lambda w: F.get(F.filter(candidates(w), is_json), F.lit(0)))
+    fallback = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in default.items()]))
+    return F.from_json(F.coalesce(F.get(found, F.lit(0)), fallback), schema)
 
 
 def event_type_of(event_key: str | Column) -> Column:

@@ -112,42 +112,36 @@ def _micros(c: str | Column) -> Column:
     return F.unix_micros(col(c).cast("timestamp")) - F.lit(_YEAR_ONE)
 
 
-def _cell(level: int, cell: Column) -> Column:
-    return F.struct(F.lit(level).alias("_level"), cell.alias("_cell"))
-
-
-def _at_level(level: int, cells: Column) -> Column:
-    return F.transform(cells, lambda cell: _cell(level, cell))
-
-
 def _located(points: DataFrame, at: str) -> DataFrame:
     """One row per point and cell size, with the cell the point lies in."""
-    micros = _micros(at)
-    cells = [_cell(level, F.shiftright(micros, _BITS * level)) for level in range(_LEVELS)]
-    return points.withColumn("_in", F.explode(F.array(*cells))).select(
-        *points.columns, "_in._level", "_in._cell"
-    )
-
-
-def _span(lo: Column, hi: Column) -> Column:
-    """Array of the integers in ``[lo, hi)``."""
-    return F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<bigint>"))
+    cells = f"""
+      transform(sequence(0, {_LEVELS - 1}), n -> struct(n AS _level, shiftright(_micros, {_BITS} * n) AS _cell))"""
+    located = points.withColumn("_micros", _micros(at)).withColumn("_in", F.explode(F.expr(cells)))
+    return located.select(*points.columns, "_in._level", "_in._cell")
 
 
 def _tiled(periods: DataFrame, start: str, end: str) -> DataFrame:
     """One row per cell that tiles a period: at every size, the cells left over at
     both ends once the next larger size has taken what it can."""
-    radix = 1 << _BITS
-    frame = periods.withColumns({"_lo": _micros(start), "_hi": _micros(end) + 1})
-    tiles = []
-    for level in range(_LEVELS):
-        lo = F.shiftright(F.col("_lo") + ((1 << (_BITS * level)) - 1), _BITS * level)
-        hi = F.shiftright(F.col("_hi"), _BITS * level)
-        up = F.shiftright(lo + (radix - 1), _BITS) * radix
-        down = F.shiftright(hi, _BITS) * radix
-        larger = (up < down) & F.lit(level < _LEVELS - 1)
-        cells = F.when(larger, F.concat(_span(lo, up), _span(down, hi))).otherwise(_span(lo, hi))
-        tiles.append(_at_level(level, cells))
-    return frame.select(*periods.columns, F.explode(F.concat(*tiles)).alias("_tile")).select(
-        *periods.columns, "_tile._level", "_tile._cell"
-    )
+
+    def numbers(lo: str, hi: str) -> str:
+        return f"if({lo} < {hi}, sequence({lo}, {hi} - 1), CAST(array() AS array<bigint>))"
+
+    # The cells of size n inside the period are lo..hi-1; those from up to down-1 fill
+    # larger cells, if there are any.
+    inside = f"""
+      transform(sequence(0, {_LEVELS - 1}), n -> struct(n,
+        shiftright(_lo + shiftleft(1L, {_BITS} * n) - 1, {_BITS} * n) AS lo, shiftright(_hi, {_BITS} * n) AS hi))"""
+    split = f"""
+      transform({inside}, s -> struct(s.n, s.lo, s.hi,
+        shiftleft(shiftright(s.lo + {(1 << _BITS) - 1}, {_BITS}), {_BITS}) AS up,
+        shiftleft(shiftright(s.hi, {_BITS}), {_BITS}) AS down))"""
+    left_over = f"""
+      transform({split}, s -> struct(s.n, s.lo, s.hi,
+        if(s.up < s.down, s.up, s.hi) AS up, if(s.up < s.down, s.down, s.hi) AS down))"""
+    tiles = f"""
+      flatten(transform({left_over}, s -> transform(
+        concat({numbers('s.lo', 's.up')}, {numbers('s.down', 's.hi')}), c -> struct(s.n AS _level, c AS _cell))))"""
+    bounded = periods.withColumns({"_lo": _micros(start), "_hi": _micros(end) + 1})
+    tiled = bounded.select(*periods.columns, F.explode(F.expr(tiles)).alias("_tile"))
+    return tiled.select(*periods.columns, "_tile._level", "_tile._cell")

@@ -67,15 +67,27 @@ def suffix_sum(
 
 
 def timeline(
-    df: DataFrame, keys, ts: str, fields: Iterable[str], *, piece: str = "day", out: str = "timeline"
+    df: DataFrame,
+    keys,
+    ts: str,
+    fields: Iterable[str],
+    *,
+    piece: str = "day",
+    entries: int = 10_000,
+    out: str = "timeline",
 ) -> DataFrame:
-    """Time-ordered array of ``(ts, *fields)`` structs per key and piece of the time
-    axis (columns: keys, ``piece_start``, ``out``). Arrays are cut by time because
-    a key's whole history has no size bound; the pieces of a key, read in order,
-    are its timeline."""
-    keys = names(keys)
-    entries = F.array_sort(F.collect_list(F.struct(ts, *fields)))
-    return df.groupBy(*keys, F.date_trunc(piece, ts).alias("piece_start")).agg(entries.alias(out))
+    """Time-ordered arrays of ``(ts, *fields)`` structs per key. A key's whole history
+    has no size bound, so it comes as numbered parts: one per ``piece`` of the time
+    axis, and more than one where a piece holds over ``entries`` entries. Read by
+    ``piece_start`` and ``part``, the arrays of a key are its timeline. Columns: keys,
+    ``piece_start``, ``part``, ``out``."""
+    keys, fields = names(keys), list(fields)
+    pieces = df.withColumn("piece_start", F.date_trunc(piece, ts))
+    ordered = Window.partitionBy(*keys, "piece_start").orderBy(ts, *fields)
+    numbered = pieces.withColumn("part", F.floor((F.row_number().over(ordered) - 1) / entries))
+    # Rows already sit with their key and piece: grouping by part as well moves nothing.
+    collected = F.array_sort(F.collect_list(F.struct(ts, *fields)))
+    return numbered.groupBy(*keys, "piece_start", "part").agg(collected.alias(out))
 
 
 def first_after(

@@ -186,6 +186,28 @@ def with_team(exposed: DataFrame, periods: DataFrame, keys: list[str], point_id,
     )
 
 
+def daily_exposures(
+    tables: FunnelTables, start: int, end: int, hot_periods: int = HOT_PERIODS
+) -> DataFrame:
+    """First exposures of every day with the team of a period that holds on that day;
+    only one attribution of the school periods counts."""
+    school = tables.school_periods.where(F.col("attribution") == SCHOOL_ATTRIBUTION)
+    periods = _periods(tables, school, start, end).withColumn(
+        "day", F.explode(_days_covered("start_time", "end_time", start, end))
+    )
+    exposed = first_exposures(tables.events, start, end, per_day=True)
+    return with_team(exposed, periods, ["u_user", "day"], ["day", *ENTRANCE], hot_periods)
+
+
+def monthly_exposures(
+    tables: FunnelTables, start: int, end: int, hot_periods: int = HOT_PERIODS
+) -> DataFrame:
+    """First exposures of the whole month with the team of any period that touches it."""
+    periods = _periods(tables, tables.school_periods, start, end)
+    exposed = first_exposures(tables.events, start, end, per_day=False)
+    return with_team(exposed, periods, ["u_user"], ENTRANCE, hot_periods)
+
+
 def _days_covered(start: str, end: str, lo: int, hi: int) -> Column:
     """Days of ``[lo, hi]`` that the interval touches, as an int array."""
     first = F.greatest(F.to_date(start), F.lit(day_to_date(lo)))
@@ -370,12 +392,7 @@ def daily_funnel(
 ) -> DataFrame:
     """DAILY_COLUMNS plus ``day``, for one day or for every day of ``[start, end]``."""
     end = start if end is None else end
-    school = tables.school_periods.where(F.col("attribution") == SCHOOL_ATTRIBUTION)
-    periods = _periods(tables, school, start, end).withColumn(
-        "day", F.explode(_days_covered("start_time", "end_time", start, end))
-    )
-    exposed = first_exposures(tables.events, start, end, per_day=True)
-    exposed = with_team(exposed, periods, ["u_user", "day"], ["day", *ENTRANCE], hot_periods)
+    exposed = daily_exposures(tables, start, end, hot_periods)
     clicked = distinct_keys(clicks(tables.events, start, end), ["day", *ENTRANCE])
     return _assemble(
         exposed, clicked, daily_contacts(tables, start, end), daily_users(tables, start, end),
@@ -386,9 +403,7 @@ def daily_funnel(
 def monthly_funnel(tables: FunnelTables, month: int, *, hot_periods: int = HOT_PERIODS) -> DataFrame:
     """MONTHLY_COLUMNS for a yyyyMM month."""
     start, end = month_bounds(month)
-    periods = _periods(tables, tables.school_periods, start, end)
-    exposed = first_exposures(tables.events, start, end, per_day=False)
-    exposed = with_team(exposed, periods, ["u_user"], ENTRANCE, hot_periods)
+    exposed = monthly_exposures(tables, start, end, hot_periods)
     clicked = distinct_keys(clicks(tables.events, start, end), ENTRANCE)
     return _assemble(
         exposed, clicked, monthly_contacts(tables, start, end), monthly_users(tables, start, end),

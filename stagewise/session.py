@@ -1,8 +1,5 @@
-"""Session set-up.
-
-Only public Spark settings; everything below is a runtime SQL setting, so
-:func:`apply_settings` can also be used on a session somebody else started.
-"""
+"""Session set-up. ``SETTINGS`` are runtime SQL settings, so :func:`apply_settings`
+can also be used on a session somebody else started."""
 
 from __future__ import annotations
 
@@ -24,6 +21,10 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
 }
 
+# Can only be set when a session starts. Call sites for error messages cost a round
+# trip per column expression, which adds up in plans of this size.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
@@ -35,6 +36,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def build_session(
     app_name: str = "stagewise",
     *,
+    master: str | None = None,
     hive: bool = False,
     dynamic_allocation: bool = False,
     extra: dict[str, str] | None = None,
@@ -42,8 +44,10 @@ def build_session(
     """Session for the nightly jobs. ``hive`` and ``dynamic_allocation`` are
     deployment choices: both need services that a local run does not have."""
     builder = SparkSession.builder.appName(app_name)
-    for name, value in {**SETTINGS, **(extra or {})}.items():
+    for name, value in {**SETTINGS, **START_SETTINGS, **(extra or {})}.items():
         builder = builder.config(name, value)
+    if master is not None:
+        builder = builder.master(master)
     if dynamic_allocation:
         builder = builder.config("spark.dynamicAllocation.enabled", "true")
         builder = builder.config("spark.dynamicAllocation.shuffleTracking.enabled", "true")

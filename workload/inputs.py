@@ -158,43 +158,60 @@ PLAIN_TABLES = {
 GIVEN = ("region", "nation", "customer", "supplier", "events")
 
 
-def table_sql(name: str, dialect: dict[str, str], given: dict[str, str], bounds: str = "") -> str:
-    words = {**dialect, **given}
+def table_sql(name: str, words: dict[str, str], bounds: str = "") -> str:
     if name in PLAIN_TABLES:
-        return PLAIN_TABLES[name].format(**words)
+        return PLAIN_TABLES[name].format_map(words)
     kinds, select = TABLES[name]
-    keyed = _KEYED.format(day_of_ts=DAY_OF_TS, kinds=kinds, bounds=bounds, **given)
-    return f"WITH keyed AS ({keyed}) {select.format(**words)}"
+    keyed = _KEYED.replace("{day_of_ts}", DAY_OF_TS).replace("{kinds}", kinds).replace("{bounds}", bounds)
+    return f"WITH keyed AS ({keyed.format_map(words)}) {select.format_map(words)}"
 
 
-def spark_table(spark: SparkSession, sf_dir: str, name: str, days: tuple[int, int] | None = None) -> DataFrame:
-    """``days`` bounds the time column of the files, as a day partition would."""
-    given = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in GIVEN}
-    bounds = ""
-    if days is not None:
-        lo, hi = (f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}" for d in days)
-        bounds = f"AND ts >= '{lo} 00:00:00' AND ts <= '{hi} 23:59:59.999999'"
-    return spark.sql(table_sql(name, SPARK, given, bounds))
+def checker_tables(*names: str) -> str:
+    """Derived tables as a WITH list (without the word WITH)."""
+    words = {**CHECKER, **{t: t for t in GIVEN}}
+    return ",\n".join(f"{name} AS ({table_sql(name, words)})" for name in names)
 
 
-def checker_tables(*names: str) -> str:
-    """The same tables as a WITH list (without the word WITH)."""
-    given = {t: t for t in GIVEN}
-    return ",\n".join(f"{name} AS ({table_sql(name, CHECKER, given)})" for name in names)
+class _Words(dict):
+    """Spark's words; a given table becomes a view over its files when it is first named."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(SPARK)
+        self.spark, self.sf_dir = spark, sf_dir
 
-def funnel_tables(spark: SparkSession, sf_dir: str, days: tuple[int, int]) -> FunnelTables:
-    def load(name, bounded=False):
-        return spark_table(spark, sf_dir, name, days if bounded else None)
+    def __missing__(self, table: str) -> str:
+        if table not in GIVEN:
+            raise KeyError(table)
+        self[table] = f"given_{table}"
+        self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").createOrReplaceTempView(self[table])
+        return self[table]
+
+
+class Inputs:
+    """Derived tables as DataFrames."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.words = spark, _Words(spark, sf_dir)
+
+    def load(self, name: str, days: tuple[int, int] | None = None) -> DataFrame:
+        """``days`` bounds the time column of the files, as a day partition would."""
+        bounds = ""
+        if days is not None:
+            lo, hi = (f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}" for d in days)
+            bounds = f"AND ts >= '{lo} 00:00:00' AND ts <= '{hi} 23:59:59.999999'"
+        return self.spark.sql(table_sql(name, self.words, bounds))
+
+
+def funnel_tables(spark: SparkSession, sf_dir: str, days: tuple[int, int]) -> FunnelTables:
+    load = Inputs(spark, sf_dir).load
     return FunnelTables(
-        events=load("frontend_events", True),
+        events=load("frontend_events", days),
         contacts=load("contacts"),
         clues=load("clues"),
         service_periods=load("service_periods"),
         teams=load("teams"),
         school_periods=load("school_periods"),
-        users=load("activity", True),
+        users=load("activity", days),
         grades=load("grades"),
         orders=load("paid_orders"),
         channels=load("channels"),
@@ -202,9 +219,7 @@ def funnel_tables(spark: SparkSession, sf_dir: str, days: tuple[int, int]) -> Fu
 
 
 def paid_pool_tables(spark: SparkSession, sf_dir: str) -> PaidPoolTables:
-    def load(name):
-        return spark_table(spark, sf_dir, name)
-
+    load = Inputs(spark, sf_dir).load
     return PaidPoolTables(
         orders=load("paid_orders"),
         pay_status=load("pay_status"),

@@ -560,7 +560,7 @@ SELECT r.*, o.cnt AS paid_current_month_order_cnt, round(o.amount, 2) AS paid_cu
 FROM reached r LEFT JOIN month_paid o ON r.pull_wechat_user = o.user_id"""),
     "team_at_exposure": _daily_funnel(
         FIRST_DAY, LAST_DAY,
-        "SELECT day, before_get_entrance_team_name AS team, count(*) AS entrances FROM funnel GROUP BY ALL",
+        "SELECT day, u_user, scene, task_id, operate_id, team FROM teamed",
     ),
     "daily_users": _with(["paid_orders", "contacts", "clues", "activity", "grades", "channels"], f""",
 {_daily_parts(FIRST_DAY, LAST_DAY)}

@@ -85,7 +85,7 @@ def month_to_date_scan(spark, sf_dir):
 
 @query
 def eligible_orders(spark, sf_dir):
-    orders = inputs.spark_table(spark, sf_dir, "paid_orders")
+    orders = inputs.Inputs(spark, sf_dir).load("paid_orders")
     kept = scans.eligible_orders(orders).where(within_days("pay_time", *MONTH_DAYS))
     team = scans.eligible_team_orders(orders, *MONTH_DAYS).select("order_id", F.lit(1).alias("team"))
     return kept.join(team, "order_id", "left").select(
@@ -153,7 +153,7 @@ def latest_dozen_events(spark, sf_dir):
 # --- entrances ----------------------------------------------------------------
 
 def _frontend(spark, sf_dir):
-    return inputs.spark_table(spark, sf_dir, "frontend_events")
+    return inputs.Inputs(spark, sf_dir).load("frontend_events")
 
 
 @query
@@ -170,8 +170,8 @@ def click_union(spark, sf_dir):
 
 @query
 def period_union(spark, sf_dir):
-    served = inputs.spark_table(spark, sf_dir, "service_periods")
-    school = inputs.spark_table(spark, sf_dir, "school_periods")
+    served = inputs.Inputs(spark, sf_dir).load("service_periods")
+    school = inputs.Inputs(spark, sf_dir).load("school_periods")
     hour = F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("start_hour")
     return joins.union_distinct(
         served.select("user_id", F.col("team_id").cast("string").alias("team"), hour),
@@ -194,7 +194,7 @@ def explode_list(spark, sf_dir):
 def interval_at_event(spark, sf_dir):
     clicked = table(spark, sf_dir, "events").where(F.col("event_type") == "click")
     clicked = clicked.select("event_id", F.col("user_id").cast("string").alias("user_id"), "ts")
-    periods = inputs.spark_table(spark, sf_dir, "service_periods")
+    periods = inputs.Inputs(spark, sf_dir).load("service_periods")
     found = intervals.latest_covering(
         clicked, periods, "user_id", "ts", "start_time", "end_time", ["team_id"], "event_id"
     )
@@ -203,8 +203,8 @@ def interval_at_event(spark, sf_dir):
 
 @query
 def valid_on_date(spark, sf_dir):
-    periods = inputs.spark_table(spark, sf_dir, "service_periods")
-    teams = inputs.spark_table(spark, sf_dir, "teams").withColumnsRenamed({"id": "team_id", "name": "team"})
+    periods = inputs.Inputs(spark, sf_dir).load("service_periods")
+    teams = inputs.Inputs(spark, sf_dir).load("teams").withColumnsRenamed({"id": "team_id", "name": "team"})
     day = F.lit(day_to_date(DAY))
     valid = periods.where(valid_on(F.to_date("start_time"), F.to_date("end_time"), day))
     return valid.join(teams, "team_id").groupBy("team").agg(F.count(F.lit(1)).alias("periods"))
@@ -212,7 +212,7 @@ def valid_on_date(spark, sf_dir):
 
 @query
 def overlaps_month(spark, sf_dir):
-    channels = inputs.spark_table(spark, sf_dir, "channels")
+    channels = inputs.Inputs(spark, sf_dir).load("channels")
     lo, hi = (F.lit(day_to_date(d)) for d in MONTH_DAYS)
     kept = channels.where(overlaps(F.to_date("effective_time"), F.to_date("invalid_time"), lo, hi))
     return kept.select("qr_code_id", "scene_name", "type_name")
@@ -282,14 +282,14 @@ def first_pay_after(spark, sf_dir):
 
 @query
 def conversion_windows(spark, sf_dir):
-    orders = scans.eligible_orders(inputs.spark_table(spark, sf_dir, "paid_orders"))
+    orders = scans.eligible_orders(inputs.Inputs(spark, sf_dir).load("paid_orders"))
     paid = convert.conversions(orders, "user_id", "pay_time", "amount", *MONTH_DAYS, funnel.DAILY_WINDOWS)
     return cents(paid, *[c for c in paid.columns if c.endswith("_amount")])
 
 
 @query
 def conversion_month(spark, sf_dir):
-    orders = scans.eligible_orders(inputs.spark_table(spark, sf_dir, "paid_orders"))
+    orders = scans.eligible_orders(inputs.Inputs(spark, sf_dir).load("paid_orders"))
     month = orders.where(within_days("pay_time", *MONTH_DAYS))
     return cents(convert.total_orders(month, "user_id", "amount", "month"), "paid_month_amount")
 
@@ -308,13 +308,13 @@ def user_rollup(spark, sf_dir):
 
 @query
 def attribute_collapse(spark, sf_dir):
-    users = inputs.spark_table(spark, sf_dir, "activity")
+    users = inputs.Inputs(spark, sf_dir).load("activity")
     return rollup.collapse_max(users, "u_user", funnel.USER_ATTRIBUTES)
 
 
 @query
 def value_set_sorted(spark, sf_dir):
-    denials = inputs.spark_table(spark, sf_dir, "denials")
+    denials = inputs.Inputs(spark, sf_dir).load("denials")
     positive = F.when(F.col("deny_index") > 0, F.col("deny_index"))
     sets = denials.groupBy("user_id", "day").agg(rollup.distinct_sorted(positive).alias("codes"))
     return sets.withColumn("codes", F.array_join(F.col("codes").cast("array<string>"), ","))
@@ -406,10 +406,8 @@ def contact_funnel_month(spark, sf_dir):
 @query
 def team_at_exposure(spark, sf_dir):
     tables = inputs.funnel_tables(spark, sf_dir, MONTH_DAYS)
-    found = funnel.daily_funnel(tables, *MONTH_DAYS)
-    return found.groupBy("day", F.col("before_get_entrance_team_name").alias("team")).agg(
-        F.count(F.lit(1)).alias("entrances")
-    )
+    found = funnel.daily_exposures(tables, *MONTH_DAYS)
+    return found.select("day", *funnel.ENTRANCE, F.col("team_name").alias("team"))
 
 
 @query
@@ -449,7 +447,7 @@ def monthly_funnel(spark, sf_dir):
 
 @query
 def month_pool(spark, sf_dir):
-    load = lambda name: inputs.spark_table(spark, sf_dir, name)
+    load = inputs.Inputs(spark, sf_dir).load
     users = pool.month_pool(load("pool_days"), load("denials"), load("allocations"), MONTH)
     codes = F.array_join(F.col("deny_index_reason_arr").cast("array<string>"), ",")
     return users.withColumn("deny_index_reason_arr", codes)
@@ -507,11 +505,8 @@ def tolerant_json(spark, sf_dir):
         .when(form == 3, F.concat(F.lit("```\n"), answer, F.lit("\n```")))
         .otherwise(F.concat(F.lit("no { answer "), F.col("event_type")))
     )
-    parsed = parse_tolerant(text)
-    return events.select(
-        "event_id", parsed["understanding"].alias("understanding"), parsed["sql"].alias("sql"),
-        parsed["filename"].alias("filename"),
-    )
+    parsed = events.select("event_id", parse_tolerant(text).alias("answer"))
+    return parsed.select("event_id", "answer.understanding", "answer.sql", "answer.filename")
 
 
 @query
