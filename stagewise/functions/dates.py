@@ -52,7 +52,7 @@ def backfill_bounds(day: int, lookback: int = BACKFILL_LOOKBACK_DAYS) -> tuple[i
 def backfill_days(spark: SparkSession, start: int, end: int) -> DataFrame:
     """One row per calendar day in ``[start, end]`` as an int column ``day``."""
     dates = F.sequence(F.lit(day_to_date(start)), F.lit(day_to_date(end)))
-    return spark.range(1).select(to_day_int(F.explode(dates)).alias("day"))
+    return spark.range(1).select(F.explode(F.transform(dates, to_day_int)).alias("day"))
 
 
 # --- column expressions -----------------------------------------------------
