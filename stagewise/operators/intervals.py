@@ -9,6 +9,9 @@ cut into cells of 1, 16, 256, ... microseconds, a period is written as the few
 largest cells that tile it, a point looks up the cells it lies in (one per size),
 and cell equality replaces the comparison. The cells of a period do not overlap, so
 a point meets each of its periods exactly once.
+
+Which way a plan needs is settled beforehand by counting the hot keys, one
+aggregation over the periods. Mostly there are none and the second way is left out.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from stagewise.functions.columns import col, names, overlaps
 from stagewise.operators.rank import latest_by
 
 HOT_PERIODS = 1000
+BROADCAST_KEYS = 100_000
 
 _BITS = 4
 _LEVELS = 15  # 2**60 microseconds from year 1: all timestamps SQL can write
@@ -47,37 +51,42 @@ def latest_covering(
     that identify a point."""
     keys, take, point_id = names(keys), list(take), names(point_id)
     periods = _usable(periods, keys, start, end).select(*keys, start, end, *take)
-    hot = _hot_keys(periods, keys, hot_periods)
+    hot = periods.groupBy(*keys).count().where(F.col("count") > hot_periods).select(*keys)
+    hot_keys = hot.count()
+    if hot_keys == 0:
+        found = _by_lookup(points, periods, keys, at, start, end, take)
+    else:
+        if hot_keys <= BROADCAST_KEYS:
+            hot = F.broadcast(hot)
+        cold = [df.join(hot, keys, "left_anti") for df in (points, periods)]
+        warm = [df.join(hot, keys, "left_semi") for df in (points, periods)]
+        found = _by_lookup(*cold, keys, at, start, end, take).unionByName(
+            _by_cells(*warm, keys, at, start, end, take, point_id)
+        )
+    return found.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
 
-    short = (
-        periods.join(hot, keys, "left_anti")
-        .groupBy(*keys)
-        .agg(F.collect_list(F.struct(start, *take, end)).alias("_periods"))
-    )
+
+def _by_lookup(points, periods, keys, at, start, end, take) -> DataFrame:
+    short = periods.groupBy(*keys).agg(F.collect_list(F.struct(start, *take, end)).alias("_periods"))
     held = F.filter("_periods", lambda p: (p[start] <= F.col(at)) & (p[end] >= F.col(at)))
-    cold = (
-        points.join(hot, keys, "left_anti")
-        .join(short, keys, "left")
-        .withColumn("_best", F.array_max(F.transform(held, lambda p: _struct(p, start, take))))
-        .drop("_periods")
-    )
+    best = F.array_max(F.transform(held, lambda p: F.struct(*[p[c].alias(c) for c in [start, *take]])))
+    return points.join(short, keys, "left").select(*points.columns, best.alias("_best"))
+
 
+def _by_cells(points, periods, keys, at, start, end, take, point_id) -> DataFrame:
     # Of the periods that cover a cell only the latest can win.
     winners = (
-        _tiled(periods.join(hot, keys, "left_semi"), start, end)
+        _tiled(periods, start, end)
         .groupBy(*keys, *_CELL)
         .agg(F.max(F.struct(start, *take)).alias("_best"))
     )
-    located = _located(points.join(hot, keys, "left_semi"), at)
-    matched = located.join(winners, [*keys, *_CELL], "left")
+    matched = _located(points, at).join(winners, [*keys, *_CELL], "left")
     others = [c for c in points.columns if c not in point_id]
-    warm = (
+    return (
         matched.groupBy(*point_id)
         .agg(*[F.first(c).alias(c) for c in others], F.max("_best").alias("_best"))
         .select(*points.columns, "_best")
     )
-    found = cold.unionByName(warm)
-    return found.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
 
 
 def latest_valid(
@@ -100,14 +109,6 @@ def _usable(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFr
     return periods.where(keep)
 
 
-def _hot_keys(periods: DataFrame, keys: list[str], hot_periods: int) -> DataFrame:
-    return periods.groupBy(*keys).count().where(F.col("count") > hot_periods).select(*keys)
-
-
-def _struct(period: Column, start: str, take: list[str]) -> Column:
-    return F.struct(*[period[c].alias(c) for c in [start, *take]])
-
-
 def _micros(c: str | Column) -> Column:
     return F.unix_micros(col(c).cast("timestamp")) - F.lit(_YEAR_ONE)
 
