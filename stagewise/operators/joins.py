@@ -23,7 +23,9 @@ def enrich(base: DataFrame, other: DataFrame, on: str | list[str] | dict[str, st
     return base.join(keyed, condition, "left").drop(*[f"_on_{left}" for left in on])
 
 
-def funnel_join(stages: list[DataFrame], keys: list[dict[str, str]]) -> DataFrame:
+def funnel_join(
+    stages: list[DataFrame], keys: list[dict[str, str]], *, split_right: bool = False
+) -> DataFrame:
     """Left joins along a funnel; ``keys[i]`` maps stage ``i`` columns to stage
     ``i + 1`` columns. A stage that was not reached leaves its columns NULL, and
     several matches in a later stage give several rows.
@@ -32,23 +34,30 @@ def funnel_join(stages: list[DataFrame], keys: list[dict[str, str]]) -> DataFram
     from the front, because every join condition is false on NULL, but no join
     ever sees the NULL keys of users who dropped out: joined from the front they
     would all hash to one partition.
+
+    ``split_right`` is for later stages in which one key may hold a large part of the
+    rows. Adaptive execution splits a hot partition only on the preserved side of an
+    outer join, but on both sides of an inner join; so matches come from an inner join
+    and rows without a match from an anti join against the distinct keys.
     """
     result = stages[-1]
-    for i in range(len(keys) - 1, -1, -1):
-        right = result
-        for r in keys[i].values():
-            right = right.withColumn(f"_k{i}_{r}", F.col(r))
-        condition = reduce(
-            lambda a, b: a & b, [F.col(left) == F.col(f"_k{i}_{r}") for left, r in keys[i].items()]
-        )
-        left = set(keys[i]) & set(keys[i].values())
-        right = right.drop(*left)
-        result = stages[i].join(right, condition, "left").drop(
-            *[f"_k{i}_{r}" for r in keys[i].values()]
-        )
+    for stage, on in zip(reversed(stages[:-1]), reversed(keys)):
+        result = _next_stage(stage, result, on, split_right)
     return result
 
 
+def _next_stage(left: DataFrame, right: DataFrame, on: dict[str, str], split_right: bool) -> DataFrame:
+    temporary = {f"_on_{r}": F.col(r) for r in on.values()}
+    shared = [r for r in on.values() if r in on]
+    right = right.withColumns(temporary).drop(*shared)
+    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_on_{r}") for k, r in on.items()])
+    if not split_right:
+        return left.join(right, condition, "left").drop(*temporary)
+    matched = left.join(right, condition).drop(*temporary)
+    unmatched = left.join(right.select(*temporary).dropDuplicates(), condition, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def flag_member(base: DataFrame, members: DataFrame, on: str, name: str) -> DataFrame:
     """Adds ``name`` = 1 where ``on`` occurs in ``members`` and 0 elsewhere."""
     keys = members.select(on).where(F.col(on).isNotNull()).dropDuplicates([on])

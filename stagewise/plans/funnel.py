@@ -266,6 +266,7 @@ def daily_contacts(tables: FunnelTables, start: int, end: int) -> DataFrame:
                 "external_user_id": "we_com_open_id", "worker_id": "_worker",
             },
         ],
+        split_right=True,
     )
     return joined.select("day", "channel_id", *CONTACT_COLUMNS, *paid_columns)
 
@@ -366,16 +367,17 @@ def _assemble(
         paid_user = F.when(F.col(f"paid_{w}_order_cnt").isNotNull(), F.col("pull_wechat_user"))
         contacts = contacts.withColumn(f"paid_{w}_user", paid_user)
     shared = {c: f"_click_{c}" for c in [*period, "scene", "task_id", "operate_id"]}
-    reached = funnel_join(
-        [exposed, clicked, contacts],
+    contacted = funnel_join(
+        [clicked, contacts],
         [
-            {"u_user": "click_entrance_user", **shared},
             {
                 "click_entrance_user": "get_wechat_user", "_click_task_id": "_contact_channel_id",
                 **{f"_click_{c}": f"_contact_{c}" for c in period},
-            },
+            }
         ],
+        split_right=bool(period),  # monthly contacts are one row per user and channel
     )
+    reached = funnel_join([exposed, contacted], [{"u_user": "click_entrance_user", **shared}])
     known = reached.join(users, ["u_user", *period], "left")
     channels = channels.withColumnRenamed("qr_code_id", "task_id")
     return enrich(known, channels, ["task_id", *period]).withColumns(

@@ -56,7 +56,9 @@ def test_funnel_join_equals_joining_from_the_front(spark):
     front = a.join(b, (F.col("a") == F.col("b")) & (F.col("n") == F.col("bn")), "left").join(
         c, F.col("b") == F.col("c"), "left"
     )
-    assert sorted(map(str, got.select(*front.columns).collect())) == sorted(map(str, front.collect()))
+    split = joins.funnel_join([a, b, c], [{"a": "b", "n": "bn"}, {"b": "c"}], split_right=True)
+    for result in (got, split):
+        assert sorted(map(str, result.select(*front.columns).collect())) == sorted(map(str, front.collect()))
     assert got.count() == 7
 
 
