@@ -5,7 +5,7 @@ fold a key's periods into one short array and look the point up in it. Nothing
 bounds how many periods one key may have, though, and comparing each of a hot
 key's points with each of its periods would be quadratic. Keys with more than
 ``hot_periods`` periods therefore take a second way that is just as exact: time is
-cut into cells of 1, 16, 256, ... microseconds, a period is written as the few
+cut into cells of 1, 4, 16, ... microseconds, a period is written as the few
 largest cells that tile it, a point looks up the cells it lies in (one per size),
 and cell equality replaces the comparison. The cells of a period do not overlap, so
 a point meets each of its periods exactly once.
@@ -27,8 +27,7 @@ from stagewise.operators.rank import latest_by
 HOT_PERIODS = 1000
 BROADCAST_KEYS = 100_000
 
-_BITS = 4
-_LEVELS = 15  # 2**60 microseconds from year 1: all timestamps SQL can write
+_BITS = 2
 _YEAR_ONE = -62135596800000000
 _CELL = ["_level", "_cell"]
 
@@ -51,17 +50,23 @@ def latest_covering(
     that identify a point."""
     keys, take, point_id = names(keys), list(take), names(point_id)
     periods = _usable(periods, keys, start, end).select(*keys, start, end, *take)
-    hot = periods.groupBy(*keys).count().where(F.col("count") > hot_periods).select(*keys)
-    hot_keys = hot.count()
+    hot = (
+        periods.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(_micros(end) - _micros(start)).alias("_span"))
+        .where(F.col("_n") > hot_periods)
+    )
+    hot_keys, longest = hot.agg(F.count(F.lit(1)), F.max("_span")).first()
     if hot_keys == 0:
         found = _by_lookup(points, periods, keys, at, start, end, take)
     else:
+        hot = hot.select(*keys)
         if hot_keys <= BROADCAST_KEYS:
             hot = F.broadcast(hot)
+        sizes = longest.bit_length() // _BITS + 1  # no larger cell fits the longest period
         cold = [df.join(hot, keys, "left_anti") for df in (points, periods)]
         warm = [df.join(hot, keys, "left_semi") for df in (points, periods)]
         found = _by_lookup(*cold, keys, at, start, end, take).unionByName(
-            _by_cells(*warm, keys, at, start, end, take, point_id)
+            _by_cells(*warm, keys, at, start, end, take, point_id, sizes)
         )
     return found.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
 
@@ -73,14 +78,14 @@ def _by_lookup(points, periods, keys, at, start, end, take) -> DataFrame:
     return points.join(short, keys, "left").select(*points.columns, best.alias("_best"))
 
 
-def _by_cells(points, periods, keys, at, start, end, take, point_id) -> DataFrame:
+def _by_cells(points, periods, keys, at, start, end, take, point_id, sizes) -> DataFrame:
     # Of the periods that cover a cell only the latest can win.
     winners = (
-        _tiled(periods, start, end)
+        _tiled(periods, start, end, sizes)
         .groupBy(*keys, *_CELL)
         .agg(F.max(F.struct(start, *take)).alias("_best"))
     )
-    matched = _located(points, at).join(winners, [*keys, *_CELL], "left")
+    matched = _located(points, at, sizes).join(winners, [*keys, *_CELL], "left")
     others = [c for c in points.columns if c not in point_id]
     return (
         matched.groupBy(*point_id)
@@ -113,15 +118,15 @@ def _micros(c: str | Column) -> Column:
     return F.unix_micros(col(c).cast("timestamp")) - F.lit(_YEAR_ONE)
 
 
-def _located(points: DataFrame, at: str) -> DataFrame:
+def _located(points: DataFrame, at: str, sizes: int) -> DataFrame:
     """One row per point and cell size, with the cell the point lies in."""
     cells = f"""
-      transform(sequence(0, {_LEVELS - 1}), n -> struct(n AS _level, shiftright(_micros, {_BITS} * n) AS _cell))"""
+      transform(sequence(0, {sizes - 1}), n -> struct(n AS _level, shiftright(_micros, {_BITS} * n) AS _cell))"""
     located = points.withColumn("_micros", _micros(at)).withColumn("_in", F.explode(F.expr(cells)))
     return located.select(*points.columns, "_in._level", "_in._cell")
 
 
-def _tiled(periods: DataFrame, start: str, end: str) -> DataFrame:
+def _tiled(periods: DataFrame, start: str, end: str, sizes: int) -> DataFrame:
     """One row per cell that tiles a period: at every size, the cells left over at
     both ends once the next larger size has taken what it can."""
 
@@ -131,7 +136,7 @@ def _tiled(periods: DataFrame, start: str, end: str) -> DataFrame:
     # The cells of size n inside the period are lo..hi-1; those from up to down-1 fill
     # larger cells, if there are any.
     inside = f"""
-      transform(sequence(0, {_LEVELS - 1}), n -> struct(n,
+      transform(sequence(0, {sizes - 1}), n -> struct(n,
         shiftright(_lo + shiftleft(1L, {_BITS} * n) - 1, {_BITS} * n) AS lo, shiftright(_hi, {_BITS} * n) AS hi))"""
     split = f"""
       transform({inside}, s -> struct(s.n, s.lo, s.hi,
