@@ -377,10 +377,12 @@ def _assemble(
         ],
         split_right=bool(period),  # monthly contacts are one row per user and channel
     )
-    reached = funnel_join([exposed, contacted], [{"u_user": "click_entrance_user", **shared}])
-    known = reached.join(users, ["u_user", *period], "left")
+    # The team lookup has left the exposures partitioned by user; joining the users next
+    # moves nothing.
+    known = exposed.join(users, ["u_user", *period], "left")
+    reached = funnel_join([known, contacted], [{"u_user": "click_entrance_user", **shared}])
     channels = channels.withColumnRenamed("qr_code_id", "task_id")
-    return enrich(known, channels, ["task_id", *period]).withColumns(
+    return enrich(reached, channels, ["task_id", *period]).withColumns(
         {
             "page_type": F.lit(PAGE_LABEL),
             "get_entrance_user": F.col("u_user"),

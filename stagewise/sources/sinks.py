@@ -17,6 +17,15 @@ def write_partition(df: DataFrame, path: str, partition: dict[str, int], fmt: st
     df.drop(*partition).write.mode("overwrite").format(fmt).save(f"{path}/{place}")
 
 
+def write_table_partition(df: DataFrame, table: str, partition: dict[str, int]) -> None:
+    """The same for a catalog table: columns are matched by name, not by position."""
+    spec = ", ".join(f"{name} = {value}" for name, value in partition.items())
+    columns = ", ".join(f"`{c}`" for c in df.columns if c not in partition)
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) BY NAME SELECT {columns} FROM {{rows}}", rows=df
+    )
+
+
 def write_days(df: DataFrame, path: str, days: list[int], day: str = "day", fmt: str = "parquet") -> None:
     """Overwrites the partitions of ``days`` from one job. A day without rows ends up
     empty, as if it had been written on its own; other days are left alone.

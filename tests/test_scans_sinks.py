@@ -99,6 +99,19 @@ def test_writing_one_partition_keeps_the_others_even_when_empty(spark, tmp_path)
     assert [(r.month, r.x) for r in spark.read.parquet(path).orderBy("x").collect()] == [(202402, 1), (202402, 2)]
 
 
+def test_writing_one_partition_of_a_table_matches_names(spark):
+    spark.sql("CREATE TABLE pool_months (x INT, y STRING, month INT) USING parquet PARTITIONED BY (month)")
+    try:
+        for month in (202401, 202402):
+            df = spark.createDataFrame([("a", month % 100)], "y string, x int")
+            sinks.write_table_partition(df, "pool_months", {"month": month})
+        sinks.write_table_partition(spark.createDataFrame([("b", 7)], "y string, x int"), "pool_months", {"month": 202401})
+        got = spark.table("pool_months").orderBy("month").collect()
+        assert [(r.month, r.x, r.y) for r in got] == [(202401, 7, "b"), (202402, 2, "a")]
+    finally:
+        spark.sql("DROP TABLE pool_months")
+
+
 def test_delivery_by_size(spark, tmp_path):
     path = str(tmp_path / "out")
     numbers = spark.range(100).select(F.col("id").cast("int").alias("n"))
