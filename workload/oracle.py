@@ -8,7 +8,7 @@ conversion window, one pass per day for the daily funnel.
 from __future__ import annotations
 
 from workload.inputs import DAY_OF_TS, checker_tables
-from workload.queries import DAY, MESSAGE_WORDS, MONTH_DAYS
+from workload.queries import DAY, MESSAGE_WORDS, MONTH_DAYS, NULLABLE_NUMBERS
 
 FIRST_DAY, LAST_DAY = MONTH_DAYS
 
@@ -273,7 +273,7 @@ _MONTH_POOL = _with(
     ["pool_days", "denials", "allocations"],
     f""",
 in_month AS (SELECT * FROM pool_days WHERE day // 100 = 202401),
-totals AS (SELECT active_u_user, {", ".join(f"{fn}({c}) AS {c}" for c, fn in _ROLLED.items())} FROM in_month GROUP BY ALL),
+totals AS (SELECT active_u_user, {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" if fn == "sum" else f"{fn}({c}) AS {c}" for c, fn in _ROLLED.items())} FROM in_month GROUP BY ALL),
 last_row AS (SELECT * FROM in_month QUALIFY row_number() OVER (PARTITION BY active_u_user ORDER BY day DESC) = 1),
 first_row AS (SELECT * FROM in_month QUALIFY row_number() OVER (PARTITION BY active_u_user ORDER BY day) = 1),
 first_denial AS (
@@ -329,7 +329,7 @@ received AS (
          min(created_at) FILTER (WHERE clue_source = 'mid_school') AS mid_at
   FROM clues, span WHERE created_sk BETWEEN lo AND hi GROUP BY user_id),
 people AS (
-  SELECT strptime(CAST(a.day AS STRING), '%Y%m%d')::DATE AS active_first_date_month, a.user_sk, a.u_user AS active_u_user,
+  SELECT a.day AS active_first_date_month, a.user_sk, a.u_user AS active_u_user,
          {_list(_STATUS, "s.")}, a.user_allocation AS user_allocation_month,
          CASE WHEN EXISTS (SELECT 1 FROM clues c WHERE c.user_sk = a.user_sk
                            AND a.day BETWEEN c.created_sk AND CAST(strftime(c.clue_expire_time, '%Y%m%d') AS INT))
@@ -394,6 +394,7 @@ after AS (
   SELECT a.o_custkey, a.o_orderdate, {value} AS amount_after
   FROM {rows} a JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate >= a.o_orderdate
   GROUP BY a.o_custkey, a.o_orderdate)"""
+_DATED = "SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, amount_after FROM after"
 _SUFFIX_TIES = _SUFFIX.format(value="round(sum(b.o_totalprice), 2)", rows="orders")
 _SUFFIX_CLEAN = _SUFFIX.format(
     value="round(sum(b.o_totalprice), 2)", rows="(SELECT DISTINCT o_custkey, o_orderdate FROM orders)"
@@ -426,7 +427,7 @@ WHERE is_test = FALSE AND in_salary = 1 AND worker_id <> 0
 SELECT event_id, user_id, {DAY_OF_TS} AS day FROM events
 WHERE event_type = 'click' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' LIMIT 100000""",
     "adhoc_sql": """
-SELECT c.c_mktsegment, count(s.o_custkey) AS buyers, sum(s.n) AS orders, round(sum(s.amount), 2) AS amount
+SELECT c.c_mktsegment, count(s.o_custkey) AS buyers, CAST(sum(s.n) AS BIGINT) AS orders, round(sum(s.amount), 2) AS amount
 FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS amount
                            FROM orders GROUP BY o_custkey) s ON c.c_custkey = s.o_custkey
 GROUP BY c.c_mktsegment LIMIT 100000""",
@@ -457,9 +458,9 @@ SELECT day, u_user, scene, task_id, operate_id, event_time, option FROM first_sh
 {_ENTRANCES.format(lo=FIRST_DAY, hi=LAST_DAY)},{_firsts("u_user, operate_id, scene, task_id")}
 SELECT u_user, scene, task_id, operate_id, event_time FROM first_clicked"""),
     "period_union": _with(["service_periods", "school_periods"], """
-SELECT user_id, CAST(team_id AS STRING) AS team, date_trunc('hour', start_time) AS start_hour FROM service_periods
+SELECT user_id, CAST(team_id AS STRING) AS team, strftime(start_time, '%Y-%m-%d %H') AS start_hour FROM service_periods
 UNION
-SELECT user_id, attribution, date_trunc('hour', start_time) FROM school_periods"""),
+SELECT user_id, attribution, strftime(start_time, '%Y-%m-%d %H') FROM school_periods"""),
     "explode_list": """
 SELECT p_partkey, unnest(string_split(p_name, ' ')) AS item FROM part""",
     "interval_at_event": _with(["service_periods"], """
@@ -480,13 +481,13 @@ WITH latest AS (
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1)
 SELECT c.c_custkey, c.c_mktsegment, l.o_orderkey, l.o_orderpriority
 FROM customer c LEFT JOIN latest l ON c.c_custkey = l.o_custkey""",
-    "suffix_sum": f"WITH {_SUFFIX_TIES} SELECT * FROM after",
-    "suffix_sum_without_ties": f"WITH {_SUFFIX_CLEAN} SELECT * FROM after",
+    "suffix_sum": f"WITH {_SUFFIX_TIES} {_DATED}",
+    "suffix_sum_without_ties": f"WITH {_SUFFIX_CLEAN} {_DATED}",
     "pay_timeline": f"""
 WITH {_SUFFIX_TIES}
 SELECT o_custkey, CAST(strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS INT) AS month_start,
        CAST(count(*) AS INT) AS payments,
-       CAST(min(o_orderdate) AS DATE) AS first_on, arg_min(amount_after, o_orderdate) AS first_amount_after,
+       {_day('min(o_orderdate)')} AS first_on, arg_min(amount_after, o_orderdate) AS first_amount_after,
        string_agg(strftime(o_orderdate, '%Y%m%d'), ' ' ORDER BY o_orderdate) AS days
 FROM after GROUP BY o_custkey, date_trunc('month', o_orderdate)""",
     "paid_amount_by_user": f"WITH {_SUFFIX_TIES} SELECT o_custkey, max(amount_after) AS amount FROM after GROUP BY o_custkey",
@@ -593,3 +594,7 @@ SELECT CASE WHEN event_type IN ('click', 'dev', 'get', 'enter', 'popup') THEN ev
        event_type, count(*) AS events FROM events GROUP BY ALL""",
     "dedup_batch": "SELECT event_id, user_id, event_type, value FROM events",
 }
+
+for _name, _columns in NULLABLE_NUMBERS.items():
+    _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns)
+    ORACLE_SQL[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE_SQL[_name]})"

@@ -27,13 +27,34 @@ DAY = 20240115
 
 REGISTRY = {}
 
+# Whole numbers that may be NULL; engines hand them over in different types unless
+# both sides say DOUBLE.
+_ORDER_COUNTS = [f"paid_{w}_order_cnt" for w in funnel.DAILY_WINDOWS]
+NULLABLE_NUMBERS = {
+    "asof_dimension": ["o_orderkey"],
+    "conversion_windows": _ORDER_COUNTS,
+    "cond_min_max": ["first_payment"],
+    "stage_funnel": ["click_user", "purchase_user"],
+    "contact_funnel": _ORDER_COUNTS,
+    "contact_funnel_month": ["paid_current_month_order_cnt"],
+    "daily_funnel": _ORDER_COUNTS,
+    "backfill_funnel": _ORDER_COUNTS,
+    "monthly_funnel": ["paid_current_month_order_cnt"],
+    "month_pool": ["province_code", "city_code", "area_code", "level", "first_deny_index", "regist_duration", "datepool_cnt"],
+    "paid_pool": ["first_deny_index"],
+    "first_pay_after": ["first_day"],
+}
+
 
 def query(fn):
+    name = fn.__name__.removesuffix("_query")
+
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(apply_settings(spark), sf_dir)
+        df = fn(apply_settings(spark), sf_dir)
+        return df.withColumns({c: F.col(c).cast("double") for c in NULLABLE_NUMBERS.get(name, [])})
 
-    REGISTRY[fn.__name__.removesuffix("_query")] = run
+    REGISTRY[name] = run
     return run
 
 
@@ -172,7 +193,7 @@ def click_union(spark, sf_dir):
 def period_union(spark, sf_dir):
     served = inputs.Inputs(spark, sf_dir).load("service_periods")
     school = inputs.Inputs(spark, sf_dir).load("school_periods")
-    hour = F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("start_hour")
+    hour = F.date_format("start_time", "yyyy-MM-dd HH").alias("start_hour")
     return joins.union_distinct(
         served.select("user_id", F.col("team_id").cast("string").alias("team"), hour),
         school.select("user_id", F.col("attribution").alias("team"), hour),
@@ -232,15 +253,22 @@ def asof_dimension(spark, sf_dir):
 
 # --- payments -----------------------------------------------------------------
 
+def _dated(df):
+    return df.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def suffix_sum(spark, sf_dir):
-    return timeline.suffix_sum(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice")
+    orders = table(spark, sf_dir, "orders")
+    return _dated(timeline.suffix_sum(orders, "o_custkey", "o_orderdate", "o_totalprice"))
 
 
 @query
 def suffix_sum_without_ties(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return timeline.suffix_sum(orders, "o_custkey", "o_orderdate", "o_totalprice", dedupe_ties=True)
+    return _dated(
+        timeline.suffix_sum(orders, "o_custkey", "o_orderdate", "o_totalprice", dedupe_ties=True)
+    )
 
 
 @query
@@ -252,7 +280,7 @@ def pay_timeline(spark, sf_dir):
         "o_custkey",
         to_day_int("piece_start").alias("month_start"),
         F.size("timeline").alias("payments"),
-        F.to_date(F.col("timeline")[0]["o_orderdate"]).alias("first_on"),
+        to_day_int(F.col("timeline")[0]["o_orderdate"]).alias("first_on"),
         F.col("timeline")[0]["amount_after"].alias("first_amount_after"),
         F.array_join(F.transform("timeline", lambda e: F.date_format(e["o_orderdate"], "yyyyMMdd")), " ").alias("days"),
     )
@@ -455,7 +483,8 @@ def month_pool(spark, sf_dir):
 
 @query
 def paid_pool(spark, sf_dir):
-    return pool.paid_pool(inputs.paid_pool_tables(spark, sf_dir), 20240127)
+    users = pool.paid_pool(inputs.paid_pool_tables(spark, sf_dir), 20240127)
+    return users.withColumn("active_first_date_month", to_day_int("active_first_date_month"))
 
 
 # --- messages -----------------------------------------------------------------
