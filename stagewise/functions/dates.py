@@ -75,6 +75,13 @@ def within_days(c: str | Column, start: int, end: int) -> Column:
     return (c >= _at(_midnight(start))) & (c < _at(_midnight(end) + timedelta(days=1)))
 
 
+def overlaps_days(start: str | Column, end: str | Column, lo: int, hi: int) -> Column:
+    """The dates from ``start`` to ``end`` share a day with ``[lo, hi]``, again as plain
+    ranges on the time columns."""
+    after_hi = _at(_midnight(hi) + timedelta(days=1))
+    return (col(start) < after_hi) & (col(end) >= _at(_midnight(lo)))
+
+
 def within_contact_window(c: str | Column, start: int, end: int) -> Column:
     """From ``start`` 00:00:00 to the day after ``end`` at 01:00:00, both included."""
     c = col(c)

@@ -16,18 +16,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagewise.functions.columns import comma_items, is_text, not_blank, overlaps
+from stagewise.functions.columns import comma_items, is_text, not_blank
 from stagewise.functions.dates import (
     contact_days,
     day_to_date,
     instant_before,
     month_bounds,
+    overlaps_days,
     to_day_int,
     within_contact_window,
     within_days,
 )
 from stagewise.operators.convert import MONTH_END, conversions, total_orders
-from stagewise.operators.intervals import HOT_PERIODS, latest_covering, latest_valid
+from stagewise.operators.intervals import HOT_PERIODS, latest_covering
 from stagewise.operators.joins import enrich, funnel_join
 from stagewise.operators.rank import first_by, latest_by
 from stagewise.operators.rollup import collapse_max, distinct_keys
@@ -164,13 +165,11 @@ def first_clicks(events: DataFrame, start: int, end: int, *, per_day: bool) -> D
 
 def _periods(tables: FunnelTables, school_periods: DataFrame, lo: int, hi: int) -> DataFrame:
     """Service and school periods that share a day with ``[lo, hi]``."""
-    first, last = F.lit(day_to_date(lo)), F.lit(day_to_date(hi))
     columns = ["user_id", "team_name", "start_time", "end_time"]
     teams = tables.teams.select(F.col("id").alias("team_id"), F.col("name").alias("team_name"))
     served = tables.service_periods.join(teams, "team_id").select(*columns)
     school = school_periods.withColumn("team_name", F.lit(SCHOOL_TEAM)).select(*columns)
-    dates = F.to_date("start_time"), F.to_date("end_time")
-    return served.unionByName(school).where(overlaps(*dates, first, last))
+    return served.unionByName(school).where(overlaps_days("start_time", "end_time", lo, hi))
 
 
 def with_team(exposed: DataFrame, periods: DataFrame, keys: list[str], point_id, hot_periods: int) -> DataFrame:
@@ -333,20 +332,15 @@ def _live_channels(tables: FunnelTables) -> DataFrame:
 def daily_channels(tables: FunnelTables, start: int, end: int) -> DataFrame:
     """Last version of a channel that is valid on the day."""
     days = F.explode(_days_covered("effective_time", "invalid_time", start, end)).alias("day")
-    latest = latest_by(
-        _live_channels(tables).select("*", days), ["qr_code_id", "day"], "effective_time", CHANNEL_ATTRIBUTES
-    )
+    valid = _live_channels(tables).where(overlaps_days("effective_time", "invalid_time", start, end))
+    latest = latest_by(valid.select("*", days), ["qr_code_id", "day"], "effective_time", CHANNEL_ATTRIBUTES)
     return latest.select("qr_code_id", "day", *CHANNEL_ATTRIBUTES)
 
 
 def monthly_channels(tables: FunnelTables, start: int, end: int) -> DataFrame:
     """Last version of a channel that is valid at some day of the period."""
-    dated = _live_channels(tables).withColumns(
-        {"_from": F.to_date("effective_time"), "_to": F.to_date("invalid_time")}
-    )
-    lo, hi = F.lit(day_to_date(start)), F.lit(day_to_date(end))
-    ordered = dated.where(overlaps("_from", "_to", lo, hi))
-    return latest_by(ordered, "qr_code_id", "effective_time", CHANNEL_ATTRIBUTES).select(
+    valid = _live_channels(tables).where(overlaps_days("effective_time", "invalid_time", start, end))
+    return latest_by(valid, "qr_code_id", "effective_time", CHANNEL_ATTRIBUTES).select(
         "qr_code_id", *CHANNEL_ATTRIBUTES
     )
 
