@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stagewise.llm.decontaminate import decontaminate_sql, op6_decontaminate
 from stagewise.llm.lines import lines_sql, op9_lines
 from stagewise.llm.mixing import mixing_sql, op3_mixing
 from stagewise.llm.secrets import op4_secrets, secrets_sql
@@ -9,11 +10,13 @@ from stagewise.llm.secrets import op4_secrets, secrets_sql
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_secrets": op4_secrets,
+    "op6_decontaminate": op6_decontaminate,
     "op9_lines": op9_lines,
 }
 
 ORACLE_SQL = {
     "op3_mixing": mixing_sql(),
     "op4_secrets": secrets_sql(),
+    "op6_decontaminate": decontaminate_sql(),
     "op9_lines": lines_sql(),
 }
