@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from stagewise.llm.decontaminate import decontaminate_sql, op6_decontaminate
+from stagewise.llm.language import op1_language
 from stagewise.llm.lines import lines_sql, op9_lines
 from stagewise.llm.mixing import mixing_sql, op3_mixing
 from stagewise.llm.secrets import op4_secrets, secrets_sql
+from stagewise.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_secrets": op4_secrets,
     "op6_decontaminate": op6_decontaminate,
