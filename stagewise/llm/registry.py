@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stagewise.llm.decontaminate import decontaminate_sql, op6_decontaminate
 from stagewise.llm.language import op1_language
+from stagewise.llm.lattice import op5_lattice
 from stagewise.llm.lines import lines_sql, op9_lines
 from stagewise.llm.mixing import mixing_sql, op3_mixing
 from stagewise.llm.secrets import op4_secrets, secrets_sql
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_secrets": op4_secrets,
+    "op5_lattice": op5_lattice,
     "op6_decontaminate": op6_decontaminate,
     "op9_lines": op9_lines,
 }
