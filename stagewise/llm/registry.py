@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stagewise.llm.decontaminate import decontaminate_sql, op6_decontaminate
+from stagewise.llm.fingerprint import op7_fingerprint
 from stagewise.llm.language import op1_language
 from stagewise.llm.lattice import op5_lattice
 from stagewise.llm.lines import lines_sql, op9_lines
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_lattice": op5_lattice,
     "op6_decontaminate": op6_decontaminate,
+    "op7_fingerprint": op7_fingerprint,
     "op9_lines": op9_lines,
 }
 
