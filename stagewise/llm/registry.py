@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stagewise.llm.decontaminate import decontaminate_sql, op6_decontaminate
 from stagewise.llm.fingerprint import op7_fingerprint
+from stagewise.llm.jaccard import op8_jaccard
 from stagewise.llm.language import op1_language
 from stagewise.llm.lattice import op5_lattice
 from stagewise.llm.lines import lines_sql, op9_lines
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_lattice": op5_lattice,
     "op6_decontaminate": op6_decontaminate,
     "op7_fingerprint": op7_fingerprint,
+    "op8_jaccard": op8_jaccard,
     "op9_lines": op9_lines,
 }
 
