@@ -85,8 +85,9 @@ def similar_components(
     words: int = 5,
     percent: int = 80,
 ) -> DataFrame:
-    """``doc_id, text_mark, n_shingles, component_id``: one row per document; documents whose sets have
-    ``100 * intersection >= percent * union`` are linked. ``text_mark`` is xxhash64 of the text."""
+    """``doc_id, text_mark, n_shingles, component_id, component``: one row per document; documents whose sets
+    have ``100 * intersection >= percent * union`` are linked. ``text_mark`` is xxhash64 of the text, ``component`` a number
+    that also tells components apart whose least id is the same."""
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent in 1..100 and one word or more")
     spark = docs.sparkSession
@@ -260,10 +261,11 @@ def similar_components(
         "node", "least_id", F.coalesce("root", "node").alias("root")
     )
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = written(named.join(least, "root").select("node", "component_id"))
+    named = written(named.join(least, "root").select("node", "component_id", F.col("root").alias("component")))
     return sets.join(named, "node", "left").select(
         "doc_id", "text_mark", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "component",
     )
 
 
@@ -328,15 +330,15 @@ def _open_block(asking: pa.Table, held: pa.Table, percent: int) -> pa.Table:
 
 
 def keep_one_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group stays. Documents
-    without words stay all; rows that are equal in id and text stay as one."""
+    """One document of each component stays: the one of the least id (of several texts with that id, the one of the least
+    mark). Documents without words all stay; rows equal in id and text are one document and stay or go together."""
     found = similar_components(docs, doc_id=doc_id, text=text, words=words, percent=percent)
-    stays = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark"), F.col("n_shingles").alias("_n")
-    )
-    stays = stays.distinct()
+    blank = found.where("n_shingles = 0").select("doc_id", "text_mark").distinct()
+    first = found.where("n_shingles > 0 AND component_id <=> doc_id").groupBy("component", "doc_id")
+    stays = blank.unionByName(first.agg(F.min("text_mark").alias("text_mark")).select("doc_id", "text_mark"))
+    stays = stays.toDF("stay_id", "stay_mark")
     mark = F.coalesce(F.xxhash64(F.col(text)), F.lit(0))
-    kept = docs.join(stays, F.col(doc_id).eqNullSafe(F.col("_id")) & (mark == F.col("_mark")), "left_semi")
+    kept = docs.join(stays, F.col(doc_id).eqNullSafe(F.col("stay_id")) & (mark == F.col("stay_mark")), "left_semi")
     return kept.select(*docs.columns)
 
 

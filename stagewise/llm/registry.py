@@ -10,6 +10,7 @@ from stagewise.llm.lattice import op5_lattice
 from stagewise.llm.lines import lines_sql, op9_lines
 from stagewise.llm.mixing import mixing_sql, op3_mixing
 from stagewise.llm.secrets import op4_secrets, secrets_sql
+from stagewise.llm.suffixes import op10_suffixes
 from stagewise.llm.toxicity import op2_toxicity
 
 QUERIES = {
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_fingerprint": op7_fingerprint,
     "op8_jaccard": op8_jaccard,
     "op9_lines": op9_lines,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLE_SQL = {
