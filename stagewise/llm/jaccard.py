@@ -1,7 +1,7 @@
 """N-gram Jaccard join by a token-group matrix.
 
 A document is the set of its word shingles. Equal sets become one node first. Nodes that share a token of
-their prefixes (the rarest tokens; two sets over the threshold must share one) are active; each active
+their prefixes (the rarest tokens; two sets over the threshold must share one of them) are active; each active
 node belongs to one group, named by the least such token, so similar nodes meet in a group.
 
 Inside a group all members are compared with a few hubs; those over the threshold hang on their hub and
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.llm.components import components
+from stagewise.llm.repeats import in_bitmap, repeated_bitmap
 from stagewise.llm.shared import BLANK, Rolling, Words, flat_text, in_chunks, mix, read_table, written
 
 #: Cells in which frequent tokens are noticed; a cell is sent on if a task finds it so much
@@ -91,13 +92,20 @@ def similar_components(
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent in 1..100 and one word or more")
     spark = docs.sparkSession
-    cells, counts = frequent_cells(docs, words, text)
-    table = spark.sparkContext.broadcast((cells, counts))  # CELLS rows at most
+    total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+
+    def set_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        owner, token = distinct_sets(texts, words)
+        return token, owner
+
+    bits, repeated = repeated_bitmap(docs, text, total, set_hashes)
+    table = spark.sparkContext.broadcast((*frequent_cells(docs, words, text), repeated))  # CELLS rows, 32 MB
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def prefixes(batches):
         level = np.zeros(CELLS, np.int8)
-        at, n = table.value
+        at, n, repeated = table.value
+        repeated = np.frombuffer(repeated, np.uint8)
         level[at] = np.log2(np.maximum(n, 1)).astype(np.int8) + 1
         for batch in in_chunks(batches, "text"):
             owner, token = distinct_sets(batch.column("text"), words)
@@ -109,10 +117,14 @@ def similar_components(
                 spread = mix(token ^ np.uint64(salt))
                 sums = np.concatenate([[0], np.cumsum(spread)]).astype(np.uint64)
                 marks.append(mix((sums[first[1:]] - sums[first[:-1]]) + size.astype(np.uint64)))
-            order = np.lexsort((token, level[(token >> np.uint64(44)).astype(np.int64)], owner))
+            # Rarest first: tokens of one document only, then by how frequent their cell is.
+            many = in_bitmap(token, bits, repeated)
+            rarity = np.where(many, level[(token >> np.uint64(44)).astype(np.int64)] + 1, 0)
+            order = np.lexsort((token, rarity, owner))
             place = np.arange(len(token)) - first[owner]
             need = -(-size * percent // 100)
-            keep = place < (size - need + 1)[owner]
+            # A token that no other document holds is part of the prefix but links nothing.
+            keep = (place < (size - need + 1)[owner]) & many[order]
             taken = token[order][keep]
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=rows))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -140,7 +152,7 @@ def similar_components(
     )
     nodes = written(nodes)
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_mark")
-    first_rows = filled.join(nodes.select("node", F.col("row").alias("stands")), "node").where(row == F.col("stands"))
+    first_rows = filled.where(F.size("prefix") > 0).join(nodes.select("node", F.col("row").alias("stands")), "node").where(row == F.col("stands"))
     reach = written(
         first_rows.select("node", "n", F.explode("prefix").alias("token")).dropDuplicates(["node", "token"])
     )
@@ -166,7 +178,7 @@ def similar_components(
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("group"), tokens], ["node", "group", "tokens"])
 
     members = written(
-        texts.mapInArrow(token_sets, "node long, group long, tokens array<long>").dropDuplicates(["node"])
+        texts.mapInArrow(token_sets, "node long, group long, tokens array<long>")
     )
 
     hubs = None

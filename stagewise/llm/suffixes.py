@@ -26,16 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagewise.llm.repeats import gathered, in_bitmap, repeated_bitmap
 from stagewise.llm.shared import Rolling, byte_values, flat_text, in_chunks, read_table, written
 
 LENGTH = 50
 GRAM = 24
-#: Text behind one list of grams; the number of lists follows the input.
-BUCKET_BYTES = 16 << 20
-#: The bitmap has 2**28 bits at most (32 MB).
-MOST_BITS = 28
 #: Elected suffixes that a task gathers before it sends them on.
-GATHER = 1_500_000
+GATHER = 400_000
 #: Strings that a bucket sorts at once (a group of equal leading bytes is never cut).
 SORT_AT_ONCE = 200_000
 LOWEST = -(1 << 63)
@@ -75,86 +72,6 @@ def elect(data: np.ndarray, begins: np.ndarray, length: int, gram: int):
     return start[first], start[last], suffix[first], hashes[suffix[first]], rolling
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Sorted 32-bit values as differences, byte planes one after the other."""
-    steps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
-
-
-def gathered(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
-
-
-def repeated_grams(rows: DataFrame, total: int, length: int, gram: int) -> tuple[int, bytes]:
-    """Bitmap over the leading hash bits of the grams that two or more documents elect."""
-    lists = max(0, (max(1, total) // BUCKET_BYTES).bit_length())
-    bits = min(MOST_BITS, max(16, int(total).bit_length() + 1))
-
-    def send(parts, number):
-        hashes, owner = gathered(parts)
-        order = np.lexsort((owner, hashes))
-        hashes, owner = hashes[order], owner[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = hashes[1:] != hashes[:-1]
-        group = np.cumsum(new) - 1
-        many = np.zeros(group[-1] + 1, bool)
-        many[group[1:][~new[1:] & (owner[1:] != owner[:-1])]] = True
-        kinds = hashes[new]
-        bucket = (kinds >> np.uint64(64 - lists)).astype(np.int64) if lists else np.zeros(len(kinds), np.int64)
-        low = (kinds >> np.uint64(32 - lists)).astype(np.uint32)
-        own, first = np.unique(bucket, return_index=True)
-        ends = np.append(first[1:], len(bucket))
-        once = [pack(np.unique(low[a:z])) for a, z in zip(first, ends, strict=True)]
-        twice = [pack(np.unique(low[a:z][many[a:z]])) for a, z in zip(first, ends, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(once, pa.binary()), pa.array(twice, pa.binary())], ["bucket", "once", "twice"])
-
-    def count(batches):
-        parts, held, seen = [], 0, 0
-        for batch in in_chunks(batches, "text"):
-            data, begins = flat_text(batch.column("text"))
-            _, _, suffix, hashes, _ = elect(data, begins, length, gram)
-            owner = np.searchsorted(begins, suffix, "right") - 1 + seen
-            seen += batch.num_rows
-            parts.append((hashes, owner))
-            held += len(hashes)
-            if held >= GATHER:
-                yield send(parts, seen)
-                parts, held = [], 0
-        if held:
-            yield send(parts, seen)
-
-    def meet(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        once = np.concatenate([unpack(x) for x in group["once"].to_pylist()] or [np.zeros(0, np.uint32)])
-        twice = [unpack(x) for x in group["twice"].to_pylist()]
-        once.sort()
-        low = np.unique(np.concatenate([once[1:][once[1:] == once[:-1]], *twice]))
-        full = (np.uint64(key[0].as_py()) << np.uint64(32)) | low.astype(np.uint64)
-        spot = np.unique(full >> np.uint64(32 + lists - bits)) if 32 + lists >= bits else np.unique(full << np.uint64(bits - 32 - lists))
-        base = int(spot[0]) // 8 if len(spot) else 0
-        end = int(spot[-1]) // 8 + 1 if len(spot) else 0
-        cells = np.zeros((end - base) * 8, bool)
-        cells[(spot - np.uint64(base * 8)).astype(np.int64)] = True
-        packed = np.packbits(cells).tobytes()
-        return pa.table({"base": pa.array([base], pa.int64()), "cells": pa.array([packed], pa.binary())})
-
-    found = (
-        rows.select("text")
-        .mapInArrow(count, "bucket long, once binary, twice binary")
-        .groupBy("bucket")
-        .applyInArrow(meet, "base long, cells binary")
-    )
-    bitmap = np.zeros((1 << bits) // 8, np.uint8)
-    for base, cells in found.toLocalIterator():  # a piece of the bitmap for each list
-        own = np.frombuffer(bytes(cells), np.uint8)
-        bitmap[base : base + len(own)] |= own
-    return bits, bitmap.tobytes()
-
-
 def multikey_groups(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows by their tokens, and for each place in it whether a new row content begins."""
     order = np.argsort(tokens[:, 0], kind="stable")
@@ -247,8 +164,14 @@ def remove_repeats(
         F.col(text).alias("text"),
     )
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    bits, cells = repeated_grams(rows, total, length, gram)
-    bitmap = spark.sparkContext.broadcast(cells)  # 2**MOST_BITS bits at most
+
+    def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, begins = flat_text(texts)
+        _, _, suffix, hashes, _ = elect(data, begins, length, gram)
+        return hashes, np.searchsorted(begins, suffix, "right") - 1
+
+    bits, cells = repeated_bitmap(rows, "text", total, grams)
+    bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
 
     def send(parts, number: int):
         hashes, ids, marks, at = gathered([p[:4] for p in parts])
@@ -280,8 +203,7 @@ def remove_repeats(
             first, last, suffix, hashes, rolling = elect(data, begins, length, gram)
             if not len(first):
                 continue
-            spot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-            keep = (bitmap_[spot >> 3] >> (7 - (spot & 7))) & 1 > 0
+            keep = in_bitmap(hashes, bits, bitmap_)
             first, last, suffix = first[keep], last[keep], suffix[keep]
             row = np.searchsorted(begins, suffix, "right") - 1
             parts.append(
@@ -294,7 +216,7 @@ def remove_repeats(
                 )
             )
             held += len(first)
-            if held >= GATHER // 4:
+            if held >= GATHER:
                 made = send(parts, number)
                 number += made.num_rows
                 yield made
