@@ -10,7 +10,9 @@ that it lets pass, with the bytes of all strings that elected it; a task sends e
 The suffixes are range-partitioned by their leading bytes at splitters that Spark samples, so equal strings share a bucket whatever
 side of a splitter their neighbours are on. A bucket cuts at changes of the leading bytes, sorts the strings by
 multikey quicksort over 8-byte tokens (only ties go on to the next token) and compares neighbours; the least id among
-equal strings decides. The result travels back to the documents by entry number as byte ranges.
+equal strings decides. The result travels back to the documents as byte ranges.
+
+Exact copies of a whole text meet first, by digest: the one of the least id goes on, the others are covered whole.
 
 Defined cases: null texts are empty; texts shorter than ``length`` lose nothing; equal ids never remove from each other;
 a null id counts as the least; equal rows get equal results; further columns are not carried.
@@ -22,7 +24,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ LENGTH = 50
 GRAM = 24
 #: Elected suffixes that a task gathers before it sends them on.
 GATHER = 400_000
-#: Strings that a bucket sorts at once (a group of equal leading bytes is never cut).
-SORT_AT_ONCE = 200_000
+#: Entries that a bucket sorts at once (a group of equal leading bytes is never cut).
+SORT_AT_ONCE = 15_000
 LOWEST = -(1 << 63)
 
 
@@ -93,7 +94,7 @@ def multikey_groups(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def decide(before: pa.Array, suffix: pa.Array, entry: np.ndarray, least: np.ndarray, most: np.ndarray, length: int):
+def decide(before: pa.Array, suffix: pa.Array, least: np.ndarray, most: np.ndarray, length: int):
     """For every string of every entry the least id that holds it; runs of strings with one such id that
     is under the entry's greatest: entry, first and last string, id."""
     left, left_at = flat_bytes(before)
@@ -105,7 +106,7 @@ def decide(before: pa.Array, suffix: pa.Array, entry: np.ndarray, least: np.ndar
     whole[np.arange(len(left)) + np.repeat(whole_at[:-1] - left_at[:-1], n_left)] = left
     whole[np.arange(len(right)) + np.repeat(whole_at[:-1] + n_left - right_at[:-1], n_right)] = right
     strings = size - length + 1
-    owner = np.repeat(np.arange(len(entry)), strings)
+    owner = np.repeat(np.arange(len(strings)), strings)
     step = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings)
     padded = -(-length // 8) * 8
     window = np.zeros((len(owner), padded), np.uint8)
@@ -123,7 +124,7 @@ def decide(before: pa.Array, suffix: pa.Array, entry: np.ndarray, least: np.ndar
     last = np.append(first[1:], len(owner)) - 1
     keep = gone[first]
     first, last = first[keep], last[keep]
-    return entry[owner[first]], step[first], step[last], held[first]
+    return owner[first], step[first], step[last], held[first]
 
 
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +144,41 @@ def slices(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     )
 
 
-ENTRY = "entry long, before binary, suffix binary, least long, most long, ids array<long>, marks array<int>, places array<int>"
+#: Who holds an entry: id, mark of the text, place of the first string in the text.
+HOLDER = np.dtype([("id", "<i8"), ("mark", "<i4"), ("at", "<i4")])
+
+
+def one_of_each(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """``id, mark, text`` rows without exact copies of a text of smaller id, and those copies as ``id, mark, n_bytes``.
+    A bitmap of repeated text hashes tells which rows have to meet at all; the others stay where they are."""
+    spark = rows.sparkSession
+
+    def text_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, begins = flat_text(texts)
+        return Rolling(byte_values(data)).of(begins[:-1], begins[1:]), np.arange(len(texts))
+
+    bits, cells = repeated_bitmap(rows, "text", total, text_hashes)
+    bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
+
+    def part(repeated: bool):
+        def run(batches):
+            own = np.frombuffer(bitmap.value, np.uint8)
+            for batch in in_chunks(batches, "text"):
+                keep = in_bitmap(text_hashes(batch.column("text"))[0], bits, own) == repeated
+                if keep.any():
+                    yield batch.filter(pa.array(keep))
+
+        return rows.mapInArrow(run, "id long, mark int, text string")
+
+    met = part(True).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    first = written(met.groupBy("digest").agg(F.min(F.struct("id", "mark", "text")).alias("first")))
+    copies = (
+        met.select("id", "mark", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
+        .join(first.select("digest", F.col("first.id").alias("first_id")), "digest")
+        .where(F.col("id") > F.col("first_id"))
+        .select("id", "mark", "n_bytes")
+    )
+    return part(False).unionByName(first.select("first.*")), copies
 
 
 def remove_repeats(
@@ -154,16 +189,17 @@ def remove_repeats(
     length: int = LENGTH,
     gram: int = GRAM,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``text`` (as it came), ``spans`` (merged byte ranges to remove)."""
+    """One row per document: ``doc_id``, ``text`` (as it came), ``spans`` (byte ranges to remove, sorted, may overlap)."""
     if not 8 <= gram < length:
         raise ValueError("a gram has eight bytes or more and fewer than the string")
     spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LOWEST)).alias("id"),
         F.hash(F.col(text)).alias("mark"),
-        F.col(text).alias("text"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    rows, copies = one_of_each(rows, total)
 
     def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, begins = flat_text(texts)
@@ -173,111 +209,101 @@ def remove_repeats(
     bits, cells = repeated_bitmap(rows, "text", total, grams)
     bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
 
-    def send(parts, number: int):
-        hashes, ids, marks, at = gathered([p[:4] for p in parts])
-        before = pa.concat_arrays([p[4] for p in parts])
-        suffix = pa.concat_arrays([p[5] for p in parts])
-        order = np.lexsort((ids, hashes))
+    def send(parts):
+        hashes, holders = gathered([p[:2] for p in parts])
+        before = pa.concat_arrays([p[2] for p in parts])
+        suffix = pa.concat_arrays([p[3] for p in parts])
+        order = np.argsort(hashes, kind="stable")
         new = np.ones(len(order), bool)
         new[1:] = hashes[order[1:]] != hashes[order[:-1]]
         first = np.flatnonzero(new)
-        ends = np.append(first, len(order)).astype(np.int32)
         take = pa.array(order[first])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(number, number + len(first))), before.take(take), suffix.take(take),
-                pa.array(ids[order[first]]), pa.array(ids[order[ends[1:] - 1]]),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[order])),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(marks[order])),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(at[order])),
-            ],
-            ["entry", "before", "suffix", "least", "most", "ids", "marks", "places"],
-        )
+        ends = (np.append(first, len(order)) * HOLDER.itemsize).astype(np.int32)
+        packed = pa.Array.from_buffers(
+            pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(holders[order].tobytes())]
+        )
+        return pa.RecordBatch.from_arrays([before.take(take), suffix.take(take), packed], ["before", "suffix", "holders"])
 
     def gather(batches):
-        bitmap_ = np.frombuffer(bitmap.value, np.uint8)
-        number = TaskContext.get().partitionId() << 33
+        own = np.frombuffer(bitmap.value, np.uint8)
         parts, held = [], 0
         for batch in in_chunks(batches, "text"):
             data, begins = flat_text(batch.column("text"))
             first, last, suffix, hashes, rolling = elect(data, begins, length, gram)
             if not len(first):
                 continue
-            keep = in_bitmap(hashes, bits, bitmap_)
+            keep = in_bitmap(hashes, bits, own)
             first, last, suffix = first[keep], last[keep], suffix[keep]
             row = np.searchsorted(begins, suffix, "right") - 1
-            parts.append(
-                (
-                    # Equal bytes around a suffix at the same distance: the split is part of the key.
-                    rolling.of(first, last + length) ^ (suffix - first).astype(np.uint64),
-                    batch.column("id").to_numpy()[row], batch.column("mark").to_numpy()[row],
-                    (first - begins[row]).astype(np.int32),
-                    slices(data, first, suffix), slices(data, suffix, last + length),
-                )
-            )
+            holders = np.empty(len(first), HOLDER)
+            holders["id"] = batch.column("id").to_numpy()[row]
+            holders["mark"] = batch.column("mark").to_numpy()[row]
+            holders["at"] = first - begins[row]
+            # Equal bytes around a suffix at the same distance: the split is part of the key.
+            key = rolling.of(first, last + length) ^ (suffix - first).astype(np.uint64)
+            parts.append((key, holders, slices(data, first, suffix), slices(data, suffix, last + length)))
             held += len(first)
             if held >= GATHER:
-                made = send(parts, number)
-                number += made.num_rows
-                yield made
+                yield send(parts)
                 parts, held = [], 0
         if held:
-            yield send(parts, number)
+            yield send(parts)
 
-    entries = written(rows.mapInArrow(gather, ENTRY))
     lead = F.substring("suffix", 1, gram)
 
     def judge(batches):
-        names = ["entry", "first", "last", "low"]
-
         def result(table: pa.Table):
-            columns = decide(table["before"], table["suffix"], *(table[c].to_numpy() for c in ("entry", "least", "most")), length)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            flat, places = flat_bytes(table["holders"])
+            holders = np.frombuffer(flat.tobytes(), HOLDER)
+            places = places // HOLDER.itemsize
+            least = np.minimum.reduceat(holders["id"], places[:-1])
+            most = np.maximum.reduceat(holders["id"], places[:-1])
+            entry, begin, end, low = decide(table["before"], table["suffix"], least, most, length)
+            times = np.diff(places)[entry]
+            who = np.arange(times.sum()) + np.repeat(places[entry] - (np.cumsum(times) - times), times)
+            gone = holders["id"][who] > np.repeat(low, times)
+            who = who[gone]
+            at = holders["at"][who].astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(holders["id"][who]), pa.array(holders["mark"][who]),
+                    pa.array(at + np.repeat(begin, times)[gone]), pa.array(at + np.repeat(end, times)[gone] + length),
+                ],
+                ["of", "of_mark", "begin", "end"],
+            )
 
-        waiting, strings = [], 0
+        waiting, held = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             waiting.append(batch)
-            strings += batch.num_rows * (length - gram) // 2
-            if strings < SORT_AT_ONCE:
+            held += batch.num_rows
+            if held < SORT_AT_ONCE:
                 continue
             table = pa.Table.from_batches(waiting).combine_chunks()
             heads = leads(table["suffix"], gram)
             cuts = np.flatnonzero((heads[1:] != heads[:-1]).any(axis=1)) + 1
-            if not len(cuts):
-                continue
-            begin = 0
-            for cut in cuts[np.searchsorted(cuts, np.arange(20_000, cuts[-1] + 20_000, 20_000)).clip(max=len(cuts) - 1)]:
-                if cut > begin:
-                    yield result(table.slice(begin, cut - begin))
-                    begin = int(cut)
-            waiting = table.slice(begin).combine_chunks().to_batches()
-            strings = (table.num_rows - begin) * (length - gram) // 2
+            if len(cuts):
+                # What follows the last change may go on in the next batch.
+                yield result(table.slice(0, int(cuts[-1])))
+                table = table.slice(int(cuts[-1])).combine_chunks()
+            waiting, held = table.to_batches(), table.num_rows
         if waiting:
             yield result(pa.Table.from_batches(waiting))
 
-    judged = (
-        entries.select("entry", "before", "suffix", "least", "most")
+    found = (
+        rows.mapInArrow(gather, "before binary, suffix binary, holders binary")
         .repartitionByRange(lead)
         .sortWithinPartitions(lead)
-        .mapInArrow(judge, "entry long, first long, last long, low long")
+        .mapInArrow(judge, "of long, of_mark int, begin long, end long")
+    )
+    whole = copies.where(F.col("n_bytes") >= length).select(
+        F.col("id").alias("of"), F.col("mark").alias("of_mark"), F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")
     )
     ranges = (
-        judged.join(entries.select("entry", "ids", "marks", "places"), "entry")
-        .select("first", "last", "low", F.explode(F.arrays_zip("ids", "marks", "places")).alias("at"))
-        .where(F.col("at.ids") > F.col("low"))
-        .groupBy(F.col("at.ids").alias("of"), F.col("at.marks").alias("of_mark"))
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        (F.col("at.places") + F.col("first")).alias("begin"),
-                        (F.col("at.places") + F.col("last") + length).alias("end"),
-                    )
-                )
-            ).alias("ranges")
-        )
+        found.unionByName(whole)
+        .groupBy("of", "of_mark")
+        .agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("ranges"))
     )
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         ranges,
