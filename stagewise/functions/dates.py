@@ -103,9 +103,9 @@ def contact_days(c: str | Column, start: int, end: int) -> Column:
     return F.filter(days, lambda d: d.between(start, end))
 
 
-def instant_before(epoch_ms: str | Column, seconds: int = 1) -> Column:
-    """Timestamp ``seconds`` before an epoch-millisecond value."""
-    return F.timestamp_millis(col(epoch_ms) - F.lit(seconds * 1000))
+def instant_of(epoch_ms: str | Column) -> Column:
+    """Timestamp of an epoch-millisecond value."""
+    return F.timestamp_millis(col(epoch_ms))
 
 
 def _midnight(day: int) -> datetime:

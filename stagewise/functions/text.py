@@ -28,8 +28,13 @@ PREFIX_INTENTS = {
 PREFIX_SEPARATORS = "：: "
 UNREADABLE = {"understanding": "AI 返回格式异常，请重试", "sql": ""}
 
+# Where an answer may stand in a text: in the first fenced block, between the outermost braces.
+FENCED = r"(?s)```(?:json)?\s*\n?(.*?)\n?```"
+BRACED = r"(?s)\{.*\}"
+NO_NUMBER = '^"(NaN|-?Infinity)"$'
+
 # What valid JSON can look like from outside; parsing anything else only raises errors.
-_JSON_SHAPE = r'(?s)^(?:\{.*\}|\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|false|null)$'
+_JSON_SHAPE = r'(?s)^(?:\{.*\}|\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|false|null|NaN|-?Infinity)$'
 
 ANSWER_SCHEMA = T.StructType(
     [
@@ -82,22 +87,39 @@ def tag_intent(df: DataFrame, text: str) -> DataFrame:
     return df.withColumns({"intent": intent_of(text), "requirement": fast_requirement(text)})
 
 
+def _is_json(text: Column) -> Column:
+    """One whole JSON value, nothing before or after it. Readers stop after the first value, so it
+    is read inside brackets and inside braces: text that goes on breaks one of the two. NaN and infinities
+    count as values, and a key may come twice."""
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    named = F.from_json(
+        F.concat(F.lit('{"v":'), text, F.lit("}")), "v string, _broken string", {"columnNameOfCorruptRecord": "_broken"}
+    )
+    return text.rlike(_JSON_SHAPE) & (F.size(listed) == 1) & named["_broken"].isNull()
+
+
 def parse_tolerant(c: str | Column, schema: T.StructType = ANSWER_SCHEMA, default: dict = UNREADABLE) -> Column:
     """JSON record from free text: the whole text, else the first fenced block, else
-    everything between the outermost braces; ``default`` when none of them parses.
+    everything between the outermost braces; ``default`` when none of them is one JSON value. Of a
+    key that comes twice the last value counts. Values are given as text (``NaN`` as such); single
+    quotes, comments and escapes that JSON does not know are no JSON here either.
     Give it a column of its own and take fields from there, so that it is parsed once."""
 
     def candidates(whole: Column) -> Column:
-        fenced = strip(F.regexp_extract(whole, r"(?s)```(?:json)?\s*\n?(.*?)\n?```", 1))
-        return F.array(whole, fenced, F.regexp_extract(whole, r"(?s)\{.*\}", 0))
-
-    def is_json(text: Column) -> Column:
-        return text.rlike(_JSON_SHAPE) & F.try_parse_json(text).isNotNull()
+        return F.array(whole, strip(F.regexp_extract(whole, FENCED, 1)), F.regexp_extract(whole, BRACED, 0))
 
     # A one-element array names the stripped text, so that it is computed once.
-    found = F.transform(F.array(strip(c)), lambda w: F.get(F.filter(candidates(w), is_json), F.lit(0)))
+    found = F.transform(F.array(strip(c)), lambda w: F.get(F.filter(candidates(w), _is_json), F.lit(0)))
     fallback = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in default.items()]))
-    return F.from_json(F.coalesce(F.get(found, F.lit(0)), fallback), schema)
+    record = F.from_json(F.coalesce(F.get(found, F.lit(0)), fallback), schema)
+    # The reader puts quotes around what is no number when it is asked for text.
+    texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+
+    def plain(r: Column) -> Column:
+        bare = [F.regexp_replace(r[f.name], NO_NUMBER, "$1") if f.name in texts else r[f.name] for f in schema]
+        return F.when(r.isNotNull(), F.struct(*[c.alias(f.name) for c, f in zip(bare, schema, strict=True)]))
+
+    return F.get(F.transform(F.array(record), plain), F.lit(0))
 
 
 def event_type_of(event_key: str | Column) -> Column:

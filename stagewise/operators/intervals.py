@@ -1,22 +1,21 @@
 """Point-in-interval joins and dimension versions.
 
-The usual key has a handful of validity periods, and then the best plan is plain:
-fold a key's periods into one short array and look the point up in it. Nothing
-bounds how many periods one key may have, though, and comparing each of a hot
-key's points with each of its periods would be quadratic. Keys with more than
-``hot_periods`` periods therefore take a second way that is just as exact: time is
-cut into cells of 1, 4, 16, ... microseconds, a period is written as the few
-largest cells that tile it, a point looks up the cells it lies in (one per size),
-and cell equality replaces the comparison. The cells of a period do not overlap, so
-a point meets each of its periods exactly once.
-
-Which way a plan needs is settled beforehand by counting the hot keys, one
-aggregation over the periods. Mostly there are none and the second way is left out.
+Nothing bounds how many periods or points one key has, and comparing each of a hot key's points with
+each of its periods would be quadratic. So time is cut into cells: of ``CELL_SECONDS``, of 16 times
+that, and so on. A period is written as the few largest cells that tile what it covers whole, and
+as the two small cells at its ends; a point looks up the cells it lies in, one per size. Equality of
+cells replaces the comparison except in the end cells, where a point meets only periods that
+begin or end in the same minute. Of the periods that cover a cell whole only the latest is kept.
+
+Points are looked up as distinct (key, instant), so equal points cost nothing and all keep
+their rows. The sizes follow from the range of time alone: building the plan reads no data.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +23,10 @@ from pyspark.sql import functions as F
 from stagewise.functions.columns import col, names, overlaps
 from stagewise.operators.rank import latest_by
 
-HOT_PERIODS = 1000
-BROADCAST_KEYS = 100_000
-
-_BITS = 2
-_YEAR_ONE = -62135596800000000
-_CELL = ["_level", "_cell"]
+CELL_SECONDS = 60
+_BITS = 4
+_ALWAYS = ("0001-01-01 00:00:00", "9999-12-31 23:59:59")
+_ENDS = -1  # level of the cells at the ends of a period
 
 
 def latest_covering(
@@ -40,58 +37,60 @@ def latest_covering(
     start: str,
     end: str,
     take: Iterable[str],
-    point_id,
     *,
-    hot_periods: int = HOT_PERIODS,
+    within: tuple[str, str] = _ALWAYS,
 ) -> DataFrame:
     """Left join of every point to the period of its key that holds ``at`` and began
     last (both ends in), adding the period's ``start`` and ``take`` columns; equal
-    starts are settled by the largest ``take`` values. ``point_id`` names columns
-    that identify a point."""
-    keys, take, point_id = names(keys), list(take), names(point_id)
-    periods = _usable(periods, keys, start, end).select(*keys, start, end, *take)
-    hot = (
-        periods.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max(_micros(end) - _micros(start)).alias("_span"))
-        .where(F.col("_n") > hot_periods)
+    starts are settled by the largest ``take`` values. All rows of ``points`` stay, equal ones too.
+
+    ``within`` bounds the instants that are looked up (``yyyy-MM-dd HH:mm:ss``): periods are cut
+    to it before they become cells. A point outside of it finds nothing.
+    """
+    keys, take = names(keys), list(take)
+    first, last = (datetime.fromisoformat(t) for t in within)
+    cells = math.ceil(((last - first).total_seconds() + 1) / CELL_SECONDS) + 1
+    sizes = max(1, math.ceil(cells.bit_length() / _BITS))
+    origin = F.unix_micros(F.lit(within[0]).cast("timestamp"))
+
+    def micros(c) -> Column:
+        return F.unix_micros(col(c).cast("timestamp")) - origin
+
+    usable = _usable(periods, keys, start, end).where(overlaps(start, end, F.lit(within[0]), F.lit(within[1])))
+    best = F.struct(start, *take).alias("_best")
+    cut = usable.select(
+        *keys, best,
+        F.greatest(micros(start), F.lit(0)).alias("_lo"),
+        F.least(micros(end), micros(F.lit(within[1])) + 999_999).alias("_hi"),
+    )
+    whole = (
+        _tiled(cut, sizes).groupBy(*keys, "_level", "_cell").agg(F.max("_best").alias("_best"))
+        .withColumns({"_lo": F.lit(None).cast("long"), "_hi": F.lit(None).cast("long")})
     )
-    hot_keys, longest = hot.agg(F.count(F.lit(1)), F.max("_span")).first()
-    if hot_keys == 0:
-        found = _by_lookup(points, periods, keys, at, start, end, take)
-    else:
-        hot = hot.select(*keys)
-        if hot_keys <= BROADCAST_KEYS:
-            hot = F.broadcast(hot)
-        sizes = longest.bit_length() // _BITS + 1  # no larger cell fits the longest period
-        cold = [df.join(hot, keys, "left_anti") for df in (points, periods)]
-        warm = [df.join(hot, keys, "left_semi") for df in (points, periods)]
-        found = _by_lookup(*cold, keys, at, start, end, take).unionByName(
-            _by_cells(*warm, keys, at, start, end, take, point_id, sizes)
-        )
-    return found.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
-
-
-def _by_lookup(points, periods, keys, at, start, end, take) -> DataFrame:
-    short = periods.groupBy(*keys).agg(F.collect_list(F.struct(start, *take, end)).alias("_periods"))
-    held = F.filter("_periods", lambda p: (p[start] <= F.col(at)) & (p[end] >= F.col(at)))
-    best = F.array_max(F.transform(held, lambda p: F.struct(*[p[c].alias(c) for c in [start, *take]])))
-    return points.join(short, keys, "left").select(*points.columns, best.alias("_best"))
-
-
-def _by_cells(points, periods, keys, at, start, end, take, point_id, sizes) -> DataFrame:
-    # Of the periods that cover a cell only the latest can win.
-    winners = (
-        _tiled(periods, start, end, sizes)
-        .groupBy(*keys, *_CELL)
-        .agg(F.max(F.struct(start, *take)).alias("_best"))
+    unit = F.lit(CELL_SECONDS * 1_000_000)
+    ends = F.array_distinct(F.array(F.floor(F.col("_lo") / unit), F.floor(F.col("_hi") / unit)))
+    edges = cut.select(*keys, F.lit(_ENDS).alias("_level"), F.explode(ends).alias("_cell"), "_best", "_lo", "_hi")
+    covers = whole.unionByName(edges)
+
+    known = F.col(at).isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    asked = points.where(known).select(*keys, at).distinct().withColumn("_at", micros(at))
+    own = F.floor(F.col("_at") / unit)
+    levels = F.concat(
+        F.array(F.struct(F.lit(_ENDS).alias("_level"), own.alias("_cell"))),
+        F.array(*[F.struct(F.lit(n).alias("_level"), F.shiftright(own, _BITS * n).alias("_cell")) for n in range(sizes)]),
     )
-    matched = _located(points, at, sizes).join(winners, [*keys, *_CELL], "left")
-    others = [c for c in points.columns if c not in point_id]
-    return (
-        matched.groupBy(*point_id)
-        .agg(*[F.first(c).alias(c) for c in others], F.max("_best").alias("_best"))
-        .select(*points.columns, "_best")
+    located = asked.withColumn("_in", F.explode(levels)).select(*keys, at, "_at", "_in._level", "_in._cell")
+    inside = F.col("_lo").isNull() | F.col("_at").between(F.col("_lo"), F.col("_hi"))
+    found = (
+        located.join(covers, [*keys, "_level", "_cell"])
+        .where(inside)
+        .groupBy(*keys, at)
+        .agg(F.max("_best").alias("_best"))
     )
+    joined = points.join(found, [*keys, at], "left")
+    return joined.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
 
 
 def latest_valid(
@@ -114,21 +113,9 @@ def _usable(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFr
     return periods.where(keep)
 
 
-def _micros(c: str | Column) -> Column:
-    return F.unix_micros(col(c).cast("timestamp")) - F.lit(_YEAR_ONE)
-
-
-def _located(points: DataFrame, at: str, sizes: int) -> DataFrame:
-    """One row per point and cell size, with the cell the point lies in."""
-    cells = f"""
-      transform(sequence(0, {sizes - 1}), n -> struct(n AS _level, shiftright(_micros, {_BITS} * n) AS _cell))"""
-    located = points.withColumn("_micros", _micros(at)).withColumn("_in", F.explode(F.expr(cells)))
-    return located.select(*points.columns, "_in._level", "_in._cell")
-
-
-def _tiled(periods: DataFrame, start: str, end: str, sizes: int) -> DataFrame:
-    """One row per cell that tiles a period: at every size, the cells left over at
-    both ends once the next larger size has taken what it can."""
+def _tiled(cut: DataFrame, sizes: int) -> DataFrame:
+    """One row per cell that tiles what a period covers whole: at every size, the cells left over
+    at both ends once the next larger size has taken what it can."""
 
     def numbers(lo: str, hi: str) -> str:
         return f"if({lo} < {hi}, sequence({lo}, {hi} - 1), CAST(array() AS array<bigint>))"
@@ -137,17 +124,17 @@ def _tiled(periods: DataFrame, start: str, end: str, sizes: int) -> DataFrame:
     # larger cells, if there are any.
     inside = f"""
       transform(sequence(0, {sizes - 1}), n -> struct(n,
-        shiftright(_lo + shiftleft(1L, {_BITS} * n) - 1, {_BITS} * n) AS lo, shiftright(_hi, {_BITS} * n) AS hi))"""
+        shiftright(_from + shiftleft(1L, {_BITS} * n) - 1, {_BITS} * n) AS lo, shiftright(_to, {_BITS} * n) AS hi))"""
     split = f"""
       transform({inside}, s -> struct(s.n, s.lo, s.hi,
-        shiftleft(shiftright(s.lo + {(1 << _BITS) - 1}, {_BITS}), {_BITS}) AS up,
-        shiftleft(shiftright(s.hi, {_BITS}), {_BITS}) AS down))"""
+        if(s.n < {sizes - 1}, shiftleft(shiftright(s.lo + {(1 << _BITS) - 1}, {_BITS}), {_BITS}), s.hi) AS up,
+        if(s.n < {sizes - 1}, shiftleft(shiftright(s.hi, {_BITS}), {_BITS}), s.hi) AS down))"""
     left_over = f"""
       transform({split}, s -> struct(s.n, s.lo, s.hi,
         if(s.up < s.down, s.up, s.hi) AS up, if(s.up < s.down, s.down, s.hi) AS down))"""
     tiles = f"""
       flatten(transform({left_over}, s -> transform(
         concat({numbers('s.lo', 's.up')}, {numbers('s.down', 's.hi')}), c -> struct(s.n AS _level, c AS _cell))))"""
-    bounded = periods.withColumns({"_lo": _micros(start), "_hi": _micros(end) + 1})
-    tiled = bounded.select(*periods.columns, F.explode(F.expr(tiles)).alias("_tile"))
-    return tiled.select(*periods.columns, "_tile._level", "_tile._cell")
+    bounded = cut.withColumns({"_from": F.expr(f"(_lo + {CELL_SECONDS * 1_000_000} - 1) div {CELL_SECONDS * 1_000_000}"), "_to": F.expr(f"(_hi + 1) div {CELL_SECONDS * 1_000_000}")})
+    tiled = bounded.where("_from < _to").withColumn("_tile", F.explode(F.expr(tiles)))
+    return tiled.select(*[c for c in cut.columns if c not in ("_lo", "_hi")], "_tile._level", "_tile._cell")

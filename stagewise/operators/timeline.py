@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from stagewise.functions.columns import names
 
 
-def per_instant(df: DataFrame, keys, ts: str, amount: str) -> DataFrame:
-    """Amount (``_total``) and number of rows (``_ties``) per key and instant."""
+#: Minutes in a day, days in a key's history, instants in a minute: what one task orders.
+PIECES = ("day", "minute")
+
+
+def per_instant(df: DataFrame, keys, ts: str, amount: str, pieces: tuple[str, str] = PIECES) -> DataFrame:
+    """Amount (``_total``) and number of rows (``_ties``) per key and instant, and the fine piece
+    of the time axis that it lies in (``_fine``). The piece is an aggregate so that what joins demand of
+    it is not pushed below: all readers of one key's instants then share one exchange."""
     keys = names(keys)
     usable = F.col(ts).isNotNull()
     for key in keys:
@@ -19,10 +25,42 @@ def per_instant(df: DataFrame, keys, ts: str, amount: str) -> DataFrame:
     return (
         df.where(usable)
         .groupBy(*keys, ts)
-        .agg(F.sum(amount).alias("_total"), F.count(F.lit(1)).alias("_ties"))
+        .agg(
+            F.sum(amount).alias("_total"),
+            F.count(F.lit(1)).alias("_ties"),
+            F.min(F.date_trunc(pieces[1], ts)).alias("_fine"),
+        )
     )
 
 
+def _sums_before(
+    rows: DataFrame, keys: list[str], measures: list[str], coarse: str, later_first: bool
+) -> DataFrame:
+    """Per key and fine piece of the time axis, the sums over all pieces in front of it
+    (behind it, with ``later_first``), as ``_before_<measure>``.
+
+    Fine pieces are ordered inside one coarse piece only and coarse pieces inside a key, so
+    what one task orders is bounded by the calendar and not by the rows of a key.
+    """
+    own = rows.withColumn("_coarse", F.date_trunc(coarse, "_fine"))
+    fine_sums = own.groupBy(*keys, "_coarse", "_fine").agg(*[F.sum(m).alias(m) for m in measures])
+    coarse_sums = fine_sums.groupBy(*keys, "_coarse").agg(*[F.sum(m).alias(m) for m in measures])
+
+    def ordered(by: list[str], at: str):
+        order = F.col(at).desc() if later_first else F.col(at).asc()
+        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    inside, across = ordered([*keys, "_coarse"], "_fine"), ordered(keys, "_coarse")
+    fine_sums = fine_sums.select(*keys, "_coarse", "_fine", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
+    coarse_sums = coarse_sums.select(*keys, "_coarse", *[F.sum(m).over(across).alias(f"_out_{m}") for m in measures])
+    joined = fine_sums.join(coarse_sums, [*keys, "_coarse"])
+
+    def total(m: str):
+        return F.coalesce(f"_in_{m}", F.lit(0)) + F.coalesce(f"_out_{m}", F.lit(0))
+
+    return joined.select(*keys, "_fine", *[total(m).alias(f"_before_{m}") for m in measures])
+
+
 def suffix_sum(
     df: DataFrame,
     keys,
@@ -31,67 +69,64 @@ def suffix_sum(
     out: str = "amount_after",
     *,
     dedupe_ties: bool = False,
-    piece: str = "hour",
+    pieces: tuple[str, str] = PIECES,
 ) -> DataFrame:
     """Per key and instant, the amount of that and all later rows, to 2 decimals.
 
     ``n`` rows at one instant count the sum ``n`` times, as joining every row to the
     key's same-or-later rows does; ``dedupe_ties=True`` counts it once.
 
-    The running sum is taken inside pieces of the time axis and the sums of later
-    pieces are added. Only piece totals are ever ordered over a whole key, so a hot
-    key costs one task no more than the rows of one piece or the number of pieces.
+    The running sum is taken inside fine pieces of the time axis, and the sums of all later
+    pieces are added. ``df`` is read once: pieces are summed from the rows per instant, and
+    both uses of those ask for the same columns, so that they share one exchange.
     """
     keys = names(keys)
-    instants = per_instant(df, keys, ts, amount).withColumn("_piece", F.date_trunc(piece, ts))
-    inside = Window.partitionBy(*keys, "_piece").orderBy(F.col(ts).desc())
-    following = Window.partitionBy(*keys).orderBy(F.col("_piece").desc())
-
-    pieces = (
-        df.groupBy(*keys, F.date_trunc(piece, ts).alias("_piece"))
-        .agg(F.sum(amount).alias("_piece_total"))
-        .select(
-            *keys,
-            "_piece",
-            F.sum("_piece_total")
-            .over(following.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_later"),
-        )
-    )
+    return suffix_sum_of(per_instant(df, keys, ts, amount, pieces), keys, ts, out, dedupe_ties=dedupe_ties, pieces=pieces)
+
+
+def suffix_sum_of(
+    instants: DataFrame, keys, ts: str, out: str = "amount_after", *, dedupe_ties=False, pieces=PIECES
+) -> DataFrame:
+    """:func:`suffix_sum` from the rows of :func:`per_instant`."""
+    keys = names(keys)
+    later = _sums_before(instants, keys, ["_total", "_ties"], pieces[0], later_first=True)
+    inside = Window.partitionBy(*keys, "_fine").orderBy(F.col(ts).desc())
     running = instants.withColumn(
         "_running", F.sum("_total").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     )
-    both = F.coalesce(F.col("_running") + F.col("_later"), F.col("_running"), F.col("_later"))
+    # The number of later rows is never negative; asking for it keeps both sides on one exchange.
+    joined = running.join(later.where("_before__ties >= 0"), [*keys, "_fine"])
+    both = F.coalesce(F.col("_running") + F.col("_before__total"), F.col("_before__total"))
     value = both if dedupe_ties else both * F.col("_ties")
-    return running.join(pieces, [*keys, "_piece"]).select(*keys, ts, F.round(value, 2).alias(out))
+    return joined.select(*keys, ts, F.round(value, 2).alias(out))
 
 
 def timeline(
-    df: DataFrame,
-    keys,
-    ts: str,
-    fields: Iterable[str],
-    *,
-    piece: str = "day",
-    entries: int = 10_000,
-    out: str = "timeline",
+    df: DataFrame, keys, ts: str, fields: Iterable[str], *, pieces: tuple[str, str] = PIECES, out: str = "position"
 ) -> DataFrame:
-    """Time-ordered arrays of ``(ts, *fields)`` structs per key. A key's whole history
-    has no size bound, so it comes as numbered parts: one per ``piece`` of the time
-    axis, and more than one where a piece holds over ``entries`` entries. Read by
-    ``piece_start`` and ``part``, the arrays of a key are its timeline. Columns: keys,
-    ``piece_start``, ``part``, ``out``."""
+    """A key's timeline as rows: keys, ``ts``, fields, and the entry's place in the key's order
+    of ``(ts, *fields)``, from 1. The form is the same whatever the length of a history; an array
+    of all entries is ``collect_list`` over it where histories are known to be short."""
     keys, fields = names(keys), list(fields)
-    pieces = df.withColumn("piece_start", F.date_trunc(piece, ts))
-    ordered = Window.partitionBy(*keys, "piece_start").orderBy(ts, *fields)
-    numbered = pieces.withColumn("part", F.floor((F.row_number().over(ordered) - 1) / entries))
-    # Rows already sit with their key and piece: grouping by part as well moves nothing.
-    collected = F.array_sort(F.collect_list(F.struct(ts, *fields)))
-    return numbered.groupBy(*keys, "piece_start", "part").agg(collected.alias(out))
+    entries = df.select(*keys, ts, *fields).withColumns(
+        {"_one": F.lit(1).cast("long"), "_fine": F.date_trunc(pieces[1], ts)}
+    )
+    before = _sums_before(entries, keys, ["_one"], pieces[0], later_first=False)
+    inside = Window.partitionBy(*keys, "_fine").orderBy(ts, *fields)
+    numbered = entries.withColumn("_row", F.row_number().over(inside))
+    place = (F.col("_row") + F.col("_before__one")).alias(out)
+    return numbered.join(before, [*keys, "_fine"]).select(*keys, ts, *fields, place)
 
 
 def first_after(
     df: DataFrame, instants: DataFrame, key: str, ts: str, amount: str, outputs: dict[str, str]
+) -> DataFrame:
+    """:func:`first_after_of` over the rows per instant of ``df``."""
+    return first_after_of(per_instant(df, key, ts, amount), instants, key, ts, outputs)
+
+
+def first_after_of(
+    entries: DataFrame, instants: DataFrame, key: str, ts: str, outputs: dict[str, str]
 ) -> DataFrame:
     """First timeline entry strictly after an instant of the same key.
 
@@ -102,7 +137,7 @@ def first_after(
     An entry's suffix sum is the sum of everything after the instant, so this is a
     conditional aggregation: no array is built and nothing is sorted.
     """
-    joined = per_instant(df, key, ts, amount).join(instants, key)
+    joined = entries.join(instants, key)
     aggregates = []
     for name, instant in outputs.items():
         later = F.when(F.col(ts) > F.col(instant), F.col(ts))

@@ -12,6 +12,7 @@ backfill of a month is one job over one scan and not thirty.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from stagewise.functions.columns import comma_items, is_text, not_blank
 from stagewise.functions.dates import (
     contact_days,
     day_to_date,
-    instant_before,
+    instant_of,
     month_bounds,
     overlaps_days,
     to_day_int,
@@ -28,8 +29,8 @@ from stagewise.functions.dates import (
     within_days,
 )
 from stagewise.operators.convert import MONTH_END, conversions, total_orders
-from stagewise.operators.intervals import HOT_PERIODS, latest_covering
-from stagewise.operators.joins import enrich, funnel_join
+from stagewise.operators.intervals import latest_covering
+from stagewise.operators.joins import ROWS_PER_PART, enrich, funnel_join, parts_of, split_left_join
 from stagewise.operators.rank import first_by, latest_by
 from stagewise.operators.rollup import collapse_max, distinct_keys
 from stagewise.sources.scans import eligible_orders, scan_days, scan_events
@@ -172,39 +173,42 @@ def _periods(tables: FunnelTables, school_periods: DataFrame, lo: int, hi: int)
     return served.unionByName(school).where(overlaps_days("start_time", "end_time", lo, hi))
 
 
-def with_team(exposed: DataFrame, periods: DataFrame, keys: list[str], point_id, hot_periods: int) -> DataFrame:
-    """Adds the team whose period holds the instant one second before the exposure."""
-    at = exposed.withColumn("_instant", instant_before("event_time"))
+def with_team(exposed: DataFrame, periods: DataFrame, start: int, end: int) -> DataFrame:
+    """Adds the team whose period holds the instant one second before the exposure. The second is put
+    on the periods, so that all instants lie inside the days of the job."""
+    at = exposed.withColumn("_instant", instant_of("event_time"))
     periods = periods.withColumnRenamed("user_id", "u_user")
-    found = latest_covering(
-        at, periods, keys, "_instant", "start_time", "end_time", ["team_name"], point_id,
-        hot_periods=hot_periods,
-    )
+    days = (f"{day_to_date(start)} 00:00:00", f"{day_to_date(end)} 23:59:59")
+    found = latest_covering(at, periods, "u_user", "_instant", "start_time", "end_time", ["team_name"], within=days)
     return found.withColumn("team_name", F.coalesce("team_name", F.lit(NO_TEAM))).drop(
         "_instant", "start_time"
     )
 
 
-def daily_exposures(
-    tables: FunnelTables, start: int, end: int, hot_periods: int = HOT_PERIODS
-) -> DataFrame:
+def _one_second_later(periods: DataFrame, last: Column) -> DataFrame:
+    second = F.lit(timedelta(seconds=1))
+    return periods.withColumns({"start_time": F.col("start_time") + second, "end_time": last})
+
+
+def daily_exposures(tables: FunnelTables, start: int, end: int) -> DataFrame:
     """First exposures of every day with the team of a period that holds on that day;
     only one attribution of the school periods counts."""
     school = tables.school_periods.where(F.col("attribution") == SCHOOL_ATTRIBUTION)
-    periods = _periods(tables, school, start, end).withColumn(
-        "day", F.explode(_days_covered("start_time", "end_time", start, end))
-    )
+    periods = _periods(tables, school, start, end)
+    # The instant before may be on the day before, but the period must reach the exposure's own day:
+    # one that ends in the last second of a day does not hold for exposures of the next.
+    day_ends = F.date_trunc("day", "end_time") + F.lit(timedelta(days=1) - timedelta(microseconds=1))
+    last = F.least(F.col("end_time") + F.lit(timedelta(seconds=1)), day_ends)
     exposed = first_exposures(tables.events, start, end, per_day=True)
-    return with_team(exposed, periods, ["u_user", "day"], ["day", *ENTRANCE], hot_periods)
+    return with_team(exposed, _one_second_later(periods, last), start, end)
 
 
-def monthly_exposures(
-    tables: FunnelTables, start: int, end: int, hot_periods: int = HOT_PERIODS
-) -> DataFrame:
+def monthly_exposures(tables: FunnelTables, start: int, end: int) -> DataFrame:
     """First exposures of the whole month with the team of any period that touches it."""
     periods = _periods(tables, tables.school_periods, start, end)
+    last = F.col("end_time") + F.lit(timedelta(seconds=1))
     exposed = first_exposures(tables.events, start, end, per_day=False)
-    return with_team(exposed, periods, ["u_user"], ENTRANCE, hot_periods)
+    return with_team(exposed, _one_second_later(periods, last), start, end)
 
 
 def _days_covered(start: str, end: str, lo: int, hi: int) -> Column:
@@ -230,44 +234,68 @@ def _pulled(tables: FunnelTables, start: int, end: int) -> DataFrame:
     )
 
 
+def contact_keys(tables: FunnelTables, start: int, end: int) -> tuple[DataFrame, DataFrame]:
+    """Contacts per day, user, channel, worker and external id from one pass, and per (day, user,
+    channel) whether the code was got and how many were added. Both are small next to the contacts."""
+    on_days = F.explode(contact_days("created_at", start, end)).alias("day")
+    touched = _contacts(tables, start, end).select(
+        on_days, "user_id", "channel_id", "worker_id", "external_user_id", "created_at"
+    )
+    contacts = touched.groupBy("day", "user_id", "channel_id", "worker_id", "external_user_id").agg(
+        F.max(to_day_int("created_at") == F.col("day")).alias("is_got")
+    )
+    added = F.count(F.when(is_text("external_user_id"), 1))
+    entered = (
+        contacts.groupBy("day", "user_id", "channel_id")
+        .agg(F.max("is_got").alias("is_got"), added.alias("n_added"))
+        .where("is_got")
+        .drop("is_got")
+    )
+    return contacts, entered
+
+
 def daily_contacts(tables: FunnelTables, start: int, end: int) -> DataFrame:
     """Got the code -> added the worker -> pulled into the pool, per day, with the
     orders of the pulled user. Columns: day, channel_id, CONTACT_COLUMNS, paid_*."""
-    on_days = F.explode(contact_days("created_at", start, end)).alias("day")
-    touched = _contacts(tables, start, end).select("*", on_days)
-    got = distinct_keys(touched.where(to_day_int("created_at") == F.col("day")), ["day", "user_id", "channel_id"])
-    added = distinct_keys(
-        touched.where(is_text("external_user_id")),
-        ["day", "user_id", "worker_id", "external_user_id", "channel_id"],
+    return _daily_contacts(tables, start, end, *contact_keys(tables, start, end))
+
+
+def _daily_contacts(tables: FunnelTables, start: int, end: int, contacts: DataFrame, entered: DataFrame) -> DataFrame:
+    entered = entered.select(
+        F.col("day").alias("_day"), F.col("user_id").alias("get_wechat_user"), F.col("channel_id").alias("_channel"), "n_added"
     )
+    # Who added comes from an inner join, which splits on both sides; who did not is known
+    # from the count.
+    same = (
+        (F.col("day") == F.col("_day")) & (F.col("user_id") == F.col("get_wechat_user"))
+        & (F.col("channel_id") == F.col("_channel"))
+    )
+    kept = ["_day", "_channel", "get_wechat_user", "n_added"]
+    added = contacts.where(is_text("external_user_id")).join(entered, same)
+    added = added.select(*kept, F.col("user_id").alias("add_wechat_user"), "worker_id", "external_user_id")
+    alone = entered.where("n_added = 0").select(*kept)
+    reached = added.unionByName(alone, allowMissingColumns=True)
+
+    on_days = F.explode(contact_days("created_at", start, end)).alias("_pull_day")
+    pulled = _pulled(tables, start, end).select(
+        on_days, F.col("user_id").alias("pull_wechat_user"), F.col("worker_id").alias("_worker"),
+        "we_com_open_id", "info_uuid",
+    )
+    on = {
+        "_day": "_pull_day", "add_wechat_user": "pull_wechat_user", "external_user_id": "we_com_open_id",
+        "worker_id": "_worker",
+    }
+    parts = parts_of(pulled, list(on.values()))
+    pulled = pulled.join(parts, list(on.values()))
+    reached = split_left_join(reached, pulled, on, parts, ["info_uuid"])
     paid = conversions(
         eligible_orders(tables.orders), "user_id", "pay_time", "amount", start, end, DAILY_WINDOWS
-    )
-    pulled = _pulled(tables, start, end).select("*", on_days).join(paid, ["user_id", "day"], "left")
+    ).withColumnsRenamed({"user_id": "pull_wechat_user", "day": "_day"})
     paid_columns = [c for c in paid.columns if c.startswith("paid_")]
-    stages = [
-        got.select("day", F.col("user_id").alias("get_wechat_user"), "channel_id"),
-        added.select(
-            F.col("day").alias("_day"), F.col("user_id").alias("add_wechat_user"),
-            F.col("channel_id").alias("_channel"), "worker_id", "external_user_id",
-        ),
-        pulled.select(
-            F.col("day").alias("_pull_day"), F.col("user_id").alias("pull_wechat_user"),
-            F.col("worker_id").alias("_worker"), "we_com_open_id", "info_uuid", *paid_columns,
-        ),
-    ]
-    joined = funnel_join(
-        stages,
-        [
-            {"day": "_day", "get_wechat_user": "add_wechat_user", "channel_id": "_channel"},
-            {
-                "_day": "_pull_day", "add_wechat_user": "pull_wechat_user",
-                "external_user_id": "we_com_open_id", "worker_id": "_worker",
-            },
-        ],
-        split_right=True,
-    )
-    return joined.select("day", "channel_id", *CONTACT_COLUMNS, *paid_columns)
+    reached = reached.join(paid, ["pull_wechat_user", "_day"], "left")
+    return reached.select(
+        F.col("_day").alias("day"), F.col("_channel").alias("channel_id"), *CONTACT_COLUMNS, *paid_columns
+    )
 
 
 def monthly_contacts(tables: FunnelTables, start: int, end: int) -> DataFrame:
@@ -347,34 +375,22 @@ def monthly_channels(tables: FunnelTables, start: int, end: int) -> DataFrame:
 
 # --- funnels ------------------------------------------------------------------
 
-def _assemble(
-    exposed: DataFrame, clicked: DataFrame, contacts: DataFrame, users: DataFrame, channels: DataFrame,
-    windows, period: list[str],
-) -> DataFrame:
-    """Left joins of all parts. ``period`` is ``["day"]`` or empty and is part of every key."""
-    clicked = clicked.select(
-        F.col("u_user").alias("click_entrance_user"),
-        *[F.col(c).alias(f"_click_{c}") for c in [*period, "scene", "task_id", "operate_id"]],
-    )
-    contacts = contacts.withColumnsRenamed({c: f"_contact_{c}" for c in [*period, "channel_id"]})
+def _with_payers(contacts: DataFrame, windows) -> DataFrame:
     for w in windows:
         paid_user = F.when(F.col(f"paid_{w}_order_cnt").isNotNull(), F.col("pull_wechat_user"))
         contacts = contacts.withColumn(f"paid_{w}_user", paid_user)
-    shared = {c: f"_click_{c}" for c in [*period, "scene", "task_id", "operate_id"]}
-    contacted = funnel_join(
-        [clicked, contacts],
-        [
-            {
-                "click_entrance_user": "get_wechat_user", "_click_task_id": "_contact_channel_id",
-                **{f"_click_{c}": f"_contact_{c}" for c in period},
-            }
-        ],
-        split_right=bool(period),  # monthly contacts are one row per user and channel
-    )
-    # The team lookup has left the exposures partitioned by user; joining the users next
-    # moves nothing.
-    known = exposed.join(users, ["u_user", *period], "left")
-    reached = funnel_join([known, contacted], [{"u_user": "click_entrance_user", **shared}])
+    return contacts
+
+
+def _clicked(clicked: DataFrame, period: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    keys = [*period, "scene", "task_id", "operate_id"]
+    renamed = clicked.select(
+        F.col("u_user").alias("click_entrance_user"), *[F.col(c).alias(f"_click_{c}") for c in keys]
+    )
+    return renamed, {"u_user": "click_entrance_user", **{c: f"_click_{c}" for c in keys}}
+
+
+def _finish(reached: DataFrame, channels: DataFrame, period: list[str]) -> DataFrame:
     channels = channels.withColumnRenamed("qr_code_id", "task_id")
     return enrich(reached, channels, ["task_id", *period]).withColumns(
         {
@@ -385,25 +401,40 @@ def _assemble(
     )
 
 
-def daily_funnel(
-    tables: FunnelTables, start: int, end: int | None = None, *, hot_periods: int = HOT_PERIODS
-) -> DataFrame:
-    """DAILY_COLUMNS plus ``day``, for one day or for every day of ``[start, end]``."""
-    end = start if end is None else end
-    exposed = daily_exposures(tables, start, end, hot_periods)
-    clicked = distinct_keys(clicks(tables.events, start, end), ["day", *ENTRANCE])
-    return _assemble(
-        exposed, clicked, daily_contacts(tables, start, end), daily_users(tables, start, end),
-        daily_channels(tables, start, end), DAILY_WINDOWS, ["day"],
-    ).select(*DAILY_COLUMNS, "day")
-
+def daily_funnel(tables: FunnelTables, start: int, end: int | None = None) -> DataFrame:
+    """DAILY_COLUMNS plus ``day``, for one day or for every day of ``[start, end]``.
 
-def monthly_funnel(tables: FunnelTables, month: int, *, hot_periods: int = HOT_PERIODS) -> DataFrame:
-    """MONTHLY_COLUMNS for a yyyyMM month."""
+    Exposures, clicks and users are one row per key and meet in plain left joins; the contacts, of which one
+    user, channel and day may have very many, are dealt to parts by the number of added workers.
+    """
+    end = start if end is None else end
+    exposed = daily_exposures(tables, start, end)
+    known = exposed.join(daily_users(tables, start, end), ["u_user", "day"], "left")
+    clicked, on = _clicked(distinct_keys(clicks(tables.events, start, end), ["day", *ENTRANCE]), ["day"])
+    reached = funnel_join([known, clicked], [on])
+    contacts, entered = contact_keys(tables, start, end)
+    contacted = _with_payers(_daily_contacts(tables, start, end, contacts, entered), DAILY_WINDOWS)
+    names_ = {"day": "_contact_day", "user_id": "get_wechat_user", "channel_id": "_contact_channel"}
+    parts = entered.withColumnsRenamed(names_).withColumn(
+        "_parts", F.greatest(F.ceil(F.col("n_added") / ROWS_PER_PART), F.lit(1)).cast("int")
+    ).drop("n_added")
+    contacted = contacted.withColumnsRenamed({"day": "_contact_day", "channel_id": "_contact_channel"})
+    contacted = contacted.join(parts, list(names_.values()))
+    on = {"click_entrance_user": "get_wechat_user", "_click_task_id": "_contact_channel", "_click_day": "_contact_day"}
+    reached = split_left_join(reached, contacted, on, parts, ["add_wechat_user", "info_uuid"])
+    return _finish(reached, daily_channels(tables, start, end), ["day"]).select(*DAILY_COLUMNS, "day")
+
+
+def monthly_funnel(tables: FunnelTables, month: int) -> DataFrame:
+    """MONTHLY_COLUMNS for a yyyyMM month. Contacts are one row per user and channel here."""
     start, end = month_bounds(month)
-    exposed = monthly_exposures(tables, start, end, hot_periods)
-    clicked = distinct_keys(clicks(tables.events, start, end), ENTRANCE)
-    return _assemble(
-        exposed, clicked, monthly_contacts(tables, start, end), monthly_users(tables, start, end),
-        monthly_channels(tables, start, end), ["current_month"], [],
-    ).select(*MONTHLY_COLUMNS)
+    exposed = monthly_exposures(tables, start, end)
+    known = exposed.join(monthly_users(tables, start, end), "u_user", "left")
+    clicked, on = _clicked(distinct_keys(clicks(tables.events, start, end), ENTRANCE), [])
+    contacted = _with_payers(monthly_contacts(tables, start, end), ["current_month"])
+    contacted = contacted.withColumnRenamed("channel_id", "_contact_channel")
+    reached = funnel_join(
+        [known, clicked, contacted],
+        [on, {"click_entrance_user": "get_wechat_user", "_click_task_id": "_contact_channel"}],
+    )
+    return _finish(reached, monthly_channels(tables, start, end), []).select(*MONTHLY_COLUMNS)

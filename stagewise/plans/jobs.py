@@ -1,4 +1,5 @@
-"""The nightly jobs: parameters in, partitions overwritten."""
+"""The nightly jobs: parameters in, partitions overwritten. A target is a path, or the name of a
+catalog table that is partitioned by ``day`` or ``month``."""
 
 from __future__ import annotations
 
@@ -12,30 +13,30 @@ from stagewise.functions.dates import (
 )
 from stagewise.plans.funnel import FunnelTables, daily_funnel, monthly_funnel
 from stagewise.plans.pool import PaidPoolTables, month_pool, paid_pool
-from stagewise.sources.sinks import write_days, write_partition
+from stagewise.sources.sinks import overwrite_partition, write_days
 
 
-def run_daily_funnel(tables: FunnelTables, day: int, path: str) -> list[int]:
+def run_daily_funnel(tables: FunnelTables, day: int, target: str) -> list[int]:
     """Recomputes every day of the backfill range of ``day`` in one job: contacts and
     orders of the days before keep arriving. Returns the days that were overwritten."""
     start, end = backfill_bounds(day)
     span = (day_to_date(end) - day_to_date(start)).days
     days = [days_before(end, n) for n in range(span, -1, -1)]
-    write_days(daily_funnel(tables, start, end), path, days)
+    write_days(daily_funnel(tables, start, end), target, days)
     return days
 
 
-def run_monthly_funnel(tables: FunnelTables, day: int, path: str) -> None:
+def run_monthly_funnel(tables: FunnelTables, day: int, target: str) -> None:
     month = month_of(day)
-    write_partition(monthly_funnel(tables, month), path, {"month": month})
+    overwrite_partition(monthly_funnel(tables, month), target, {"month": month})
 
 
 def run_month_pool(
-    pool_days: DataFrame, denials: DataFrame, allocations: DataFrame, day: int, path: str
+    pool_days: DataFrame, denials: DataFrame, allocations: DataFrame, day: int, target: str
 ) -> None:
     month = month_of(day)
-    write_partition(month_pool(pool_days, denials, allocations, month), path, {"month": month})
+    overwrite_partition(month_pool(pool_days, denials, allocations, month), target, {"month": month})
 
 
-def run_paid_pool(tables: PaidPoolTables, day: int, path: str) -> None:
-    write_partition(paid_pool(tables, day), path, {"month": month_of(day)})
+def run_paid_pool(tables: PaidPoolTables, day: int, target: str) -> None:
+    overwrite_partition(paid_pool(tables, day), target, {"month": month_of(day)})

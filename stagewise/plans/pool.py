@@ -7,8 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagewise.functions.dates import day_int_to_date, month_bounds, month_of, to_day_int
-from stagewise.operators.joins import flag_member
+from stagewise.functions.dates import day_int_to_date, month_bounds, month_of, overlaps_days, to_day_int
 from stagewise.operators.rank import first_and_latest, first_by
 from stagewise.operators.rollup import (
     distinct_keys,
@@ -17,7 +16,7 @@ from stagewise.operators.rollup import (
     min_when,
     rollup_columns,
 )
-from stagewise.operators.timeline import first_after, suffix_sum
+from stagewise.operators.timeline import first_after_of, per_instant, suffix_sum_of
 from stagewise.sources.scans import eligible_team_orders, scan_days, scan_month
 
 # Fixed value: the clue source that counts as the middle-school team.
@@ -130,13 +129,25 @@ def paid_pool(tables: PaidPoolTables, day: int) -> DataFrame:
     )
     base = status.drop("day").join(active, "user_sk")
 
-    # Whether a clue covers the first active day. Testing clues against the one row of
-    # their user and keeping distinct users never multiplies the pool rows.
-    covering = tables.clues.select(
-        "user_sk", "created_sk", to_day_int("clue_expire_time").alias("_expires")
-    ).join(base.select("user_sk", "day"), "user_sk")
-    covering = covering.where(F.col("day").between(F.col("created_sk"), F.col("_expires")))
-    base = flag_member(base, covering, "user_sk", "is_tele_belong_first_month")
+    # Whether a clue covers the first active day. A clue that begins after the job's day or
+    # ends before its month cannot; the bounds stand on the bare columns. A user's clues become one
+    # array of distinct day pairs, at most one per day of the past and day of the month.
+    lasting = tables.clues.where(
+        (F.col("created_sk") <= day) & overlaps_days("clue_expire_time", "clue_expire_time", start, 99991230)
+    )
+    spans = (
+        lasting.select(
+            "user_sk", "created_sk", F.least(to_day_int("clue_expire_time"), F.lit(day)).alias("_expires")
+        )
+        .groupBy("user_sk", "_expires")
+        .agg(F.min("created_sk").alias("_from"))
+        .groupBy("user_sk")
+        .agg(F.collect_list(F.struct("_from", "_expires")).alias("_spans"))
+    )
+    covered = F.exists("_spans", lambda s: F.col("day").between(s["_from"], s["_expires"]))
+    base = base.join(spans, "user_sk", "left").withColumn(
+        "is_tele_belong_first_month", F.when(F.coalesce(covered, F.lit(False)), 1).otherwise(0)
+    )
 
     # A user's denial row is also the proof of having been pushed.
     pushed = first_by(
@@ -160,15 +171,15 @@ def paid_pool(tables: PaidPoolTables, day: int) -> DataFrame:
         )
     )
     orders = eligible_team_orders(tables.orders, start, day)
+    instants = per_instant(orders, "user_id", "pay_time", "amount")
     amounts = (
-        suffix_sum(orders, "user_id", "pay_time", "amount")
+        suffix_sum_of(instants, "user_id", "pay_time")
         .groupBy("user_id")
         .agg(F.max("amount_after").alias("active_paid_amount_all"))
     )
-    after = first_after(
-        orders, received, "user_id", "pay_time", "amount",
-        {"_mid": "mid_recieve_time", "_all": "recieve_time"},
-    )
+    after = first_after_of(
+        instants, received, "user_id", "pay_time", {"_mid": "mid_recieve_time", "_all": "recieve_time"}
+    )
     received = received.withColumnRenamed("user_id", "active_recieve_u_user_all")
     paid = amounts.join(after, "user_id", "left").withColumnRenamed("user_id", "active_paid_u_user_all")
 

@@ -10,7 +10,6 @@ BROADCAST_BYTES = 83886080
 SKEW_PARTITION_BYTES = "64MB"
 
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -26,8 +25,10 @@ SETTINGS = {
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    for name, value in SETTINGS.items():
+def apply_settings(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
+    """``time_zone`` decides which day an instant belongs to; without it the session keeps its own."""
+    zone = {} if time_zone is None else {"spark.sql.session.timeZone": time_zone}
+    for name, value in {**SETTINGS, **zone}.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
     return spark
@@ -39,12 +40,14 @@ def build_session(
     master: str | None = None,
     hive: bool = False,
     dynamic_allocation: bool = False,
+    time_zone: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session for the nightly jobs. ``hive`` and ``dynamic_allocation`` are
+    """Session for the nightly jobs; ``time_zone`` as in :func:`apply_settings`. ``hive`` and ``dynamic_allocation`` are
     deployment choices: both need services that a local run does not have."""
     builder = SparkSession.builder.appName(app_name)
-    for name, value in {**SETTINGS, **START_SETTINGS, **(extra or {})}.items():
+    zone = {} if time_zone is None else {"spark.sql.session.timeZone": time_zone}
+    for name, value in {**SETTINGS, **START_SETTINGS, **zone, **(extra or {})}.items():
         builder = builder.config(name, value)
     if master is not None:
         builder = builder.master(master)

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stagewise.sources.scans import ROW_LIMIT
-
 
 def register_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
 
 
-def run_sql(spark: SparkSession, text: str, limit: int = ROW_LIMIT) -> DataFrame:
-    """Result of a query with the row limit every ad-hoc query carries. It stays a
-    DataFrame; :func:`stagewise.sources.sinks.deliver` decides how it is handed out."""
-    return spark.sql(text.strip().rstrip(";")).limit(limit)
+def run_sql(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
+    """Whole result of a query; ``limit`` only where the caller wants fewer rows. It stays
+    a DataFrame; :func:`stagewise.sources.sinks.deliver` decides how it is handed out."""
+    found = spark.sql(text.strip().rstrip(";"))
+    return found if limit is None else found.limit(limit)

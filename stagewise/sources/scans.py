@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from stagewise.functions.dates import date_to_day, day_to_date, month_bounds, month_of, within_days
 
-# The limits stated for event queries.
+# The days an event query may span, and the types of events.
 MAX_EVENT_DAYS = 7
-ROW_LIMIT = 100000
 EVENT_TYPES = ("click", "dev", "get", "enter", "popup", "other")
 
 EVENT_COLUMNS = (
@@ -81,20 +80,21 @@ def guarded_scan(
     end: int,
     event_types: Iterable[str],
     columns: Iterable[str],
-    limit: int = ROW_LIMIT,
+    limit: int | None = None,
     known_types: Iterable[str] = EVENT_TYPES,
 ) -> DataFrame:
     """Ad-hoc event scan that refuses what the query rules forbid: no event type,
-    more than seven days, ``*`` instead of named columns, no row limit."""
+    more than seven days, ``*`` instead of named columns. All rows come unless ``limit`` asks for fewer."""
     event_types, columns = list(event_types), list(columns)
     unknown = set(event_types) - set(known_types)
     if not event_types or unknown:
         raise ValueError(f"event types must be among {tuple(known_types)}, got {event_types}")
     if not columns or "*" in columns:
         raise ValueError("columns must be named")
-    if not 0 < limit <= ROW_LIMIT:
-        raise ValueError(f"limit must be between 1 and {ROW_LIMIT}")
+    if limit is not None and limit < 1:
+        raise ValueError("a limit must be 1 or more")
     span = (day_to_date(end) - day_to_date(start)).days + 1
     if not 1 <= span <= MAX_EVENT_DAYS:
         raise ValueError(f"{date_to_day(day_to_date(start))}..{end} is {span} days, allowed are 1 to 7")
-    return scan_events(events, start, end, event_types, columns=columns).limit(limit)
+    found = scan_events(events, start, end, event_types, columns=columns)
+    return found if limit is None else found.limit(limit)

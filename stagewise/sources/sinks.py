@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 INLINE_ROWS = 20
@@ -26,28 +27,64 @@ def write_table_partition(df: DataFrame, table: str, partition: dict[str, int])
     )
 
 
-def write_days(df: DataFrame, path: str, days: list[int], day: str = "day", fmt: str = "parquet") -> None:
-    """Overwrites the partitions of ``days`` from one job. A day without rows ends up
+def is_table(target: str) -> bool:
+    """A target with a slash is a path, any other is a table of the catalog."""
+    return "/" not in target
+
+
+def overwrite_partition(df: DataFrame, target: str, partition: dict[str, int]) -> None:
+    """:func:`write_partition` or :func:`write_table_partition`, by what the target is."""
+    if is_table(target):
+        write_table_partition(df, target, partition)
+    else:
+        write_partition(df, target, partition)
+
+
+def write_days(df: DataFrame, target: str, days: list[int], day: str = "day") -> None:
+    """Overwrites the partitions of ``days`` in a path or a catalog table. A day without rows ends up
     empty, as if it had been written on its own; other days are left alone.
 
-    Rows are rebalanced per day before the write: adaptive execution splits a large
-    day over many tasks and files and packs small ones.
+    The plan runs once, into a staging folder. Only when it is through, and no row is of a
+    day that was not asked for (``ValueError``), is the target touched: days without rows are
+    emptied first, then the others are replaced. A failing plan or a stray day leaves the target as it
+    was. Rows are rebalanced per day: adaptive execution splits a large day over many tasks and
+    files and packs small ones.
     """
-    kept = df.where(F.col(day).isin(*days))
+    spark = df.sparkSession
+    root = spark.conf.get("spark.sql.warehouse.dir") if is_table(target) else target
+    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     written = Observation()
-    (
-        kept.hint("rebalance", day)
-        .observe(written, F.collect_set(day).alias("days"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .format(fmt)
-        .save(path)
-    )
-    filled = set(written.get["days"])
-    nothing = df.sparkSession.createDataFrame([], df.drop(day).schema)
-    for missing in sorted(set(days) - filled):
-        write_partition(nothing, path, {day: missing}, fmt)
+    try:
+        (
+            df.hint("rebalance", day)
+            .observe(written, F.collect_set(day).alias("days"))
+            .write.parquet(staging)
+        )
+        filled = set(written.get["days"])
+        if stray := filled - set(days):
+            raise ValueError(f"rows of days that were not asked for: {sorted(stray)}")
+        staged = spark.read.schema(df.schema).parquet(staging)
+        nothing = spark.createDataFrame([], df.drop(day).schema)
+        for missing in sorted(set(days) - filled):
+            overwrite_partition(nothing, target, {day: missing})
+        if is_table(target):
+            for one in sorted(filled):
+                write_table_partition(staged.where(F.col(day) == one), target, {day: one})
+        elif filled:
+            (
+                staged.hint("rebalance", day)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(day)
+                .parquet(target)
+            )
+    finally:
+        _delete(spark, staging)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @dataclass(frozen=True)
@@ -62,14 +99,18 @@ class Delivery:
 
 
 def deliver(df: DataFrame, path: str, threshold: int = INLINE_ROWS) -> Delivery:
-    """Small results as text, larger ones as distributed CSV. At most
-    ``threshold + 1`` rows ever reach the driver."""
-    preview = df.limit(threshold + 1).toPandas()
-    if preview.empty:
-        return Delivery("empty", 0)
-    if len(preview) <= threshold:
-        return Delivery("inline", len(preview), text=preview.to_csv(sep="\t", index=False))
+    """Small results as text, larger ones as distributed CSV. The plan runs once: its rows are
+    written and counted, and read back (and the files dropped) only if they are few. At most
+    ``threshold`` rows ever reach the driver."""
+    spark = df.sparkSession
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").option("header", True).csv(path)
-    return Delivery("file", written.get["rows"], path=path)
+    rows = written.get["rows"]
+    if rows > threshold:
+        return Delivery("file", rows, path=path)
+    kept = spark.read.schema(df.schema).option("header", True).csv(path).toPandas() if rows else None
+    _delete(spark, path)
+    if kept is None:
+        return Delivery("empty", 0)
+    return Delivery("inline", rows, text=kept.to_csv(sep="\t", index=False))

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def dedup_stream(df: DataFrame, event_id: str, ts: str, delay: str = "10 minutes") -> DataFrame:
-    """Drops events whose id was seen before. On a stream, ids are remembered until the
-    watermark passes (state is bounded by time); on a table, for all of it."""
-    if df.isStreaming:
-        return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([event_id])
-    return df.dropDuplicates([event_id])
+def dedup_stream(df: DataFrame, event_id: str, remember: str = "1 day") -> DataFrame:
+    """Drops events whose id was seen before; a first delivery is never dropped, however old its
+    own time is. On a stream, an id is remembered for ``remember`` after it arrived, so the state is bounded by
+    what arrives in that time; a repeat that comes later passes again. On a table, for all of it."""
+    if not df.isStreaming:
+        return df.dropDuplicates([event_id])
+    arrived = "_arrived"
+    while arrived in df.columns:
+        arrived = f"_{arrived}"
+    # The watermark runs on the time of arrival, which no event can be late for.
+    stamped = df.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, remember)
+    return stamped.dropDuplicatesWithinWatermark([event_id]).drop(arrived)

@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[8]",
+        time_zone="UTC",
         extra={
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",

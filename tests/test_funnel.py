@@ -111,8 +111,7 @@ TEAM_CASES = {
 }
 
 
-@pytest.mark.parametrize("hot_periods", [1000, 0])
-def test_team_before_the_exposure(tables, hot_periods):
+def test_team_before_the_exposure(tables):
     t = tables(
         [shown(user) for user in TEAM_CASES] + [shown("school a"), shown("school b"), shown("both"), shown("none"), shown("midnight", "2024-01-10 00:00:00")],
         service=[(u, 1, at(s), at(e)) for u, ((s, e), _, _) in TEAM_CASES.items()]
@@ -121,8 +120,8 @@ def test_team_before_the_exposure(tables, hot_periods):
         school=[("school a", at("2024-01-01 00:00:00"), at("2024-02-01 00:00:00"), "a"), ("school b", at("2024-01-01 00:00:00"), at("2024-02-01 00:00:00"), "b"),
                 ("both", at("2024-01-04 00:00:00"), at("2024-02-01 00:00:00"), "b")],
     )
-    day = {r.u_user: r.team_name for r in funnel.daily_exposures(t, 20240110, 20240110, hot_periods).collect()}
-    month = {r.u_user: r.team_name for r in funnel.monthly_exposures(t, 20240101, 20240131, hot_periods).collect()}
+    day = {r.u_user: r.team_name for r in funnel.daily_exposures(t, 20240110, 20240110).collect()}
+    month = {r.u_user: r.team_name for r in funnel.monthly_exposures(t, 20240101, 20240131).collect()}
     for user, (_, by_day, by_month) in TEAM_CASES.items():
         assert (day[user], month[user]) == (by_day, by_month)
     # The day counts one attribution only; a period must hold on the day itself.

@@ -38,12 +38,16 @@ def drawn():
     return points, periods
 
 
-@pytest.mark.parametrize("hot_periods", [1000, 80, 0])
-def test_latest_covering_equals_brute_force(spark, drawn, hot_periods):
+WITHIN = {}, {"within": ("2023-12-31 00:00:00", "2024-01-05 23:59:59")}
+
+
+@pytest.mark.parametrize("options", WITHIN)
+def test_latest_covering_equals_brute_force(spark, drawn, options):
     points, periods = drawn
+    points = points + points[:50]  # equal points keep all their rows
     p = spark.createDataFrame(points, "id int, u string, at timestamp")
     v = spark.createDataFrame(periods, "u string, s timestamp, e timestamp, team string")
-    found = latest_covering(p, v, "u", "at", "s", "e", ["team"], "id", hot_periods=hot_periods)
+    found = latest_covering(p, v, "u", "at", "s", "e", ["team"], **options)
     got = sorted((r.id, str(r.s), str(r.team)) for r in found.collect())
     want = []
     for i, user, at in points:
@@ -53,12 +57,17 @@ def test_latest_covering_equals_brute_force(spark, drawn, hot_periods):
     assert got == sorted(want)
 
 
-def test_cold_keys_cost_one_join(spark, drawn, plan_of):
+def test_building_the_plan_reads_nothing(spark, drawn, plan_of):
     points, periods = drawn
     p = spark.createDataFrame(points, "id int, u string, at timestamp")
     v = spark.createDataFrame(periods, "u string, s timestamp, e timestamp, team string")
-    plan = plan_of(latest_covering(p, v, "u", "at", "s", "e", ["team"], "id"), final=True)
-    assert "_tile" not in plan and "NestedLoop" not in plan
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    found = latest_covering(p, v, "u", "at", "s", "e", ["team"])
+    plan = plan_of(found)
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    spark.sparkContext.setJobGroup("other", "")
 
 
 def test_latest_version_valid_in_period(spark):

@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from stagewise.functions.columns import comma_items, not_blank
@@ -56,12 +57,21 @@ def test_funnel_join_equals_joining_from_the_front(spark):
     front = a.join(b, (F.col("a") == F.col("b")) & (F.col("n") == F.col("bn")), "left").join(
         c, F.col("b") == F.col("c"), "left"
     )
-    split = joins.funnel_join([a, b, c], [{"a": "b", "n": "bn"}, {"b": "c"}], split_right=True)
-    for result in (got, split):
-        assert sorted(map(str, result.select(*front.columns).collect())) == sorted(map(str, front.collect()))
+    assert sorted(map(str, got.select(*front.columns).collect())) == sorted(map(str, front.collect()))
     assert got.count() == 7
 
 
+@pytest.mark.parametrize("rows_per_part", [1, 2, 100])
+def test_split_left_join_equals_a_left_join(spark, rows_per_part):
+    left = spark.createDataFrame([("u1", 1), ("u1", 2), ("u2", 3), (None, 4), ("u2", 3)], "a string, n int")
+    right = spark.createDataFrame([("u1", i) for i in range(5)] + [("u3", 9), (None, 8)], "b string, v int")
+    parts = joins.parts_of(right.where("b is not null"), ["b"], rows_per_part)
+    dealt = right.join(parts, "b")
+    got = joins.split_left_join(left, dealt, {"a": "b"}, parts, ["v"]).select("a", "n", "b", "v")
+    want = left.join(right, F.col("a") == F.col("b"), "left")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_flags_enrichment_and_union(spark):
     base = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     members = spark.createDataFrame([(1,), (1,), (None,)], "k int")
@@ -114,8 +124,8 @@ def _self_join(spark, df):
 
 def test_suffix_sum_equals_the_self_join(spark):
     df = _payments(spark)
-    for piece in ("hour", "day", "month"):
-        assert rows(timeline.suffix_sum(df, "u", "t", "m", piece=piece)) == rows(_self_join(spark, df))
+    for pieces in (("day", "minute"), ("month", "hour"), ("year", "second")):
+        assert rows(timeline.suffix_sum(df, "u", "t", "m", pieces=pieces)) == rows(_self_join(spark, df))
     clean = timeline.suffix_sum(df, "u", "t", "m", dedupe_ties=True)
     assert [r[2] for r in rows(clean)] == [21.0, 18.0, 15.0, 6.0, -2.0, -2.0]
 
@@ -124,15 +134,36 @@ def test_suffix_sum_equals_the_self_join_on_given_orders(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
         F.col("o_custkey").alias("u"), F.col("o_orderdate").alias("t"), F.col("o_totalprice").alias("m")
     )
-    got, want = timeline.suffix_sum(orders, "u", "t", "m", piece="month"), _self_join(spark, orders)
+    got, want = timeline.suffix_sum(orders, "u", "t", "m", pieces=("year", "month")), _self_join(spark, orders)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_timeline_parts_are_bounded_and_ordered(spark):
+def test_timeline_places_every_entry(spark):
     df = _payments(spark).where("t is not null and u is not null")
-    parts = timeline.timeline(df, "u", "t", ["m"], piece="month", entries=2)
-    got = [(r.u, r.piece_start.month, r.part, [e.m for e in r.timeline]) for r in parts.orderBy("u", "piece_start", "part").collect()]
-    assert got == [("a", 1, 0, [1.0, 2.0]), ("a", 1, 1, [3.0, 4.0]), ("a", 1, 2, [5.0]), ("a", 3, 0, [6.0]), ("b", 1, 0, [None, -2.0])]
+    got = [(r.u, r.position, r.m) for r in timeline.timeline(df, "u", "t", ["m"]).orderBy("u", "position").collect()]
+    assert got == [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 3.0), ("a", 4, 4.0), ("a", 5, 5.0), ("a", 6, 6.0), ("b", 1, None), ("b", 2, -2.0)]
+
+
+def test_a_long_day_of_one_user_keeps_its_form(spark):
+    """25,000 entries of one user inside one hour: one row each, in order, summed right."""
+    df = spark.range(25_000).select(
+        F.lit("u").alias("u"), F.expr("timestamp'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id * 0.1)").alias("t"), F.lit(1.0).alias("m")
+    )
+    after = timeline.suffix_sum(df, "u", "t", "m")
+    line = timeline.timeline(after, "u", "t", ["amount_after"])
+    assert line.count() == 25_000
+    assert line.where("amount_after + position <> 25001").count() == 0
+
+
+def test_orders_are_read_once(spark, plan_of, tmp_path):
+    path = str(tmp_path / "orders")
+    _payments(spark).write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(timeline.suffix_sum(spark.read.parquet(path), "u", "t", "m"), final=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "83886080")
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_first_after_is_strict_and_counts_ties(spark):

@@ -64,13 +64,21 @@ def test_guarded_scan_refuses_what_the_rules_forbid(event_table):
     assert scans.guarded_scan(event_table, **good).count() == 60
     for bad in (
         {"event_types": []}, {"event_types": ["purchase"]}, {"columns": ["*"]}, {"columns": []},
-        {"end": 20240206}, {"end": 20240129}, {"limit": 100001}, {"limit": 0},
+        {"end": 20240206}, {"end": 20240129}, {"limit": 0},
     ):
         with pytest.raises(ValueError):
             scans.guarded_scan(event_table, **{**good, **bad})
 
 
-def test_adhoc_sql_is_limited(spark, event_table):
+def test_nothing_is_cut_unless_asked_for(spark):
+    many = spark.range(150_000).selectExpr("cast(id as string) u_user", "20240130 day", "'click' event_type")
+    adhoc.register_tables(spark, {"many": many})
+    assert adhoc.run_sql(spark, "select * from many").count() == 150_000
+    kept = scans.guarded_scan(many, 20240130, 20240130, ["click"], ["u_user", "day"])
+    assert kept.count() == 150_000 and scans.guarded_scan(many, 20240130, 20240130, ["click"], ["u_user"], limit=7).count() == 7
+
+
+def test_adhoc_sql_takes_a_limit(spark, event_table):
     adhoc.register_tables(spark, {"front": event_table})
     assert adhoc.run_sql(spark, "select day, count(*) n from front group by day;").count() == 4
     assert adhoc.run_sql(spark, "select * from front", limit=5).count() == 5
@@ -85,9 +93,30 @@ def test_writing_days_replaces_exactly_those_days(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, 20240101), (2, 20240102), (3, 20240103)], "x int, day int")
     sinks.write_days(first, path, [20240101, 20240102, 20240103])
-    again = spark.createDataFrame([(9, 20240102), (8, 20240109)], "x int, day int")
+    again = spark.createDataFrame([(9, 20240102)], "x int, day int")
     sinks.write_days(again, path, [20240102, 20240103])
     assert _days(spark, path) == [(20240101, 1), (20240102, 9)]
+    stray = spark.createDataFrame([(5, 20240102), (8, 20240109)], "x int, day int")
+    with pytest.raises(ValueError, match="20240109"):
+        sinks.write_days(stray, path, [20240102, 20240103])
+    failing = spark.createDataFrame([(0, 20240102)], "x int, day int").selectExpr("1 / x AS x", "day")
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.write_days(failing, path, [20240101, 20240102])
+    assert _days(spark, path) == [(20240101, 1), (20240102, 9)]
+    assert not [d for d in os.listdir(path) if "staging" in d]
+
+
+def test_writing_days_of_a_table(spark):
+    spark.sql("CREATE TABLE day_rows (x INT, y STRING, day INT) USING parquet PARTITIONED BY (day)")
+    try:
+        first = spark.createDataFrame([("a", 1, 20240101), ("b", 2, 20240102), ("c", 3, 20240103)], "y string, x int, day int")
+        sinks.write_days(first, "day_rows", [20240101, 20240102, 20240103])
+        again = spark.createDataFrame([("d", 9, 20240102)], "y string, x int, day int")
+        sinks.write_days(again, "day_rows", [20240102, 20240103])
+        got = sorted((r.day, r.x, r.y) for r in spark.table("day_rows").collect())
+        assert got == [(20240101, 1, "a"), (20240102, 9, "d")]
+    finally:
+        spark.sql("DROP TABLE day_rows")
 
 
 def test_writing_one_partition_keeps_the_others_even_when_empty(spark, tmp_path):

@@ -5,7 +5,6 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from stagewise.operators.intervals import HOT_PERIODS
 from tests.check_oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -27,18 +26,10 @@ def skewed(tmp_path_factory):
     return target, connect(target)
 
 
-def test_the_hot_user_takes_the_second_way(skewed):
-    signups, errors = (
-        skewed[1].sql(f"SELECT count(*) FROM events WHERE user_id = 7 AND event_type = '{t}'").fetchall()[0][0]
-        for t in ("signup", "error")
-    )
-    assert signups + errors > HOT_PERIODS
-
-
 @pytest.mark.parametrize(
     "name",
     [
-        "latest_event_by_key", "latest_n_turns", "first_and_latest_snapshot", "suffix_sum", "first_pay_after",
+        "interval_at_event", "latest_event_by_key", "latest_n_turns", "first_and_latest_snapshot", "suffix_sum", "first_pay_after",
         "conversion_windows", "contact_funnel", "backfill_funnel", "monthly_funnel", "month_pool", "paid_pool",
     ],
 )

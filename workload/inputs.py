@@ -89,11 +89,11 @@ TABLES: dict[str, tuple[str, str]] = {
     "denials": ("'error', 'signup'", """
   SELECT uid AS user_id, CASE WHEN k % 6 = 0 THEN NULL ELSE concat('reason-', CAST(k % 5 AS STRING)) END AS deny_reason,
          CASE WHEN k % 7 = 0 THEN NULL ELSE k % 4 END AS deny_index, ts AS created_at, day
-  FROM keyed WHERE k % 3 = 0"""),
+  FROM keyed"""),
     "allocations": ("'signup'", """
   SELECT uid AS user_id, CASE k % 5 WHEN 0 THEN 'mid_school' WHEN 1 THEN NULL ELSE 'other' END AS clue_source, day
-  FROM keyed WHERE k % 2 = 0"""),
-    "produced": ("'view'", "SELECT uid AS userid, day FROM keyed WHERE k % 2 = 0"),
+  FROM keyed"""),
+    "produced": ("'view'", "SELECT CASE WHEN k % 2 = 0 THEN uid END AS userid, day FROM keyed"),
     # One row per user and day.
     "activity": ("'view', 'click', 'signup', 'purchase'", """
   SELECT k.user_id + 1000000 AS user_sk, CAST(k.user_id AS STRING) AS u_user, k.day,

@@ -365,16 +365,20 @@ FROM valued""",
 
 _WORDS = ", ".join(f"'{w}'" for w in MESSAGE_WORDS)
 _MESSAGES = rf"""
+said AS (
+  SELECT conv_id, turn, FALSE AS is_command, text FROM conversations
+  UNION ALL
+  SELECT conv_id, turn, TRUE, list_extract([{_WORDS}], (conv_id + turn) % {len(MESSAGE_WORDS)} + 1) FROM conversations),
 raw AS (
-  SELECT conv_id, turn, CASE turn % 6
-           WHEN 0 THEN concat('@_user_1  ', text)
-           WHEN 1 THEN concat(' 直接跑： ', text, ' @_user_22')
-           WHEN 2 THEN list_extract([{_WORDS}], conv_id % {len(MESSAGE_WORDS)} + 1)
-           WHEN 3 THEN concat('帮我改 ', text)
-           WHEN 4 THEN '@_user_7 ' END AS text
-  FROM conversations WHERE turn % 6 <> 5),
+  SELECT conv_id, turn, is_command, CASE turn % 6
+           WHEN 0 THEN '@_user_1  ' || text
+           WHEN 1 THEN ' 直接跑： ' || text || ' @_user_22'
+           WHEN 2 THEN ' @_user_7 ' || text || '  '
+           WHEN 3 THEN '帮我改 ' || text
+           ELSE text END AS text
+  FROM said),
 messages AS (
-  SELECT conv_id, turn, regexp_replace(regexp_replace(text, '@_user_\d+\s*', '', 'g'), '^\s+|\s+$', '', 'g') AS text
+  SELECT conv_id, turn, is_command, regexp_replace(regexp_replace(text, '@_user_\d+\s*', '', 'g'), '^\s+|\s+$', '', 'g') AS text
   FROM raw WHERE regexp_matches(regexp_replace(text, '@_user_\d+\s*', '', 'g'), '\S'))"""
 
 # Fixed values, as in stagewise.functions.text.
@@ -425,12 +429,12 @@ WHERE is_test = FALSE AND in_salary = 1 AND worker_id <> 0
   AND CAST(pay_time AS DATE) BETWEEN {_date(FIRST_DAY)} AND {_date(LAST_DAY)}"""),
     "guarded_scan": f"""
 SELECT event_id, user_id, {DAY_OF_TS} AS day FROM events
-WHERE event_type = 'click' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' LIMIT 100000""",
+WHERE event_type = 'click' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'""",
     "adhoc_sql": """
 SELECT c.c_mktsegment, count(s.o_custkey) AS buyers, CAST(sum(s.n) AS BIGINT) AS orders, round(sum(s.amount), 2) AS amount
 FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS amount
                            FROM orders GROUP BY o_custkey) s ON c.c_custkey = s.o_custkey
-GROUP BY c.c_mktsegment LIMIT 100000""",
+GROUP BY c.c_mktsegment""",
     "first_event_by_key": f"""
 SELECT {DAY_OF_TS} AS day, user_id, event_type, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id, event_type ORDER BY ts, event_id) = 1""",
@@ -485,11 +489,9 @@ FROM customer c LEFT JOIN latest l ON c.c_custkey = l.o_custkey""",
     "suffix_sum_without_ties": f"WITH {_SUFFIX_CLEAN} {_DATED}",
     "pay_timeline": f"""
 WITH {_SUFFIX_TIES}
-SELECT o_custkey, CAST(strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS INT) AS month_start,
-       CAST(count(*) AS INT) AS payments,
-       {_day('min(o_orderdate)')} AS first_on, arg_min(amount_after, o_orderdate) AS first_amount_after,
-       string_agg(strftime(o_orderdate, '%Y%m%d'), ' ' ORDER BY o_orderdate) AS days
-FROM after GROUP BY o_custkey, date_trunc('month', o_orderdate)""",
+SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, amount_after,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS position
+FROM after""",
     "paid_amount_by_user": f"WITH {_SUFFIX_TIES} SELECT o_custkey, max(amount_after) AS amount FROM after GROUP BY o_custkey",
     "first_pay_after": f"""
 WITH paid AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase'),
@@ -580,15 +582,36 @@ SELECT * FROM day_channels"""),
     "clean_messages": f"WITH {_MESSAGES} SELECT * FROM messages",
     "tag_intent": f"""
 WITH {_MESSAGES}
-SELECT conv_id, turn, {_INTENTS} AS intent,
+SELECT conv_id, turn, is_command, {_INTENTS} AS intent,
        CASE WHEN {_INTENTS} = 'fast_query'
             THEN regexp_replace(text, '^(直接跑|直接执行|直接出数|跳过确认)[：: ]*', '') END AS requirement
 FROM messages""",
-    "tolerant_json": """
-SELECT event_id, CASE WHEN event_id % 5 = 4 THEN 'AI 返回格式异常，请重试' ELSE 'k' END AS understanding,
-       CASE WHEN event_id % 5 = 4 THEN '' ELSE concat('select ', regexp_extract(props, '[0-9]+')) END AS sql,
+    # The first candidate that is one valid JSON value counts; of a key named twice, the last.
+    "tolerant_json": r"""
+WITH part AS (
+  SELECT event_id, event_type, concat('"sql": "select ', regexp_extract(props, '[0-9]+'), '"') AS chosen FROM events),
+answer AS (SELECT *, concat('{"understanding": "k", ', chosen, '}') AS whole FROM part),
+said AS (
+  SELECT event_id, CASE event_id % 9
+      WHEN 0 THEN whole
+      WHEN 1 THEN concat('Here:', chr(10), '```json', chr(10), whole, chr(10), '```', chr(10), 'Done.')
+      WHEN 2 THEN concat('The answer is ', whole, ' as asked')
+      WHEN 3 THEN concat('```', chr(10), whole, chr(10), '```')
+      WHEN 4 THEN concat(whole, ' ', whole)
+      WHEN 5 THEN concat('{"sql": "old", "understanding": "k", ', chosen, '}')
+      WHEN 6 THEN concat('{"understanding": NaN, ', chosen, '}')
+      WHEN 7 THEN concat(whole, ', "more": ', whole)
+      ELSE concat('no { answer ', event_type) END AS text FROM answer),
+tried AS (
+  SELECT event_id, list_filter(
+      [text, regexp_extract(text, '(?s)```(?:json)?\s*\n?(.*?)\n?```', 1), regexp_extract(text, '(?s)\{.*\}', 0)],
+      lambda x: x <> '' AND json_valid(replace(x, 'NaN', '"NaN"')))[1] AS found FROM said)
+SELECT event_id,
+       CASE WHEN found IS NULL THEN 'AI 返回格式异常，请重试'
+            ELSE regexp_extract(found, '(?s).*"understanding": "?([^",}]*)', 1) END AS understanding,
+       CASE WHEN found IS NULL THEN '' ELSE regexp_extract(found, '(?s).*"sql": "([^"]*)"', 1) END AS sql,
        CAST(NULL AS STRING) AS filename
-FROM events""",
+FROM tried""",
     "event_type_prefix": """
 SELECT CASE WHEN event_type IN ('click', 'dev', 'get', 'enter', 'popup') THEN event_type ELSE 'other' END AS kind,
        event_type, count(*) AS events FROM events GROUP BY ALL""",

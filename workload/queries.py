@@ -11,8 +11,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.functions.columns import comma_items, overlaps, valid_on
-from stagewise.functions.dates import day_to_date, month_bounds, to_day_int, within_days
+from stagewise.functions.columns import comma_items
+from stagewise.functions.dates import month_bounds, overlaps_days, to_day_int, within_days
 from stagewise.functions.text import clean_messages, event_type_of, parse_tolerant, tag_intent
 from stagewise.operators import convert, intervals, joins, rank, rollup, timeline
 from stagewise.plans import funnel, pool
@@ -51,7 +51,7 @@ def query(fn):
 
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = fn(apply_settings(spark), sf_dir)
+        df = fn(apply_settings(spark, time_zone="UTC"), sf_dir)
         return df.withColumns({c: F.col(c).cast("double") for c in NULLABLE_NUMBERS.get(name, [])})
 
     REGISTRY[name] = run
@@ -217,7 +217,7 @@ def interval_at_event(spark, sf_dir):
     clicked = clicked.select("event_id", F.col("user_id").cast("string").alias("user_id"), "ts")
     periods = inputs.Inputs(spark, sf_dir).load("service_periods")
     found = intervals.latest_covering(
-        clicked, periods, "user_id", "ts", "start_time", "end_time", ["team_id"], "event_id"
+        clicked, periods, "user_id", "ts", "start_time", "end_time", ["team_id"]
     )
     return found.select("event_id", "user_id", F.coalesce("team_id", F.lit(-1)).alias("team_id"))
 
@@ -226,16 +226,14 @@ def interval_at_event(spark, sf_dir):
 def valid_on_date(spark, sf_dir):
     periods = inputs.Inputs(spark, sf_dir).load("service_periods")
     teams = inputs.Inputs(spark, sf_dir).load("teams").withColumnsRenamed({"id": "team_id", "name": "team"})
-    day = F.lit(day_to_date(DAY))
-    valid = periods.where(valid_on(F.to_date("start_time"), F.to_date("end_time"), day))
+    valid = periods.where(overlaps_days("start_time", "end_time", DAY, DAY))
     return valid.join(teams, "team_id").groupBy("team").agg(F.count(F.lit(1)).alias("periods"))
 
 
 @query
 def overlaps_month(spark, sf_dir):
     channels = inputs.Inputs(spark, sf_dir).load("channels")
-    lo, hi = (F.lit(day_to_date(d)) for d in MONTH_DAYS)
-    kept = channels.where(overlaps(F.to_date("effective_time"), F.to_date("invalid_time"), lo, hi))
+    kept = channels.where(overlaps_days("effective_time", "invalid_time", *MONTH_DAYS))
     return kept.select("qr_code_id", "scene_name", "type_name")
 
 
@@ -275,15 +273,7 @@ def suffix_sum_without_ties(spark, sf_dir):
 def pay_timeline(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     after = timeline.suffix_sum(orders, "o_custkey", "o_orderdate", "o_totalprice")
-    pieces = timeline.timeline(after, "o_custkey", "o_orderdate", ["amount_after"], piece="month")
-    return pieces.select(
-        "o_custkey",
-        to_day_int("piece_start").alias("month_start"),
-        F.size("timeline").alias("payments"),
-        to_day_int(F.col("timeline")[0]["o_orderdate"]).alias("first_on"),
-        F.col("timeline")[0]["amount_after"].alias("first_amount_after"),
-        F.array_join(F.transform("timeline", lambda e: F.date_format(e["o_orderdate"], "yyyyMMdd")), " ").alias("days"),
-    )
+    return _dated(timeline.timeline(after, "o_custkey", "o_orderdate", ["amount_after"]))
 
 
 @query
@@ -492,16 +482,21 @@ def paid_pool(spark, sf_dir):
 def _messages(spark, sf_dir):
     """Conversation turns dressed as chat messages: mentions, commands, blanks, pictures."""
     turns = table(spark, sf_dir, "conversations")
+    words = F.array(*[F.lit(w) for w in MESSAGE_WORDS])
+    # A command is a message of its own after a turn, not in place of its text.
+    said = turns.select("conv_id", "turn", "text", F.lit(False).alias("is_command"))
+    command = F.element_at(words, ((F.col("conv_id") + F.col("turn")) % len(MESSAGE_WORDS) + 1).cast("int"))
+    turns = said.unionByName(said.withColumns({"text": command, "is_command": F.lit(True)}))
     spoken = F.col("turn") % 6
     return turns.select(
         "conv_id",
         "turn",
-        F.when(spoken == 5, "image").otherwise("text").alias("message_type"),
+        "is_command",
+        F.lit("text").alias("message_type"),
         F.when(spoken == 0, F.concat(F.lit("@_user_1  "), "text"))
         .when(spoken == 1, F.concat(F.lit(" 直接跑： "), "text", F.lit(" @_user_22")))
-        .when(spoken == 2, F.element_at(F.array(*[F.lit(w) for w in MESSAGE_WORDS]), (F.col("conv_id") % len(MESSAGE_WORDS) + 1).cast("int")))
+        .when(spoken == 2, F.concat(F.lit(" @_user_7 "), "text", F.lit("  ")))
         .when(spoken == 3, F.concat(F.lit("帮我改 "), "text"))
-        .when(spoken == 4, F.lit("@_user_7 "))
         .otherwise(F.col("text"))
         .alias("text"),
     )
@@ -518,20 +513,26 @@ def clean_messages_query(spark, sf_dir):
 @query
 def tag_intent_query(spark, sf_dir):
     cleaned = clean_messages(_messages(spark, sf_dir), "text", "message_type")
-    return tag_intent(cleaned, "text").select("conv_id", "turn", "intent", "requirement")
+    return tag_intent(cleaned, "text").select("conv_id", "turn", "is_command", "intent", "requirement")
 
 
 @query
 def tolerant_json(spark, sf_dir):
-    """Event properties as the answers a text service gives: bare, fenced, in prose, broken."""
+    """Event properties as the answers a text service gives: bare, fenced, in prose, broken,
+    followed by more, with a key twice, with a value that is no number."""
     events = table(spark, sf_dir, "events")
-    answer = F.concat(F.lit('{"understanding": "k", "sql": "select '), F.get_json_object("props", "$.k"), F.lit('"}'))
-    form = F.col("event_id") % 5
+    chosen = F.concat(F.lit('"sql": "select '), F.get_json_object("props", "$.k"), F.lit('"'))
+    answer = F.concat(F.lit('{"understanding": "k", '), chosen, F.lit("}"))
+    form = F.col("event_id") % 9
     text = (
         F.when(form == 0, answer)
         .when(form == 1, F.concat(F.lit("Here:\n```json\n"), answer, F.lit("\n```\nDone.")))
         .when(form == 2, F.concat(F.lit("The answer is "), answer, F.lit(" as asked")))
         .when(form == 3, F.concat(F.lit("```\n"), answer, F.lit("\n```")))
+        .when(form == 4, F.concat(answer, F.lit(" "), answer))
+        .when(form == 5, F.concat(F.lit('{"sql": "old", "understanding": "k", '), chosen, F.lit("}")))
+        .when(form == 6, F.concat(F.lit('{"understanding": NaN, '), chosen, F.lit("}")))
+        .when(form == 7, F.concat(answer, F.lit(', "more": '), answer))
         .otherwise(F.concat(F.lit("no { answer "), F.col("event_type")))
     )
     parsed = events.select("event_id", parse_tolerant(text).alias("answer"))
@@ -548,4 +549,4 @@ def event_type_prefix(spark, sf_dir):
 @query
 def dedup_batch(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return dedup_stream(events.unionAll(events), "event_id", "ts").select("event_id", "user_id", "event_type", "value")
+    return dedup_stream(events.unionAll(events), "event_id").select("event_id", "user_id", "event_type", "value")
