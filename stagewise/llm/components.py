@@ -27,17 +27,21 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).where("a <> b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node hangs on one node, and on none that hangs itself: nothing is left to join."""
+    hung = edges.groupBy("a").agg(F.count("*").alias("times"))
+    twice = hung.where("times > 1").select(F.col("a").alias("odd"))
+    chained = edges.join(hung.select(F.col("a").alias("x")), F.col("b") == F.col("x"), "left_semi")
+    return twice.unionByName(chained.select(F.col("b").alias("odd"))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``a, b`` pairs of nodes to ``node, root``: the least node of each component of two or more."""
     current = written(edges.select("a", "b").where("a <> b").distinct())
     if current.isEmpty():
         return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    mark = None
-    while True:
+    current = written(_small(_large(current)))
+    while not _are_stars(current):
         current = written(_small(_large(current)))
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -1,11 +1,11 @@
 """N-gram Jaccard join by a token-group matrix.
 
 A document is the set of its word shingles. Equal sets become one node first. Nodes that share a token of
-their prefixes (the rarest tokens; two sets over the threshold must share one of them) are active; each active
-node belongs to one group, named by the least such token, so similar nodes meet in a group.
+their prefixes (the rarest tokens; two sets over the threshold must share one of them) with a node of fitting size are
+active; each active node belongs to one group, named by the least such token, so similar nodes meet in a group.
 
-Inside a group all members are compared with a few hubs; those over the threshold hang on their hub and
-need no comparison with each other. Members are then stored in blocks of one hub and bounded size, each with
+Inside a group all members of fitting size are compared with a few hubs (members with the fewest tokens of their own);
+those over the threshold hang on their hub and need no comparison with each other. Members are then stored in blocks of one hub and bounded size, each with
 the union of its tokens. The token-group matrix (token, block) tells which blocks a node's prefix reaches; blocks of
 the node's own hub are left out. The node's overlap with the block's union bounds its overlap with any member, and
 only blocks that pass are opened, their members counted exactly. Links make components by alternating stars.
@@ -20,6 +20,8 @@ ties do not matter, since the least id names a component; further columns of the
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,13 +29,13 @@ from pyspark.sql import functions as F
 
 from stagewise.llm.components import components
 from stagewise.llm.repeats import in_bitmap, repeated_bitmap
-from stagewise.llm.shared import BLANK, Rolling, Words, flat_text, in_chunks, mix, read_table, written
+from stagewise.llm.shared import BLANK, Rolling, Words, flat_text, free_names, in_chunks, mix, read_table, written
 
 #: Cells in which frequent tokens are noticed; a cell is sent on if a task finds it so much
 #: over the mean, and so often at least.
 CELLS = 1 << 20
 OVER_MEAN = 8
-HUBS = 3
+HUBS = 2
 #: Tokens of a block and of the queries that meet it at once.
 BLOCK_TOKENS = 150_000
 QUERY_TOKENS = 400_000
@@ -130,10 +132,11 @@ def similar_components(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_mark"), pa.array(size, pa.int64()),
+                    pa.array(np.bincount(owner[~many], minlength=rows), pa.int64()),
                     pa.array(marks[0].view(np.int64)), pa.array(marks[1].view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(taken.view(np.int64))),
                 ],
-                ["doc_id", "text_mark", "n", "m1", "m2", "prefix"],
+                ["doc_id", "text_mark", "n", "lone", "m1", "m2", "prefix"],
             )
 
     rows = docs.select(
@@ -142,7 +145,7 @@ def similar_components(
     sets = written(
         rows.mapInArrow(
             prefixes,
-            f"doc_id {kind}, text_mark long, n long, m1 long, m2 long, prefix array<long>",
+            f"doc_id {kind}, text_mark long, n long, lone long, m1 long, m2 long, prefix array<long>",
         ).withColumn("node", F.xxhash64("n", "m1", "m2"))
     )
     # Equal sets are one node; any of its rows stands for it.
@@ -154,13 +157,21 @@ def similar_components(
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_mark")
     first_rows = filled.where(F.size("prefix") > 0).join(nodes.select("node", F.col("row").alias("stands")), "node").where(row == F.col("stands"))
     reach = written(
-        first_rows.select("node", "n", F.explode("prefix").alias("token")).dropDuplicates(["node", "token"])
+        first_rows.select("node", "n", "lone", F.explode("prefix").alias("token")).dropDuplicates(["node", "token"])
     )
-    shared = reach.groupBy("token").agg(F.count("*").alias("n_nodes")).where("n_nodes > 1").select("token")
-    active = written(reach.join(shared, "token"))
+    # Sizes over the threshold apart are two classes apart at least: a token counts for a node if another
+    # node has it in the same or a neighbouring class.
+    step = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-12
+    reach = reach.withColumn("class", F.floor(F.log("n") / step))
+    near = F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class")
+    shared = (
+        reach.groupBy("token", "class").agg(F.count("*").alias("nodes")).select("token", near, "nodes")
+        .groupBy("token", "class").agg(F.sum("nodes").alias("nodes")).where("nodes > 1").select("token", "class")
+    )
+    active = written(reach.join(shared, ["token", "class"]).drop("class"))
     # The group of a node: its least shared token in an order that has nothing to do with rarity.
     named = F.struct(F.xxhash64("token"), "token")
-    grouped = written(active.groupBy("node").agg(F.min(named).getField("token").alias("group"), F.max("n").alias("n")))
+    grouped = written(active.groupBy("node").agg(F.min(named).getField("token").alias("group"), F.max("n").alias("n"), F.max("lone").alias("lone")))
 
     # Token sets of the active nodes, from their texts.
     stands = nodes.join(grouped, "node").select(
@@ -181,12 +192,15 @@ def similar_components(
         texts.mapInArrow(token_sets, "node long, group long, tokens array<long>")
     )
 
-    hubs = None
-    for k in range(HUBS):
-        seeded = F.struct(F.xxhash64(F.col("node"), F.lit(k)), "node")
-        one = grouped.groupBy("group").agg(F.min(seeded).getField("node").alias("hub"))
-        hubs = one if hubs is None else hubs.unionByName(one)
-    hubs = hubs.distinct().join(members.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
+    # The middle of a family of copies has the fewest tokens of its own.
+    drawn = [F.struct("lone", F.xxhash64(F.col("node"), F.lit(k)), "node", "n") for k in range(HUBS)]
+    hubs = grouped.groupBy("group").agg(*[F.min(d).alias(f"hub{k}") for k, d in enumerate(drawn)])
+    listed = F.array_distinct(F.array(*[F.struct(f"hub{k}.node", f"hub{k}.n") for k in range(HUBS)]))
+    hubs = hubs.select(F.col("group").alias("of"), F.explode(listed).alias("h"))
+    fits = (F.col("n") * 100 >= F.col("h.n") * percent) & (F.col("h.n") * 100 >= F.col("n") * percent)
+    to_ask = grouped.join(hubs, (F.col("group") == F.col("of")) & (F.col("node") != F.col("h.node")) & fits)
+    to_ask = to_ask.select("node", F.col("h.node").alias("hub"))
+    hub_sets = members.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
 
     def against_hubs(batches):
         for batch in batches:
@@ -197,14 +211,20 @@ def similar_components(
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], ["node", "hub"]).filter(pa.array(link))
 
     to_hubs = written(
-        members.join(hubs.withColumnRenamed("group", "of"), F.col("group") == F.col("of"))
-        .where("node <> hub")
+        to_ask.join(members.select("node", "tokens"), "node")
+        .join(hub_sets, "hub")
         .select("node", "hub", "tokens", "hub_tokens")
         .mapInArrow(against_hubs, "node long, hub long")
     )
-    # Hubs that are linked by a member or to each other are one family.
-    rooted = components(to_hubs.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    placed = grouped.join(rooted.select("node", "root"), "node", "left").select(
+    # A member belongs to the family of its least hub, a hub to the least hub that shares a member with it.
+    # Families are connected, which is all that is asked of them; two that are connected may stay apart.
+    own_hub = to_hubs.groupBy("node").agg(F.min("hub").alias("first_hub"))
+    hub_root = to_hubs.join(own_hub, "node").groupBy("hub").agg(F.min("first_hub").alias("root"))
+    hub_root = hub_root.select("hub", F.least("hub", "root").alias("root"))
+    rooted = own_hub.join(hub_root, F.col("first_hub") == F.col("hub")).select("node", "root")
+    rooted = rooted.unionByName(hub_root.select(F.col("hub").alias("node"), "root"))
+    rooted = written(rooted.groupBy("node").agg(F.min("root").alias("root")))
+    placed = grouped.join(rooted, "node", "left").select(
         "node", "group", "n", F.coalesce("root", "node").alias("family"), F.col("root").isNotNull().alias("hangs")
     )
     sizes = placed.groupBy("family").agg(F.count("*").alias("family_size"))
@@ -348,9 +368,10 @@ def keep_one_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     blank = found.where("n_shingles = 0").select("doc_id", "text_mark").distinct()
     first = found.where("n_shingles > 0 AND component_id <=> doc_id").groupBy("component", "doc_id")
     stays = blank.unionByName(first.agg(F.min("text_mark").alias("text_mark")).select("doc_id", "text_mark"))
-    stays = stays.toDF("stay_id", "stay_mark")
+    own_id, own_mark = free_names(docs, "stay_id", "stay_mark")
+    stays = stays.toDF(own_id, own_mark)
     mark = F.coalesce(F.xxhash64(F.col(text)), F.lit(0))
-    kept = docs.join(stays, F.col(doc_id).eqNullSafe(F.col("stay_id")) & (mark == F.col("stay_mark")), "left_semi")
+    kept = docs.join(stays, F.col(doc_id).eqNullSafe(F.col(own_id)) & (mark == F.col(own_mark)), "left_semi")
     return kept.select(*docs.columns)
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagewise.llm.shared import read_table, written
+from stagewise.llm.shared import free_names, read_table, written
 
 #: Modulus, multiplier and share of the rolling hash; line hashes have 28 bits.
 MODULUS = 268435399
@@ -75,11 +75,9 @@ def dedup_line_chunks(
 ) -> DataFrame:
     """All columns of ``docs``, the text without repeated chunks, and ``n_lines``, ``removed_chunks``,
     ``removed_lines``."""
-    spare = {c: f"_{c}" for c in ("n_lines", "removed_chunks", "removed_lines", "row_id", "row_mark")}
-    for own in spare:  # never clash with a column of the input
-        while spare[own] in docs.columns:
-            spare[own] = f"_{spare[own]}"
-    rid, mark = spare["row_id"], spare["row_mark"]
+    rid, mark, gone_, *made = free_names(
+        docs, "row_id", "row_mark", "gone", "n_lines", "removed_chunks", "removed_lines"
+    )
     keyed = docs.withColumn(rid, F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
     keyed = keyed.withColumn(mark, F.md5(F.col(text).cast("binary")))
     keys = [rid, mark]
@@ -137,26 +135,18 @@ def dedup_line_chunks(
         fetched.where("NOT is_first").join(kept, "digest")
         .where(F.col("bytes") == F.col("first_bytes"))
         .groupBy(*keys)
-        .agg(F.collect_list(F.struct("a", "z")).alias("gone"))
+        .agg(F.collect_list(F.struct("a", "z")).alias(gone_))
     )
+    cut, has = F.col(gone_), F.col(gone_).isNotNull()
     all_lines = F.split(F.col(text), "\n", -1)
-    left = F.filter(all_lines, lambda x, i: ~F.exists(F.col("gone"), lambda g: (i + 1 >= g["a"]) & (i + 1 <= g["z"])))
-    removed = F.aggregate("gone", F.lit(0).cast("long"), lambda s, g: s + g["z"] - g["a"] + 1)
-    has = F.col("gone").isNotNull()
-    others = [c for c in docs.columns if c != text]
-    result = keyed.join(gone, keys, "left").select(
-        *[F.col(c) for c in others],
-        F.when(has, F.array_join(left, "\n")).otherwise(F.col(text)).alias(text),
-        F.coalesce(F.size(all_lines).cast("long"), F.lit(0)).alias(spare["n_lines"]),
-        F.when(has, F.size("gone")).otherwise(0).cast("long").alias(spare["removed_chunks"]),
-        F.when(has, removed).otherwise(0).cast("long").alias(spare["removed_lines"]),
-    )
-    return result.select(
-        *docs.columns,
-        *[
-            F.col(spare[c]).alias(c if c not in docs.columns else spare[c])
-            for c in ("n_lines", "removed_chunks", "removed_lines")
-        ],
+    left = F.filter(all_lines, lambda x, i: ~F.exists(cut, lambda g: (i + 1 >= g["a"]) & (i + 1 <= g["z"])))
+    removed = F.aggregate(cut, F.lit(0).cast("long"), lambda s, g: s + g["z"] - g["a"] + 1)
+    rewritten = F.when(has, F.array_join(left, "\n")).otherwise(F.col(text)).alias(text)
+    return keyed.join(gone, keys, "left").select(
+        *[rewritten if c == text else F.col(c) for c in docs.columns],
+        F.coalesce(F.size(all_lines).cast("long"), F.lit(0)).alias(made[0]),
+        F.when(has, F.size(cut)).otherwise(0).cast("long").alias(made[1]),
+        F.when(has, removed).otherwise(0).cast("long").alias(made[2]),
     )
 
 

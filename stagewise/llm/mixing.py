@@ -146,7 +146,7 @@ def mix_sources(
     ]
     placed = placed.withColumn("taken", sum(takes[1:], takes[0]).cast("long"))
     copies = [F.when(t > 0, 1).otherwise(0) for t in takes]
-    placed = placed.withColumn("part", F.col("from").cast("double") / F.col("target"))
+    placed = placed.withColumn("part", F.try_divide(F.col("from").cast("double"), F.col("target")))
     return placed.select(
         "doc_id",
         "size",

@@ -15,7 +15,7 @@ BUCKET_BYTES = 16 << 20
 #: The bitmap has 2**28 bits at most (32 MB).
 MOST_BITS = 28
 #: Hashes that a task gathers before it sends them on.
-GATHER = 1_500_000
+GATHER = 1_000_000
 
 
 def pack(values: np.ndarray) -> bytes:

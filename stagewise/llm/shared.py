@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that a task works on at once; a longer single text is taken whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: The word separators of the plain tokenizer (space, tab to carriage return).
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -38,6 +38,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many leading underscores as keep them apart from the columns of ``df``."""
+    out = []
+    for name in names:
+        while name in df.columns or name in out:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, one after the other, and where each begins; null is empty."""
     if isinstance(column, pa.ChunkedArray):

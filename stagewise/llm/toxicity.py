@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stagewise.llm.ftrl import Ftrl, sigmoid
 from stagewise.llm.language import fold_of
-from stagewise.llm.shared import Words, byte_class, flat_text, in_chunks, mix, read_table
+from stagewise.llm.shared import Words, byte_class, flat_text, free_names, in_chunks, mix, read_table
 
 DIMS = 1 << 20
 SAMPLE_PER_CLASS = 6000
@@ -101,7 +101,8 @@ def fit_toxicity(
     share = F.when(F.col("toxic") == 1, F.lit(rate.get(1, 0.0))).otherwise(F.lit(rate.get(0, 0.0)))
     # Bounded by the two class bounds, so the labels travel and the texts stay where they are.
     drawn = F.broadcast(marks.where(draw < share))
-    sample = docs.join(drawn, F.col(doc_id) == F.col("id")).select(F.col(text).alias("text"), "toxic")
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    sample = own.join(drawn, F.col("doc_id") == F.col("id")).select("text", "toxic")
     rows = sample.mapInArrow(_sparse, "toxic int, index array<int>").toArrow()
     if not len(rows):
         return None
@@ -148,8 +149,7 @@ def scaled(logits: np.ndarray, labels: np.ndarray, times: np.ndarray) -> tuple[f
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, *, text: str = "text", column: str = "toxicity") -> DataFrame:
     """All columns of ``docs`` and the score of the whole text."""
-    while column in docs.columns:
-        column = f"_{column}"
+    (column,) = free_names(docs, column)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # the weights L1 left
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
 
