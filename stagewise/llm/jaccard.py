@@ -100,7 +100,7 @@ def similar_components(
         owner, token = distinct_sets(texts, words)
         return token, owner
 
-    bits, repeated = repeated_bitmap(docs, text, total, set_hashes)
+    bits, repeated = repeated_bitmap(docs, text, total, 16, set_hashes)
     table = spark.sparkContext.broadcast((*frequent_cells(docs, words, text), repeated))  # CELLS rows, 32 MB
     kind = docs.schema[doc_id].dataType.simpleString()
 

@@ -34,16 +34,17 @@ def gathered(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 
 def repeated_bitmap(
-    rows: DataFrame, text: str, total: int, hashes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+    rows: DataFrame, text: str, total: int, each: int, hashes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 ) -> tuple[int, bytes]:
     """Bitmap over the leading bits of the hashes that two or more rows hold. ``hashes_of`` gives the hashes of
-    an array of texts and the number of the text of each; ``total`` is the size of all texts in bytes.
+    an array of texts and the number of the text of each; ``total`` is the size of all texts in bytes, ``each``
+    about how many bytes there are to a hash.
 
     A bit may be set for a hash that only one row holds (the bitmap fills up as the corpus grows), but is never
     missing for one that two hold, so it may order and preselect, not decide.
     """
     lists = max(0, (max(1, total) // BUCKET_BYTES).bit_length())
-    bits = min(MOST_BITS, max(16, int(total).bit_length() + 1))
+    bits = min(MOST_BITS, max(16, (int(total) // each).bit_length() + 2))
 
     def send(parts):
         hashes, owner = gathered(parts)

@@ -33,7 +33,7 @@ from stagewise.llm.shared import Rolling, byte_values, flat_text, in_chunks, rea
 LENGTH = 50
 GRAM = 24
 #: Elected suffixes that a task gathers before it sends them on.
-GATHER = 400_000
+GATHER = 200_000
 #: Entries that a bucket sorts at once (a group of equal leading bytes is never cut).
 SORT_AT_ONCE = 15_000
 LOWEST = -(1 << 63)
@@ -157,7 +157,7 @@ def one_of_each(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
         data, begins = flat_text(texts)
         return Rolling(byte_values(data)).of(begins[:-1], begins[1:]), np.arange(len(texts))
 
-    bits, cells = repeated_bitmap(rows, "text", total, text_hashes)
+    bits, cells = repeated_bitmap(rows, "text", total, 1024, text_hashes)
     bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
 
     def part(repeated: bool):
@@ -206,7 +206,7 @@ def remove_repeats(
         _, _, suffix, hashes, _ = elect(data, begins, length, gram)
         return hashes, np.searchsorted(begins, suffix, "right") - 1
 
-    bits, cells = repeated_bitmap(rows, "text", total, grams)
+    bits, cells = repeated_bitmap(rows, "text", total, 16, grams)
     bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
 
     def send(parts):
