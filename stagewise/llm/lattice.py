@@ -283,8 +283,8 @@ def score_documents(
             is_head = known_hash[at] == hashes if len(known_hash) else np.zeros(len(hashes), bool)
             mine, where = at[is_head], text_of[is_head]
             known = np.bincount(where, weights=known_c[mine] > 0, minlength=n).astype(np.int64)
-            base = np.bincount(where, weights=known_base[mine], minlength=n)
-            lattice = np.bincount(where, weights=known_lattice[mine], minlength=n)
+            base = np.bincount(where, weights=known_base[mine], minlength=n).astype(float)
+            lattice = np.bincount(where, weights=known_lattice[mine], minlength=n).astype(float)
             rest = np.flatnonzero(~is_head)
             rest = rest[np.lexsort((hashes[rest], text_of[rest]))]
             new = np.ones(len(rest), bool)
