@@ -128,6 +128,8 @@ def similar_components(
             # A token that no other document holds is part of the prefix but links nothing.
             keep = (place < (size - need + 1)[owner]) & many[order]
             taken = token[order][keep]
+            # What can still be shared from this token on, itself included.
+            after = (size[owner] - place)[keep]
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=rows))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -135,8 +137,9 @@ def similar_components(
                     pa.array(np.bincount(owner[~many], minlength=rows), pa.int64()),
                     pa.array(marks[0].view(np.int64)), pa.array(marks[1].view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(taken.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(after, pa.int32())),
                 ],
-                ["doc_id", "text_mark", "n", "lone", "m1", "m2", "prefix"],
+                ["doc_id", "text_mark", "n", "lone", "m1", "m2", "prefix", "after"],
             )
 
     rows = docs.select(
@@ -145,7 +148,7 @@ def similar_components(
     sets = written(
         rows.mapInArrow(
             prefixes,
-            f"doc_id {kind}, text_mark long, n long, lone long, m1 long, m2 long, prefix array<long>",
+            f"doc_id {kind}, text_mark long, n long, lone long, m1 long, m2 long, prefix array<long>, after array<int>",
         ).withColumn("node", F.xxhash64("n", "m1", "m2"))
     )
     # Equal sets are one node; any of its rows stands for it.
@@ -157,7 +160,9 @@ def similar_components(
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_mark")
     first_rows = filled.where(F.size("prefix") > 0).join(nodes.select("node", F.col("row").alias("stands")), "node").where(row == F.col("stands"))
     reach = written(
-        first_rows.select("node", "n", "lone", F.explode("prefix").alias("token")).dropDuplicates(["node", "token"])
+        first_rows.select("node", "n", "lone", F.explode(F.arrays_zip("prefix", "after")).alias("p"))
+        .select("node", "n", "lone", F.col("p.prefix").alias("token"), F.col("p.after").alias("after"))
+        .dropDuplicates(["node", "token"])
     )
     # Sizes over the threshold apart are two classes apart at least: a token counts for a node if another
     # node has it in the same or a neighbouring class.
@@ -244,10 +249,11 @@ def similar_components(
     )
 
     # The matrix, and the blocks that each node's prefix reaches.
-    marked = active.select("token", "node").join(blocked, "node")
+    marked = active.select("token", "node", "after").join(blocked, "node")
     matrix = marked.groupBy("token", "block").agg(
         F.min("hangs").alias("b_hangs"), F.min("family").alias("b_family"), F.max("family").alias("b_last"),
         F.max("family_size").alias("b_size"), F.min("n").alias("b_least"), F.max("n").alias("b_most"),
+        F.max("after").alias("b_after"),
     )
     spread = matrix.groupBy("token").agg(F.min("b_family").alias("f_least"), F.max("b_last").alias("f_most"))
     asking = marked.join(spread, "token").where("f_least <> f_most").drop("f_least", "f_most", "block")
@@ -258,6 +264,9 @@ def similar_components(
     # Of a single one and one that hangs, the single one asks.
     ask = ask & ~(F.col("hangs") & ~F.col("b_hangs"))
     ask = ask & (F.col("n") * 100 >= F.col("b_least") * percent) & (F.col("b_most") * 100 >= F.col("n") * percent)
+    # From the first shared token on both sides must still hold the overlap that their sizes ask for.
+    wanted = (F.col("n") + F.greatest(F.col("b_least"), F.ceil(F.col("n") * percent / F.lit(100.0)) - 1)) * percent
+    ask = ask & (F.col("after") * (100 + percent) >= wanted) & (F.col("b_after") * (100 + percent) >= wanted)
     pairs = (
         asking.join(matrix.withColumnRenamed("token", "t"), (F.col("token") == F.col("t")) & ask)
         .select("node", "n", "block")
