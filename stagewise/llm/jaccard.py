@@ -96,11 +96,11 @@ def similar_components(
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
 
-    def set_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        owner, token = distinct_sets(texts, words)
+    def set_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        owner, token = distinct_sets(batch.column(text), words)
         return token, owner
 
-    bits, repeated = repeated_bitmap(docs, text, total, 16, set_hashes)
+    bits, repeated = repeated_bitmap(docs.select(text), text, total, 16, set_hashes)
     table = spark.sparkContext.broadcast((*frequent_cells(docs, words, text), repeated))  # CELLS rows, 32 MB
     kind = docs.schema[doc_id].dataType.simpleString()
 

@@ -34,10 +34,10 @@ def gathered(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 
 def repeated_bitmap(
-    rows: DataFrame, text: str, total: int, each: int, hashes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+    rows: DataFrame, text: str, total: int, each: int, hashes_of: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
 ) -> tuple[int, bytes]:
     """Bitmap over the leading bits of the hashes that two or more rows hold. ``hashes_of`` gives the hashes of
-    an array of texts and the number of the text of each; ``total`` is the size of all texts in bytes, ``each``
+    a batch of rows and the number of the row of each; ``total`` is the size of all texts in bytes, ``each``
     about how many bytes there are to a hash.
 
     A bit may be set for a hash that only one row holds (the bitmap fills up as the corpus grows), but is never
@@ -67,7 +67,7 @@ def repeated_bitmap(
     def count(batches):
         parts, held, seen = [], 0, 0
         for batch in in_chunks(batches, text):
-            hashes, owner = hashes_of(batch.column(text))
+            hashes, owner = hashes_of(batch)
             parts.append((hashes, owner + seen))
             seen += batch.num_rows
             held += len(hashes)
@@ -92,8 +92,7 @@ def repeated_bitmap(
         return pa.table({"base": pa.array([base], pa.int64()), "cells": pa.array([packed], pa.binary())})
 
     found = (
-        rows.select(text)
-        .mapInArrow(count, "bucket long, once binary, twice binary")
+        rows.mapInArrow(count, "bucket long, once binary, twice binary")
         .groupBy("bucket")
         .applyInArrow(meet, "base long, cells binary")
     )

@@ -33,7 +33,7 @@ from stagewise.llm.shared import Rolling, byte_values, flat_text, in_chunks, rea
 LENGTH = 50
 GRAM = 24
 #: Elected suffixes that a task gathers before it sends them on.
-GATHER = 200_000
+GATHER = 150_000
 #: Entries that a bucket sorts at once (a group of equal leading bytes is never cut).
 SORT_AT_ONCE = 15_000
 LOWEST = -(1 << 63)
@@ -148,29 +148,42 @@ def slices(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
 HOLDER = np.dtype([("id", "<i8"), ("mark", "<i4"), ("at", "<i4")])
 
 
-def one_of_each(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """``id, mark, text`` rows without exact copies of a text of smaller id, and those copies as ``id, mark, n_bytes``.
-    A bitmap of repeated text hashes tells which rows have to meet at all; the others stay where they are."""
-    spark = rows.sparkSession
+class Copies:
+    """Exact copies of whole texts: a bitmap of repeated text hashes tells which rows have to meet; of those
+    that do, the one of the least id goes on. Columns of the rows: ``id, mark, text, met``."""
 
-    def text_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, begins = flat_text(texts)
-        return Rolling(byte_values(data)).of(begins[:-1], begins[1:]), np.arange(len(texts))
+    def __init__(self, rows: DataFrame, total: int):
+        self.bits, cells = repeated_bitmap(rows.select("text"), "text", total, 1024, self.hashes)
+        self.shipped = rows.sparkSession.sparkContext.broadcast(cells)  # 32 MB at most
 
-    bits, cells = repeated_bitmap(rows, "text", total, 1024, text_hashes)
-    bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
+    @staticmethod
+    def hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        data, begins = flat_text(batch.column("text"))
+        return Rolling(byte_values(data)).of(begins[:-1], begins[1:]), np.arange(batch.num_rows)
+
+
+def split_copies(rows: DataFrame, total: int):
+    """All rows that strings are taken from, a function that leaves out, inside a task, the rows whose stand-in is
+    among them, and the exact copies of a text of smaller id as ``id, mark, n_bytes``."""
+    found = Copies(rows, total)
+    bits, shipped, hashes = found.bits, found.shipped, Copies.hashes
 
-    def part(repeated: bool):
-        def run(batches):
-            own = np.frombuffer(bitmap.value, np.uint8)
-            for batch in in_chunks(batches, "text"):
-                keep = in_bitmap(text_hashes(batch.column("text"))[0], bits, own) == repeated
-                if keep.any():
-                    yield batch.filter(pa.array(keep))
+    def repeated(batch: pa.RecordBatch) -> np.ndarray:
+        return in_bitmap(hashes(batch)[0], bits, np.frombuffer(shipped.value, np.uint8))
+
+    def meeting(batches):
+        for batch in in_chunks(batches, "text"):
+            keep = repeated(batch)
+            if keep.any():
+                yield batch.filter(pa.array(keep))
 
-        return rows.mapInArrow(run, "id long, mark int, text string")
+    def own(batch: pa.RecordBatch) -> pa.RecordBatch:
+        met = batch.column("met").to_numpy(zero_copy_only=False)
+        keep = met | ~repeated(batch)
+        return batch if keep.all() else batch.filter(pa.array(keep))
 
-    met = part(True).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    met = rows.mapInArrow(meeting, "id long, mark int, text string")
+    met = met.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     first = written(met.groupBy("digest").agg(F.min(F.struct("id", "mark", "text")).alias("first")))
     copies = (
         met.select("id", "mark", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
@@ -178,7 +191,8 @@ def one_of_each(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
         .where(F.col("id") > F.col("first_id"))
         .select("id", "mark", "n_bytes")
     )
-    return part(False).unionByName(first.select("first.*")), copies
+    together = rows.withColumn("met", F.lit(False)).unionByName(first.select("first.*", F.lit(True).alias("met")))
+    return together, own, copies
 
 
 def remove_repeats(
@@ -199,10 +213,10 @@ def remove_repeats(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    rows, copies = one_of_each(rows, total)
+    rows, own_rows, copies = split_copies(rows, total)
 
-    def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, begins = flat_text(texts)
+    def grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        data, begins = flat_text(own_rows(batch).column("text"))
         _, _, suffix, hashes, _ = elect(data, begins, length, gram)
         return hashes, np.searchsorted(begins, suffix, "right") - 1
 
@@ -228,6 +242,7 @@ def remove_repeats(
         own = np.frombuffer(bitmap.value, np.uint8)
         parts, held = [], 0
         for batch in in_chunks(batches, "text"):
+            batch = own_rows(batch)
             data, begins = flat_text(batch.column("text"))
             first, last, suffix, hashes, rolling = elect(data, begins, length, gram)
             if not len(first):
