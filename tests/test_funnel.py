@@ -1,11 +1,13 @@
 """Handmade edge rows for the daily and monthly funnels."""
 
+from dataclasses import fields
 from datetime import datetime, timezone
 
 import pytest
 
 from stagewise.plans import funnel
 from stagewise.plans.jobs import run_daily_funnel, run_monthly_funnel
+from workload import inputs
 
 EVENT = (
     "u_user string, event_time long, scene string, option string, event_type string, event_key string, "
@@ -247,3 +249,23 @@ def test_jobs_overwrite_their_partitions(spark, tables, tmp_path):
     monthly = str(tmp_path / "monthly")
     run_monthly_funnel(t, 20240115, monthly)
     assert {r.month for r in spark.read.parquet(monthly).collect()} == {202401}
+
+
+def test_every_source_is_read_few_times(spark, tmp_path, plan_of):
+    """With broadcasting off, after exchange reuse: contacts and clues at most three times, orders once."""
+    given = inputs.funnel_tables(spark, "/root/testdata/sf0.001", (20240101, 20240131))
+    stored = {}
+    for f in fields(funnel.FunnelTables):
+        path = str(tmp_path / f"stored_{f.name}")
+        getattr(given, f.name).write.parquet(path)
+        stored[f.name] = spark.read.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = plan_of(funnel.daily_funnel(funnel.FunnelTables(**stored), 20240101, 20240131), final=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "83886080")
+        spark.conf.set("spark.sql.maxMetadataStringLength", "100")
+    times = {name: plan.count(f"/stored_{name}]") for name in stored}
+    assert times["contacts"] <= 3 and times["clues"] <= 3 and times["orders"] == 1, times
+    assert plan.count("Exchange hashpartitioning") <= 41, plan.count("Exchange hashpartitioning")

@@ -52,6 +52,8 @@ def test_latest_covering_equals_brute_force(spark, drawn, options):
     want = []
     for i, user, at in points:
         held = [(s, team) for (u, s, e, team) in periods if u == user and s <= at <= e]
+        if options and not datetime(2023, 12, 31) <= at <= datetime(2024, 1, 5, 23, 59, 59, 999999):
+            held = []
         start, team = max(held) if held else (None, None)
         want.append((i, str(start), str(team)))
     assert got == sorted(want)
