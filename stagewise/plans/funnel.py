@@ -60,6 +60,7 @@ SCHOOL_TEAM = "入校"
 NO_TEAM = "无服务期"
 TEST_CHANNEL_TYPE = "测试类型"
 
+# Output columns in the order of the contract.
 ENTRANCE = ["u_user", "scene", "task_id", "operate_id"]
 USER_ATTRIBUTES = [
     "grade", "gender", "regist_time", "user_attribution", "active_user_attribution", "city_class",

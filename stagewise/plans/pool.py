@@ -23,6 +23,7 @@ from stagewise.sources.scans import eligible_team_orders, scan_days, scan_month
 MIDDLE_SCHOOL = "mid_school"
 
 USER = "active_u_user"
+# Output columns in the order of the contract.
 LATEST_COLUMNS = [
     "grade", "mid_stage_name", "gender", "active_user_attribution", "attribution", "u_from",
     "regist_os", "city_class", "province", "province_code", "city", "city_code", "area",
@@ -93,6 +94,7 @@ def month_pool(pool_days: DataFrame, denials: DataFrame, allocations: DataFrame,
     return joined.select(*MONTH_POOL_COLUMNS)
 
 
+# Fixed values, as above.
 PAY_STATUS_COLUMNS = [
     "grade_name_month", "stage_name_month", "user_pay_status_statistics_month",
     "user_pay_status_business_month", "business_user_pay_status_statistics_month",

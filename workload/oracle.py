@@ -78,6 +78,7 @@ all_periods AS (
   UNION
   SELECT user_id, '入校', start_time, end_time, attribution = 'b' FROM school_periods)"""
 
+# Output columns in the order of the contract.
 _USER_COLUMNS = [
     "grade", "gender", "regist_time", "user_attribution", "active_user_attribution", "city_class",
     "province", "city", "user_pay_status_statistics", "user_pay_status_business",
@@ -253,6 +254,7 @@ LEFT JOIN month_channels h ON s.task_id = h.qr_code_id""",
 
 # --- pools -----------------------------------------------------------------------
 
+# Output columns in the order of the contract.
 _LATEST = [
     "grade", "mid_stage_name", "gender", "active_user_attribution", "attribution", "u_from",
     "regist_os", "city_class", "province", "province_code", "city", "city_code", "area",
@@ -297,6 +299,7 @@ LEFT JOIN codes c ON t.active_u_user = c.user_id
 LEFT JOIN sources s ON t.active_u_user = s.user_id""",
 )
 
+# Output columns in the order of the contract.
 _STATUS = [
     "grade_name_month", "stage_name_month", "user_pay_status_statistics_month",
     "user_pay_status_business_month", "business_user_pay_status_statistics_month",
