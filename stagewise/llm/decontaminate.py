@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagewise.llm.shared import Words, byte_class, flat_text, in_chunks, mix, read_table
+from stagewise.llm.shared import Words, byte_class, flat_text, in_chunks, mix, read_table, ship_code
 
 WINDOW = 10
 
@@ -253,6 +253,7 @@ def find_benchmark(
     """All columns of ``docs`` and, in words: ``n_words``, ``hits`` (merged ranges inside occurrences of
     windows), ``items`` (ids, sorted) and the longest verbatim match of ``shortest window`` words or more."""
     spark = docs.sparkSession
+    ship_code(spark)
     items = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"),
         F.coalesce(F.col(item_text), F.lit("")).alias("body"),

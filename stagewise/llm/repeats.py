@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stagewise.llm.shared import in_chunks
+from stagewise.llm.shared import in_chunks, ship_code
 
 #: Text behind one list of hashes; the number of lists follows the input.
 BUCKET_BYTES = 16 << 20
@@ -43,6 +43,7 @@ def repeated_bitmap(
     A bit may be set for a hash that only one row holds (the bitmap fills up as the corpus grows), but is never
     missing for one that two hold, so it may order and preselect, not decide.
     """
+    ship_code(rows.sparkSession)
     lists = max(0, (max(1, total) // BUCKET_BYTES).bit_length())
     bits = min(MOST_BITS, max(16, (int(total) // each).bit_length() + 2))
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,23 @@ CHUNK_BYTES = 1 << 20
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="stagewise-code-")) / "stagewise.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted((root / "stagewise").rglob("*.py")):
+            packed.write(file, file.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; one of this machine only where none is set, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -29,12 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives lost executors."""
+    ship_code(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/stagewise/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
