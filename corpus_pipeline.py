@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stagewise.llm.decontaminate import drop_contaminated
 from stagewise.llm.jaccard import keep_one_each
-from stagewise.llm.lines import dedup_line_chunks
+from stagewise.llm.lines import dedup_line_runs
 from stagewise.llm.mixing import mix_sources
 from stagewise.llm.shared import read_table, written
 from stagewise.llm.toxicity import fit_toxicity, score_toxicity
@@ -34,8 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without line chunks that an earlier place holds; ``n_chars`` follows the text."""
-    left = dedup_line_chunks(docs).select(*docs.columns)
+    """All documents, without runs of lines that an earlier place holds; ``n_chars`` follows the text."""
+    left = dedup_line_runs(docs).select(*docs.columns)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left

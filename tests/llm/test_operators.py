@@ -387,6 +387,29 @@ def test_repeated_line_chunks_go(awkward, nothing):
     assert lines.dedup_line_chunks(nothing).count() == 0
 
 
+def test_planted_passages_of_any_length_go(spark, awkward, nothing):
+    rows, want = [], {}
+    for n in (1, 2, 3, 4, 5, 6, 8):
+        passage = [" ".join(f"p{n}l{i}w{j}" for j in range(-(-51 // n))) for i in range(n)]
+        for c in range(3):
+            k = len(rows)
+            own = [f"own line {k} {i} ." for i in range(4)]
+            rows.append((k, "\n".join([*own[:2], *passage, "", *own[2:]])))
+            want[k] = rows[-1][1] if c == 0 else "\n".join([*own[:2], "", *own[2:]])
+    rows += [(100, "same\nsame\nsame\nsame"), (101, "short\nother 1"), (102, "short\nother 2"), (103, rows[0][1].split("\n")[2])]
+    want |= {100: "same", 101: "short\nother 1", 102: "short\nother 2", 103: ""}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.dedup_line_runs(docs).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert {r.doc_id: (r.removed_runs, r.removed_lines) for r in got if r.doc_id in (0, 1, 19, 20)} == {
+        0: (0, 0), 1: (1, 1), 19: (1, 8), 20: (1, 8)
+    }
+    again = lines.dedup_line_runs(awkward)
+    assert again.count() == awkward.count() and lines.dedup_line_runs(nothing).count() == 0
+    texts = {r.doc_id: r.text for r in again.collect()}
+    assert texts[9] == "own head" and texts[8] == LINES + "\nown tail" and texts[6] == PASSAGE and texts[2] is None
+
+
 # --- 10 suffixes -------------------------------------------------------------------
 
 def _removed(rows, length):
