@@ -12,6 +12,11 @@ side of a splitter their neighbours are on. A bucket cuts at changes of the lead
 multikey quicksort over 8-byte tokens (only ties go on to the next token) and compares neighbours; the least id among
 equal strings decides. The result travels back to the documents as byte ranges.
 
+Leading bytes that very many places share (a phrase before ever new words) would be one group that no bucket can cut. A
+sample of the documents finds them; their strings are spelled out, reduced to the least id by an aggregate that combines
+before the exchange, and joined back, so that only equal strings meet. A string elects by its own bytes, so all its places
+go the same way, and the sample decides about effort only.
+
 Exact copies of a whole text meet first, by digest: the one of the least id goes on, the others are covered whole.
 
 Defined cases: null texts are empty; texts shorter than ``length`` lose nothing; equal ids never remove from each other;
@@ -36,6 +41,11 @@ GRAM = 24
 GATHER = 150_000
 #: Entries that a bucket sorts at once (a group of equal leading bytes is never cut).
 SORT_AT_ONCE = 15_000
+#: Places with the same leading bytes from which on their strings are spelled out, the text that is sampled to find
+#: them at least, and one part in how many it is at least.
+HOT_PLACES = 100_000
+SAMPLE_BYTES = 64 << 20
+SAMPLE_PART = 256
 LOWEST = -(1 << 63)
 
 
@@ -223,6 +233,36 @@ def remove_repeats(
     bits, cells = repeated_bitmap(rows, "text", total, 16, grams)
     bitmap = spark.sparkContext.broadcast(cells)  # 32 MB at most
 
+    hot = hot_leads(rows, own_rows, total, length, gram)
+    hot_hashes = spark.sparkContext.broadcast(hot)
+
+    def spelled(batches):
+        """All strings of the hot leading bytes: the place of these in the string, its bytes, and who holds it where."""
+        own = np.frombuffer(bitmap.value, np.uint8)
+        for batch in in_chunks(batches, "text"):
+            batch = own_rows(batch)
+            data, begins = flat_text(batch.column("text"))
+            first, last, suffix, hashes, _ = elect(data, begins, length, gram)
+            if not len(first):
+                continue
+            keep = np.isin(hashes, hot_hashes.value)
+            keep[keep] = in_bitmap(hashes[keep], bits, own)
+            first, last, suffix = first[keep], last[keep], suffix[keep]
+            size = last - first + 1
+            start = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+            off = np.repeat(suffix, size) - start
+            row = np.searchsorted(begins, start, "right") - 1
+            for a in range(0, len(start), GATHER):
+                one = slice(a, a + GATHER)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(off[one].astype(np.int32)), slices(data, start[one], start[one] + length),
+                        batch.column("id").take(pa.array(row[one])), batch.column("mark").take(pa.array(row[one])),
+                        pa.array(start[one] - begins[row[one]]),
+                    ],
+                    ["off", "string", "id", "mark", "at"],
+                )
+
     def send(parts):
         hashes, holders = gathered([p[:2] for p in parts])
         before = pa.concat_arrays([p[2] for p in parts])
@@ -248,6 +288,8 @@ def remove_repeats(
             if not len(first):
                 continue
             keep = in_bitmap(hashes, bits, own)
+            if len(hot_hashes.value):
+                keep &= ~np.isin(hashes, hot_hashes.value)
             first, last, suffix = first[keep], last[keep], suffix[keep]
             row = np.searchsorted(begins, suffix, "right") - 1
             holders = np.empty(len(first), HOLDER)
@@ -312,6 +354,15 @@ def remove_repeats(
         .sortWithinPartitions(lead)
         .mapInArrow(judge, "of long, of_mark int, begin long, end long")
     )
+    if len(hot):
+        strings = written(rows.mapInArrow(spelled, "off int, string binary, id long, mark int, at long"))
+        least = strings.groupBy("off", "string").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+        begin = F.col("at").alias("begin")
+        found = found.unionByName(
+            strings.join(least, ["off", "string"])
+            .where("id > low")
+            .select(F.col("id").alias("of"), F.col("mark").alias("of_mark"), begin, (F.col("at") + length).alias("end"))
+        )
     whole = copies.where(F.col("n_bytes") >= length).select(
         F.col("id").alias("of"), F.col("mark").alias("of_mark"), F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")
     )
@@ -327,6 +378,24 @@ def remove_repeats(
     ).select("doc_id", "text", F.col("ranges").alias("spans"))
 
 
+def hot_leads(rows: DataFrame, own_rows, total: int, length: int, gram: int) -> np.ndarray:
+    """Hashes of the leading bytes that, by a sample of the rows, ``HOT_PLACES`` places or more share, sorted."""
+    part = max(1, min(SAMPLE_PART, int(total) // SAMPLE_BYTES))
+    sample = rows.where(F.pmod(F.xxhash64("id", "mark"), F.lit(part)) == 0) if part > 1 else rows
+
+    def leading(batches):
+        for batch in in_chunks(batches, "text"):
+            data, begins = flat_text(own_rows(batch).column("text"))
+            _, _, _, hashes, _ = elect(data, begins, length, gram)
+            kinds, times = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], ["lead", "places"])
+
+    found = sample.mapInArrow(leading, "lead long, places long").groupBy("lead").agg(F.sum("places").alias("places"))
+    return np.sort(
+        np.array([r.lead for r in found.where(F.col("places") * part >= HOT_PLACES).toLocalIterator()], np.int64).view(np.uint64)
+    )
+
+
 def leads(column: pa.Array, gram: int) -> np.ndarray:
     data, at = flat_bytes(column)
     return data[at[:-1][:, None] + np.arange(gram)]

@@ -445,6 +445,39 @@ def test_suffix_dedup_equals_brute_force(awkward, given, nothing, length, gram,
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+def test_places_of_a_hot_phrase_do_not_meet_in_one_call(spark, monkeypatch):
+    phrase = "licensed by its owners to the holder of this: "
+    names = [f"{k * 7919 % 1009:04d} and {k * 104729 % 9973:05d} own words {k * k:09d}" for k in range(200)]
+    tail = " which then goes on with the same words as in the other one"
+    docs = [(k, f"{names[k]} {phrase}{names[k // 2 if k % 10 == 1 else -k]}{tail if k % 5 == 0 else ''} {k}") for k in range(200)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).persist()
+    monkeypatch.setattr(suffixes, "HOT_PLACES", 50)
+    dealt = suffixes.hot_leads(
+        rows.select(F.col("doc_id").alias("id"), F.hash("text").alias("mark"), "text"), lambda b: b, 1, 50, 24
+    )
+    assert 0 < len(dealt) < 100
+    tables = []
+
+    def kept(df):
+        tables.append(suffixes_written(df))
+        return tables[-1]
+
+    suffixes_written = suffixes.written
+    monkeypatch.setattr(suffixes, "written", kept)
+    got = []
+    for r in suffixes.remove_repeats(rows).collect():
+        body, keep, at = r.text.encode(), b"", 0
+        for s in r.spans or ():
+            keep += body[at : max(at, s.begin)]
+            at = max(at, s.end)
+        got.append((r.doc_id, keep + body[at:]))
+    assert sorted(got, key=repr) == _removed(docs, 50) and any(body != t.encode() for (_, body), (_, t) in zip(sorted(got), docs, strict=True))
+    # All places of a hot phrase are spelled out, and their strings are dealt by more than the phrase.
+    strings = next(t for t in tables if "string" in t.columns)
+    assert strings.select("id").distinct().count() == 200
+    assert strings.groupBy("off", "string").count().agg(F.max("count")).first()[0] < 50
+
+
 def test_multikey_groups_equal_rows():
     tokens = np.random.default_rng(3).integers(0, 3, (500, 4)).astype(np.uint64)
     order, new = suffixes.multikey_groups(tokens)
