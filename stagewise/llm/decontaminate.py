@@ -4,7 +4,8 @@ A shard is a batch of whole documents inside a task. Its words are hashed, and t
 runs of benchmark word pairs (nothing else can hold a window) become a suffix array, sorted by prefix
 doubling. Every suffix of the benchmark is then looked up by binary search, all at once, one word
 deeper each step: the interval of the array at the window's depth gives all occurrences of the
-window, the depth at which the interval runs empty the longest verbatim match and its location.
+window. The depth at which a place drops out of the interval is its longest verbatim match; of these every document
+keeps its own longest (the first in the document, of the least item, if several are as long), whatever rows share the batch.
 
 The benchmark goes to the tasks in blocks of ``block_bytes`` text at most (by measured size), one Python step per
 block over the same rows, so neither side is shuffled and a benchmark of any size fits.
@@ -124,28 +125,45 @@ def narrow(column: np.ndarray, low: np.ndarray, high: np.ndarray, value: np.ndar
 
 
 def look_up(tests: Suffixes, symbols: np.ndarray, array: np.ndarray):
-    """For all benchmark suffixes: interval of the array at the window's depth, and the depth and a
-    place of the longest match."""
+    """For all benchmark suffixes the interval of the array at the window's depth; for all places of the array
+    the depth of their longest match and the first benchmark suffix that has it."""
     total = len(tests.hash)
     low, high = np.zeros(total, np.int64), np.zeros(total, np.int64)
-    best, where = np.zeros(total, np.int64), np.zeros(total, np.int64)
+    best, by = np.zeros(len(array), np.int64), np.zeros(len(array), np.int64)
     alive = np.arange(total)
     a, z = np.zeros(total, np.int64), np.full(total, len(array))
     depth = 0
     padded = np.concatenate([symbols, np.zeros(tests.longest + 1, np.uint64)])
+
+    def leave(which: np.ndarray, a: np.ndarray, z: np.ndarray) -> None:
+        """Some or all places of these intervals match no deeper. Those that do are overwritten later."""
+        if depth < tests.shortest or not len(a):
+            return
+        # Intervals of one depth are equal or apart; of equal ones the first suffix counts.
+        a, first = np.unique(a, return_index=True)
+        z, which = z[first], which[first]
+        size = z - a
+        at = np.arange(size.sum()) + np.repeat(a - (np.cumsum(size) - size), size)
+        which = np.repeat(which, size)
+        by[at] = np.where(best[at] == depth, np.minimum(by[at], which), which)
+        best[at] = depth
+
     while len(alive):
         column = padded[array + depth]
         value = tests.hash[alive + depth]
+        old_a, old_z = a, z
         a, z = narrow(column, a, z, value, False), narrow(column, a, z, value, True)
+        less = (z - a) < (old_z - old_a)
+        leave(alive[less], old_a[less], old_z[less])
         depth += 1
         some = a < z
         alive, a, z = alive[some], a[some], z[some]
-        best[alive], where[alive] = depth, array[a] if len(a) else 0
         at = tests.depth[alive] == depth
         low[alive[at]], high[alive[at]] = a[at], z[at]
         more = tests.left[alive] > depth
+        leave(alive[~more], a[~more], z[~more])
         alive, a, z = alive[more], a[more], z[more]
-    return low, high, best, where
+    return low, high, best, by
 
 
 def search(tests: Suffixes, texts: pa.Array):
@@ -169,7 +187,7 @@ def search(tests: Suffixes, texts: pa.Array):
     word_at[shift] = keep
     array = suffix_array(symbols, tests.longest)
     array = array[symbols[array] != EDGE]
-    low, high, best, where = look_up(tests, symbols, array)
+    low, high, best, by = look_up(tests, symbols, array)
     found = np.flatnonzero(tests.is_window & (low < high))
     doc_of = np.full(len(symbols), -1)
     doc_of[shift] = text
@@ -194,11 +212,11 @@ def search(tests: Suffixes, texts: pa.Array):
         for interval, item in pairs.T:
             for k in holders[interval]:
                 items.setdefault(int(k), set()).add(tests.ids[item])
-    for q in np.flatnonzero(best >= tests.shortest):
-        k = int(doc_of[where[q]])
-        if k not in longest or best[q] > longest[k][0]:
-            begin = int(word_at[where[q]] - first[k])
-            longest[k] = (int(best[q]), begin, tests.ids[tests.item[q]])
+    held = np.flatnonzero(best)
+    held = held[np.lexsort((word_at[array[held]], -best[held], doc_of[array[held]]))]
+    docs, firsts = np.unique(doc_of[array[held]], return_index=True)
+    for k, r in zip(docs.tolist(), held[firsts], strict=True):
+        longest[k] = (int(best[r]), int(word_at[array[r]] - first[k]), tests.ids[tests.item[by[r]]])
     return words.count, hits, items, longest
 
 
@@ -229,7 +247,8 @@ def _step(block, text: str, names: list[str], window: int, is_first: bool, schem
                 if old[1]:
                     ranges = merged(ranges + [(r["begin"], r["end"]) for r in old[1]])
                 held = sorted({*old[2], *items.get(k, ())}) if old[2] or k in items else []
-                best = max((old[3], old[4], old[5]), longest.get(k, (0, None, None)), key=lambda x: x[0])
+                # The longest; then the first in the document; then the least item.
+                best = min((old[3:], longest.get(k, (0, None, None))), key=lambda x: (-x[0], x[1] or 0, x[2] or ""))
                 row = (int(counts[k]), [{"begin": a, "end": z} for a, z in ranges], held, *best)
                 for c, value in zip(names, row, strict=True):
                     rows[c].append(value)

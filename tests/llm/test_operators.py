@@ -267,6 +267,35 @@ def test_longest_match_and_its_place(spark, benchmark, nothing):
     assert decontaminate.find_benchmark(nothing, benchmark).count() == 0
 
 
+def _longest(text, items, shortest):
+    own, best = words(text), (0, None, None)
+    for item, body in sorted(items):
+        w = words(body)
+        for b in range(len(own)):
+            for a in range(len(w)):
+                n = 0
+                while a + n < len(w) and b + n < len(own) and w[a + n] == own[b + n]:
+                    n += 1
+                if n >= shortest and (-n, b) < (-best[0], best[1] if best[0] else 1 << 60):
+                    best = (n, b, item)
+    return best
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_longest_match_of_every_document_of_a_batch(spark, block_bytes):
+    body, other = PASSAGE.split(), [f"other{i % 7}" for i in range(30)]
+    items = [("a", PASSAGE), ("b", " ".join(other)), ("c", " ".join(body[10:40] + other[:12])), ("d", PASSAGE), ("Z", " ".join(body[5:17]))]
+    texts = [
+        "lead " + " ".join(body[5:30]), "lead " + " ".join(body[5:30]), " ".join(body[5:17]) + " tail", PASSAGE, "no match at all",
+        " ".join(body[30:40] + other[:12]), " ".join(other[:15] + ["x"] + body[:15]), " ".join(body[:9]), " ".join(other * 2), " ".join(body[5:17]),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = decontaminate.find_benchmark(docs, spark.createDataFrame(items, "item_id string, text string"), block_bytes=block_bytes)
+    got = {r.doc_id: (r.longest, r.longest_begin, r.longest_item) for r in found.collect()}
+    assert got == {k: _longest(t, items, 10) for k, t in enumerate(texts)}
+    assert got[0] == got[1] == (25, 1, "a") and got[2][0] == got[9][0] == 12 and got[7] == (0, None, None)
+
+
 # --- 7 fingerprint ---------------------------------------------------------------
 
 def test_peeling_recovers_differences_of_any_size():
