@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INLINE_ROWS = 20
 
@@ -100,17 +101,37 @@ class Delivery:
 
 def deliver(df: DataFrame, path: str, threshold: int = INLINE_ROWS) -> Delivery:
     """Small results as text, larger ones as distributed CSV. The plan runs once: its rows are
-    written and counted, and read back (and the files dropped) only if they are few. At most
-    ``threshold`` rows ever reach the driver."""
+    written to a staging folder beside ``path`` as Parquet, which keeps every value, and counted; text or CSV files are
+    made from that, in the order of the rows. At most ``threshold`` rows ever reach the driver."""
     spark = df.sparkSession
+    staging = f"{path.rstrip('/')}_staging-{uuid.uuid4().hex}"
+    place = "_place"
+    while place in df.columns:
+        place = f"_{place}"
+    # Parquet has no type for columns of nothing but nulls.
+    named = [(F.col(f"`{f.name.replace('`', '``')}`"), f) for f in df.schema]
+    columns = [c.cast("string").alias(f.name) if f.dataType == T.NullType() else c for c, f in named]
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("header", True).csv(path)
-    rows = written.get["rows"]
-    if rows > threshold:
-        return Delivery("file", rows, path=path)
-    kept = spark.read.schema(df.schema).option("header", True).csv(path).toPandas() if rows else None
-    _delete(spark, path)
-    if kept is None:
-        return Delivery("empty", 0)
-    return Delivery("inline", rows, text=kept.to_csv(sep="\t", index=False))
+    try:
+        (
+            df.select(*columns, F.monotonically_increasing_id().alias(place))
+            .observe(written, F.count(F.lit(1)).alias("rows"))
+            .write.parquet(staging)
+        )
+        rows = written.get["rows"]
+        staged = spark.read.parquet(staging).orderBy(place).drop(place)
+        if rows > threshold:
+            (
+                staged.write.mode("overwrite")
+                .option("header", True)
+                .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+                .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                .csv(path)
+            )
+            return Delivery("file", rows, path=path)
+        _delete(spark, path)
+        if not rows:
+            return Delivery("empty", 0)
+        return Delivery("inline", rows, text=staged.toPandas().to_csv(sep="\t", index=False))
+    finally:
+        _delete(spark, staging)

@@ -1,4 +1,7 @@
+import csv
+import io
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +154,21 @@ def test_delivery_by_size(spark, tmp_path):
     filed = sinks.deliver(numbers.where("n < 21"), path)
     assert (filed.kind, filed.rows) == ("file", 21)
     assert spark.read.csv(path, header=True).count() == 21
+
+
+def test_delivery_keeps_every_value(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [
+        (k, f'first "line" {k}\nsecond\tline, {k}', datetime(2024, 1, 2, 3, 4, 5, 123456 + k), None) for k in range(30)
+    ]
+    df = spark.createDataFrame(rows, "n int, body string, at timestamp, gap void").repartition(4).orderBy(F.desc("n"))
+    inline = sinks.deliver(df.where("n < 7"), path)
+    got = list(csv.reader(io.StringIO(inline.text), delimiter="\t"))
+    assert (inline.kind, inline.rows) == ("inline", 7) and got[0] == ["n", "body", "at", "gap"]
+    assert [(int(n), body, at[:26], gap) for n, body, at, gap in got[1:]] == [
+        (k, body, f"{at:%Y-%m-%d %H:%M:%S.%f}", "") for k, body, at, _ in reversed(rows[:7])
+    ]
+    filed = sinks.deliver(df, path)
+    back = spark.read.schema("n int, body string, at timestamp, gap string").csv(path, header=True, multiLine=True)
+    assert filed.rows == 30 and sorted(map(tuple, back.collect())) == rows
+    assert os.listdir(tmp_path) == ["out"]
