@@ -4,7 +4,7 @@
     STAGES                   (name, function of (spark, docs, sf_dir)) in order
 
 All stages but the last return the columns of ``documents``; the last returns one row per document with
-the words the mix takes from it and its position in training. SQL cannot express the learned scores and
+the words the mix takes from it and its positions in training. SQL cannot express the learned scores and
 the components of the second and third stage, so there is no SQL for the whole.
 """
 
@@ -52,7 +52,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document, range-sorted by training position."""
+    """What the mix takes of each document, range-sorted by training position; ``readings`` holds all its positions."""
     return mix_sources(docs)
 
 

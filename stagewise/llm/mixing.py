@@ -4,7 +4,8 @@ Each source has a weight and a schedule of that weight over training time 0..1.
 is dealt by weight; a source never gives more than ``most_repeats`` times its words, and what it
 cannot give goes to the others. Inside a source the documents form a stream in the order of a hash
 of their id, repeated if the target asks for it; the stream is read up to the target. The place of a
-document in the stream, set against the integral of the schedule, gives its position in training.
+document in the stream, set against the integral of the schedule, gives its position in training; each
+reading of a document has a position of its own.
 
 Columns only: no Python code runs on rows. Prefix sums are taken inside (source, hash prefix) cells
 and carried over by the cells' totals, so a hot source is as many cells as any other.
@@ -106,7 +107,8 @@ def mix_sources(
 ) -> DataFrame:
     """One row per document: ``size``, ``source_size``, ``target`` (of its source), ``taken``
     (words), ``copies`` (whole or cut by the target), ``position`` (training time of the first copy,
-    null if not taken), range-sorted by position. ``cell_digits``: hex digits of the hash that
+    null if not taken), ``start`` (words before it in its source's stream) and ``readings`` (for each
+    copy its ``position`` and the words ``taken``), range-sorted by position. ``cell_digits``: hex digits of the hash that
     a cell of the prefix sums has; 16 cells a source for each."""
     if len(schedules) != len(weights):
         raise ValueError("one schedule for each weight")
@@ -146,7 +148,12 @@ def mix_sources(
     ]
     placed = placed.withColumn("taken", sum(takes[1:], takes[0]).cast("long"))
     copies = [F.when(t > 0, 1).otherwise(0) for t in takes]
-    placed = placed.withColumn("part", F.try_divide(F.col("from").cast("double"), F.col("target")))
+    readings = []
+    for k, taken in enumerate(takes):
+        begin = (F.col("from") + F.col("source_size") * k).cast("double")
+        placed = placed.withColumn(f"part_{k}", F.try_divide(begin, F.col("target")))
+        position = F.expr(position_sql(f"part_{k}", "turn", schedules))
+        readings.append(F.when(taken > 0, F.struct(position.alias("position"), taken.cast("long").alias("taken"))))
     return placed.select(
         "doc_id",
         "size",
@@ -154,12 +161,26 @@ def mix_sources(
         "target",
         "taken",
         sum(copies[1:], copies[0]).cast("long").alias("copies"),
-        F.when(F.col("taken") > 0, F.expr(position_sql("part", "turn", schedules))).alias("position"),
+        F.when(F.col("taken") > 0, F.expr(position_sql("part_0", "turn", schedules))).alias("position"),
+        F.col("from").cast("long").alias("start"),
+        F.array_compact(F.array(*readings)).alias("readings"),
     ).orderBy("position", "doc_id")
 
 
+def training_order(mixed: DataFrame) -> DataFrame:
+    """The rows of :func:`mix_sources` with one row per reading (``reading`` from 0, its own ``position`` and ``taken``),
+    range-sorted by position: the order of training."""
+    others = [c for c in mixed.columns if c not in ("taken", "copies", "position", "readings")]
+    return (
+        mixed.select(*others, F.posexplode("readings").alias("reading", "one"))
+        .select(*others, "reading", "one.position", "one.taken")
+        .orderBy("position", "doc_id", "reading")
+    )
+
+
 def op3_mixing(spark, sf_dir):
-    return mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.drop("start", "readings")  # the columns of the contract
 
 
 def mixing_sql(documents: str = "documents") -> str:

@@ -147,6 +147,27 @@ def test_mix_on_awkward_rows(awkward, nothing):
         mixing.position_sql("part", "turn", ((1.0, 0.0),) * 3)
 
 
+def test_every_reading_has_a_position(spark):
+    # Sources a, b and c have equal sizes, so a is read twice, b and c in part.
+    docs = spark.createDataFrame([(k, "w " * (k % 5 + 1), "abc"[k % 3]) for k in range(150)], "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs).persist()
+    got = {r.doc_id: r for r in mixed.collect()}
+    turn = {k: k % 3 for k in got}
+    order = mixing.training_order(mixed).collect()
+    assert len(order) == sum(r.copies for r in got.values()) > len({r.doc_id for r in order})
+    assert [r.position for r in order] == sorted(r.position for r in order)
+    assert sum(r.taken for r in order) == sum(r.taken for r in got.values())
+    for r in got.values():
+        assert len(r.readings) == r.copies and (r.position is None or r.position == r.readings[0].position)
+        for k, one in enumerate(r.readings):
+            # The integral of the schedule up to the position is the part of the target that was read before.
+            a, b, c = mixing.SCHEDULES[turn[r.doc_id]]
+            first, second = min(one.position, 0.5), max(one.position - 0.5, 0)
+            area = a * first + (b - a) * first**2 + b * second + (c - b) * second**2
+            total = (a + 2 * b + c) / 4
+            assert abs(area / total - (r.start + k * r.source_size) / r.target) < 1e-9
+
+
 # --- 4 secrets -----------------------------------------------------------------
 
 def _base_spans(text):
