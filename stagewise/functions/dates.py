@@ -108,6 +108,11 @@ def instant_of(epoch_ms: str | Column) -> Column:
     return F.timestamp_millis(col(epoch_ms))
 
 
+def instant_before(epoch_ms: str | Column, seconds: int = 1) -> Column:
+    """Timestamp ``seconds`` before an epoch-millisecond value."""
+    return instant_of(col(epoch_ms) - F.lit(seconds * 1000))
+
+
 def _midnight(day: int) -> datetime:
     return datetime.combine(day_to_date(day), datetime.min.time())
 
