@@ -64,6 +64,20 @@ def distinct_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return owner[new], token[new]
 
 
+def _marks(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit marks per set, from the sums of its spread tokens: equal sets have equal marks in any batch."""
+    marks = []
+    for salt in (0x8F3B, 0x51A7):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(token ^ np.uint64(salt)), dtype=np.uint64)])
+        marks.append(mix((sums[first[1:]] - sums[first[:-1]]) + np.diff(first).astype(np.uint64)))
+    return marks
+
+
+def set_marks(texts: pa.Array, words: int) -> list[np.ndarray]:
+    owner, token = distinct_sets(texts, words)
+    return _marks(token, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]))
+
+
 def frequent_cells(docs: DataFrame, words: int, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Cells whose tokens are frequent, with their counts: CELLS rows at most."""
 
@@ -114,11 +128,7 @@ def similar_components(
             rows = batch.num_rows
             size = np.bincount(owner, minlength=rows)
             first = np.concatenate([[0], np.cumsum(size)])
-            marks = []
-            for salt in (0x8F3B, 0x51A7):
-                spread = mix(token ^ np.uint64(salt))
-                sums = np.concatenate([[0], np.cumsum(spread)]).astype(np.uint64)
-                marks.append(mix((sums[first[1:]] - sums[first[:-1]]) + size.astype(np.uint64)))
+            marks = _marks(token, first)
             # Rarest first: tokens of one document only, then by how frequent their cell is.
             many = in_bitmap(token, bits, repeated)
             rarity = np.where(many, level[(token >> np.uint64(44)).astype(np.int64)] + 1, 0)
@@ -187,7 +197,11 @@ def similar_components(
     ).select("node", "group", "text")
 
     def token_sets(batches):
+        seen = set()  # rows equal in id and text stand for one node; a task needs it once
         for batch in in_chunks(batches, "text"):
+            ids = batch.column("node").to_pylist()
+            fresh = [k for k, node in enumerate(ids) if node not in seen and not seen.add(node)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             owner, token = distinct_sets(batch.column("text"), words)
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64)))

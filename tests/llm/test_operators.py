@@ -534,3 +534,24 @@ def test_multikey_groups_equal_rows():
     ordered = [tuple(t) for t in tokens[order]]
     assert ordered == sorted(ordered)
     assert [a != b for a, b in zip(ordered[1:], ordered, strict=False)] == list(new[1:])
+
+
+def test_equal_sets_are_one_node_whatever_their_batch(spark):
+    """Exact copies beside other rows: the set marks must not depend on what stands before them."""
+    texts = [(k, f"only {k} " + " ".join(f"t{k * j % 9973}" for j in range(1, 40))) for k in range(300)]
+    copies = [(1000 + k, PASSAGE) for k in range(300)]
+    mixed = [row for pair in zip(texts, copies, strict=True) for row in pair]
+    docs = spark.createDataFrame(mixed, "doc_id long, text string").coalesce(1)
+    marks = jaccard.set_marks(pa.array([t for _, t in mixed]), 5)
+    assert len({(int(a), int(b)) for (_, t), a, b in zip(mixed, *marks, strict=True) if t == PASSAGE}) == 1
+    found = jaccard.similar_components(docs)
+    assert found.where("doc_id >= 1000").select("component_id").distinct().collect()[0][0] == 1000
+
+
+def test_ten_thousand_equal_rows(spark):
+    same = " ".join(f"word{k}" for k in range(60))
+    rows = [(7, same)] * 10_000 + [(8, same + " more"), (9, "something else of a few words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = jaccard.similar_components(docs)
+    counted = {(r.doc_id, r.component_id): r["count"] for r in found.groupBy("doc_id", "component_id").count().collect()}
+    assert counted == {(7, 7): 10_000, (8, 7): 1, (9, 9): 1}
