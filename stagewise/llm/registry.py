@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stagewise.llm.align import op12_align
 from stagewise.llm.decontaminate import decontaminate_sql, op6_decontaminate
 from stagewise.llm.fingerprint import op7_fingerprint
 from stagewise.llm.jaccard import op8_jaccard
@@ -9,6 +10,7 @@ from stagewise.llm.language import op1_language
 from stagewise.llm.lattice import op5_lattice
 from stagewise.llm.lines import lines_sql, op9_lines
 from stagewise.llm.mixing import mixing_sql, op3_mixing
+from stagewise.llm.repair import op13_repair, repair_sql
 from stagewise.llm.secrets import op4_secrets, secrets_sql
 from stagewise.llm.suffixes import op10_suffixes
 from stagewise.llm.toxicity import op2_toxicity
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_lines": op9_lines,
     "op10_suffixes": op10_suffixes,
+    "op12_align": op12_align,
+    "op13_repair": op13_repair,
 }
 
 ORACLE_SQL = {
@@ -31,4 +35,5 @@ ORACLE_SQL = {
     "op4_secrets": secrets_sql(),
     "op6_decontaminate": decontaminate_sql(),
     "op9_lines": lines_sql(),
+    "op13_repair": repair_sql(),
 }

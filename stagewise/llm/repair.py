@@ -424,3 +424,85 @@ def damaged(turns: DataFrame) -> DataFrame:
 def op13_repair(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return digests(repair_conversations(damaged(turns), gone="gone"))
+
+
+def repair_sql() -> str:
+    """The query as DuckDB SQL: the same repairs found row by row, with the place of the pattern as state."""
+    letters = " UNION ALL ".join(f"SELECT {p} AS p, '{c}' AS letter, {q} AS q" for (p, c), q in STEPS.items())
+    closures = " UNION ALL ".join(
+        f"SELECT {p} AS p, {at} AS at, {cost} AS cost, '{audit}' AS edits, "
+        f"{[ROLES[due(x)] + ':' for x in _on_the_way(p, len(audit))]}::VARCHAR[] AS lines"
+        for p in range(PLACES) for at, cost, audit in _closure(p)
+    )
+    closings = " UNION ALL ".join(
+        f"SELECT {p} AS p, {closing(p)[0]} AS cost, '{closing(p)[1]}' AS edits, "
+        f"{[ROLES[due(x)] + ':' for x in _on_the_way(p, len(closing(p)[1]))]}::VARCHAR[] AS lines"
+        for p in range(PLACES)
+    )
+    return f"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b::BIGINT], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_of),
+keyed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(1, length(key) + 1), lambda i: ascii(key[i])::BIGINT)),
+    lambda c, b: xor(crc_of[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS k
+  FROM keyed, bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, range(CASE WHEN k = 3 THEN 2 ELSE 1 END) WHERE k <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS filled,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM placed),
+rows_of AS (
+  SELECT conv_id, i, turn, role, text, pair, filled = '' AS blank, filled <> '' AND seen AS duplicate,
+    filled <> '' AND NOT seen AND filled[-1] NOT IN ('.', '!', '?') AS truncated
+  FROM judged),
+letters AS ({letters}), closures AS ({closures}), closings AS ({closings}),
+edits AS (
+  SELECT c.p, l.q, l.letter, 'K' AS edit, c.cost, c.edits || 'K' AS edits, c.lines FROM closures c JOIN letters l ON c.at = l.p
+  UNION ALL
+  SELECT c.p, l.q, l.letter, 'R', c.cost + {REROLE}, c.edits || 'R', c.lines FROM closures c JOIN letters l ON c.at = l.p AND l.letter <> 's'
+  UNION ALL
+  SELECT p, p, '', 'D', {DELETE}, 'D', [] FROM range({PLACES}) AS t(p)),
+cells AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS p, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM (SELECT DISTINCT conv_id FROM rows_of)
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, lines FROM (
+    SELECT c.conv_id, r.i, e.q, c.cost + e.cost + CASE WHEN r.truncated AND e.edit <> 'D' THEN {CUT_OFF} ELSE 0 END AS cost, c.audit || e.edits AS audit,
+      CASE e.edit WHEN 'D' THEN c.lines WHEN 'K' THEN c.lines || e.lines || [r.role || ':' || r.text]
+        ELSE c.lines || e.lines || [CASE e.letter WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text] END AS lines
+    FROM cells c JOIN rows_of r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.i = c.i + 1
+    JOIN edits e ON e.p = c.p AND (e.edit = 'D' OR NOT (r.blank OR r.duplicate)) AND (e.edit <> 'K' OR e.letter = r.role[1])
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, i, q ORDER BY cost, audit) = 1),
+ends AS (
+  SELECT c.conv_id, c.cost + z.cost AS cost, c.audit || z.edits AS audit, c.lines || z.lines AS lines
+  FROM cells c JOIN closings z ON z.p = c.p
+  JOIN (SELECT conv_id, max(i) AS i FROM rows_of GROUP BY 1) n ON n.conv_id IS NOT DISTINCT FROM c.conv_id AND n.i = c.i
+  QUALIFY row_number() OVER (PARTITION BY c.conv_id ORDER BY c.cost + z.cost, c.audit || z.edits) = 1),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+    count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+    count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_of GROUP BY 1)
+SELECT o.conv_id, coalesce(f.gaps, 0)::BIGINT AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate,
+  coalesce(f.truncated, 0) AS truncated, coalesce(f.illegal, 0) AS illegal, coalesce(e.cost, 0)::BIGINT AS cost,
+  coalesce(e.audit, '') AS audit, sha256(coalesce(array_to_string(e.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
+def _on_the_way(place: int, steps: int) -> list[int]:
+    """The places in front of each of so many insertions."""
+    way = []
+    for _ in range(steps):
+        way.append(place)
+        place = STEPS[place, due(place)]
+    return way
