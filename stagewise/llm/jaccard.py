@@ -64,7 +64,7 @@ def distinct_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return owner[new], token[new]
 
 
-def _marks(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+def set_marks_of(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     """Two 64-bit marks per set, from the sums of its spread tokens: equal sets have equal marks in any batch."""
     marks = []
     for salt in (0x8F3B, 0x51A7):
@@ -75,7 +75,7 @@ def _marks(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 def set_marks(texts: pa.Array, words: int) -> list[np.ndarray]:
     owner, token = distinct_sets(texts, words)
-    return _marks(token, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]))
+    return set_marks_of(token, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]))
 
 
 def frequent_cells(docs: DataFrame, words: int, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +128,7 @@ def similar_components(
             rows = batch.num_rows
             size = np.bincount(owner, minlength=rows)
             first = np.concatenate([[0], np.cumsum(size)])
-            marks = _marks(token, first)
+            marks = set_marks_of(token, first)
             # Rarest first: tokens of one document only, then by how frequent their cell is.
             many = in_bitmap(token, bits, repeated)
             rarity = np.where(many, level[(token >> np.uint64(44)).astype(np.int64)] + 1, 0)

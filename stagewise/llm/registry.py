@@ -9,9 +9,11 @@ from stagewise.llm.jaccard import op8_jaccard
 from stagewise.llm.language import op1_language
 from stagewise.llm.lattice import op5_lattice
 from stagewise.llm.lines import lines_sql, op9_lines
+from stagewise.llm.minhash import op11_minhash
 from stagewise.llm.mixing import mixing_sql, op3_mixing
 from stagewise.llm.repair import op13_repair, repair_sql
 from stagewise.llm.secrets import op4_secrets, secrets_sql
+from stagewise.llm.similar_sql import similar_sql
 from stagewise.llm.suffixes import op10_suffixes
 from stagewise.llm.toxicity import op2_toxicity
 
@@ -26,6 +28,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_lines": op9_lines,
     "op10_suffixes": op10_suffixes,
+    "op11_minhash": op11_minhash,
     "op12_align": op12_align,
     "op13_repair": op13_repair,
 }
@@ -34,6 +37,8 @@ ORACLE_SQL = {
     "op3_mixing": mixing_sql(),
     "op4_secrets": secrets_sql(),
     "op6_decontaminate": decontaminate_sql(),
+    "op8_jaccard": similar_sql(3, 90),
     "op9_lines": lines_sql(),
+    "op11_minhash": similar_sql(4, 80, kept=True),
     "op13_repair": repair_sql(),
 }
