@@ -19,6 +19,8 @@ repeated rows each count; null ids are carried; a single text longer than a chun
 from __future__ import annotations
 
 import hashlib
+import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,12 @@ from stagewise.llm.repeats import pack, unpack
 from stagewise.llm.shared import Rolling, byte_values, flat_text, in_chunks, read_table, ship_code, written
 
 #: Bytes of text that are aligned and counted at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 #: Ends in a piece of the merge.
 PIECE = 512
 #: Distinct segments whose tokens a task keeps.
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 600_000
+ENCODED_AT_ONCE = 2000
 SPACE = 0x20
 #: Bytes that can begin a white-space character beyond ASCII; no cut in front of them.
 WIDE_BLANKS = (0xC2, 0xE1, 0xE2, 0xE3)
@@ -114,6 +117,8 @@ class Encoders:
     """Both tokenizers from the contents of their files, and the bytes of their tokens."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
+        # A task has one core.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -121,28 +126,56 @@ class Encoders:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         letters = byte_letters()
-        self.a_bytes: dict[int, bytes] = {}
-        for token, number in self.a.get_vocab().items():
+        vocabulary = self.a.get_vocab()
+        by_a = [b""] * (max(vocabulary.values()) + 1)
+        for token, number in vocabulary.items():
             known = all(c in letters for c in token)
-            self.a_bytes[number] = bytes(letters[c] for c in token) if known else token.encode()
+            by_a[number] = bytes(letters[c] for c in token) if known else token.encode()
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)
-        ]
+        by_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
+        self.letters = [np.frombuffer(b"".join(own), np.uint8) for own in (by_a, by_b)]
+        self.size = [np.array([len(t) for t in own], np.int32) for own in (by_a, by_b)]
+        self.at = [offsets(own) for own in self.size]
         # Cutting in front of a space is right only if no piece of B holds one behind another character.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.a_ids, self.b_ids = max(self.a_bytes) + 1, len(pieces)
-
-    def encode(self, segments: list[bytes]):
-        """(ids, ends) by A and by B of each segment, a space in front included; None for one that is not given back."""
-        a = self.a.encode_batch([s.decode() for s in segments], add_special_tokens=False)
-        b = self.b.encode([s[1:].decode() for s in segments], num_threads=1)
-        for segment, by_a, by_b in zip(segments, a, b, strict=True):
-            parts_a, parts_b = [self.a_bytes[k] for k in by_a.ids], [self.b_bytes[k] for k in by_b]
-            if b"".join(parts_a) != segment or b"".join(parts_b) != segment:
-                yield None
-            else:
-                yield (by_a.ids, list(map(len, parts_a))), (by_b, list(map(len, parts_b)))
+        self.a_ids, self.b_ids = len(by_a), len(by_b)
+
+    def encode(self, segments: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Whether both give each segment (a space in front included) back byte for byte, and for A and B the ids of all of them,
+        where each token ends in its segment, and how many tokens each has (none where it is not given back)."""
+        good = np.ones(len(segments), bool)
+        wanted = np.frombuffer(b"".join(segments), np.uint8)
+        length = np.array([len(x) for x in segments], np.int64)
+        sides = []
+        for side, run in ((0, self._by_a), (1, self._by_b)):
+            lists = run(segments)
+            count = np.array([len(x) for x in lists], np.int64)
+            ids = np.fromiter(chain.from_iterable(lists), np.int32, int(count.sum()))
+            size = self.size[side][ids].astype(np.int64)
+            before = offsets(size)
+            got = np.diff(before[offsets(count)])
+            fits = got == length
+            # Bytes are compared where the lengths are right.
+            own = np.repeat(fits, count)
+            given = self.letters[side][gather(self.at[side][ids[own]], size[own])]
+            differs = given != wanted[gather(offsets(length)[:-1][fits], length[fits])]
+            fits[np.flatnonzero(fits)[np.searchsorted(np.cumsum(length[fits]), np.flatnonzero(differs), "right")]] = False
+            good &= fits
+            sides.append((ids, before[1:] - np.repeat(before[offsets(count)[:-1]], count), count))
+        for side, (ids, ends, count) in enumerate(sides):
+            keep = np.repeat(good, count)
+            sides[side] = (ids[keep], ends[keep].astype(np.int32), np.where(good, count, 0))
+        return good, sides
+
+    def _by_a(self, segments: list[bytes]) -> list[list[int]]:
+        out = []
+        for k in range(0, len(segments), ENCODED_AT_ONCE):
+            some = [x.decode() for x in segments[k : k + ENCODED_AT_ONCE]]
+            out += [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
+        return out
+
+    def _by_b(self, segments: list[bytes]) -> list[list[int]]:
+        return self.b.encode([x[1:].decode() for x in segments], num_threads=1)
 
 
 class Segments:
@@ -153,43 +186,43 @@ class Segments:
         self._empty()
 
     def _empty(self):
-        self.number: dict[int, int] = {}
-        none, zero = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        none, zero = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.marks, self.entries = np.zeros(0, np.uint64), none
         self.text, self.text_at, self.good = np.zeros(0, np.uint8), zero, np.zeros(0, bool)
         self.ids, self.ends, self.at = [none, none], [none, none], [zero, zero]
 
-    def _add(self, segments: list[bytes]) -> None:
-        good, ids, sizes, counts = [], [[], []], [[], []], [[], []]
-        for found in self.encoders.encode(segments):
-            good.append(found is not None)
-            for side, (own, size) in enumerate(found or (([], []), ([], []))):
-                ids[side] += own
-                sizes[side] += size
-                counts[side].append(len(own))
-        self.good = np.concatenate([self.good, np.array(good, bool)])
+    def _add(self, segments: list[bytes]) -> np.ndarray:
+        """The entries that the segments get."""
+        entry = len(self.good) + np.arange(len(segments))
+        good, sides = self.encoders.encode(segments)
+        self.good = np.concatenate([self.good, good])
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(segments), np.uint8)])
         self.text_at = np.concatenate([self.text_at, self.text_at[-1] + np.cumsum([len(s) for s in segments])])
-        for side in (0, 1):
-            size, count = np.array(sizes[side], np.int64), np.array(counts[side], np.int64)
-            total, start = np.cumsum(size), offsets(count)[:-1]
-            before = offsets(size)[start] if len(size) else np.zeros(len(count), np.int64)
-            self.ends[side] = np.concatenate([self.ends[side], total - np.repeat(before, count)])
-            self.ids[side] = np.concatenate([self.ids[side], np.array(ids[side], np.int64)])
+        for side, (ids, ends, count) in enumerate(sides):
+            self.ids[side] = np.concatenate([self.ids[side], ids])
+            self.ends[side] = np.concatenate([self.ends[side], ends])
             self.at[side] = np.concatenate([self.at[side], self.at[side][-1] + np.cumsum(count)])
+        return entry
 
     def of(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The entry of every segment of ``data``."""
-        if len(self.number) > KEPT_SEGMENTS:
+        if len(self.marks) > KEPT_SEGMENTS:
             self._empty()
         marks = Rolling(byte_values(data)).of(begin, end)
         kinds, first, which = np.unique(marks, return_index=True, return_inverse=True)
-        entry = np.array([self.number.get(m, -1) for m in kinds.tolist()], np.int64)
-        new = np.flatnonzero(entry < 0)
+        place = np.searchsorted(self.marks, kinds)
+        known = np.zeros(len(kinds), bool)
+        if len(self.marks):
+            known = self.marks[np.minimum(place, len(self.marks) - 1)] == kinds
+        entry = np.zeros(len(kinds), np.int64)
+        entry[known] = self.entries[place[known]]
         raw = data.tobytes()
-        if len(new):
-            entry[new] = len(self.good) + np.arange(len(new))
-            self._add([raw[begin[k] : end[k]] for k in first[new].tolist()])
-            self.number.update(zip(kinds[new].tolist(), entry[new].tolist(), strict=True))
+        if not known.all():
+            spots = first[~known]
+            entry[~known] = self._add([raw[a:z] for a, z in zip(begin[spots].tolist(), end[spots].tolist(), strict=True)])
+            marks = np.concatenate([self.marks, kinds[~known]])
+            order = np.argsort(marks, kind="stable")
+            self.marks, self.entries = marks[order], np.concatenate([self.entries, entry[~known]])[order]
         entry = entry[which]
         # Equal hashes are not yet equal bytes.
         size = self.text_at[entry + 1] - self.text_at[entry]
@@ -200,8 +233,7 @@ class Segments:
                 return entry
             same[np.searchsorted(end, np.flatnonzero(differs), "right")] = False
         odd = np.flatnonzero(~same)
-        entry[odd] = len(self.good) + np.arange(len(odd))
-        self._add([raw[begin[k] : end[k]] for k in odd.tolist()])
+        entry[odd] = self._add([raw[begin[k] : end[k]] for k in odd.tolist()])
         return entry
 
 
@@ -295,7 +327,7 @@ def aligned(texts: pa.Array, segments: Segments, writer: Writer, width: int = PI
     return {
         "n_a": n_a, "n_b": n_b, "n_groups": np.bincount(group_text, minlength=n), "n_links": np.bincount(link_text, minlength=n),
         "groups": [letters[cut[k] : cut[k + 1]].tobytes() for k in range(n)],
-        "pair": a_id[link_a] * segments.encoders.b_ids + b_id[link_b], "text": link_text,
+        "pair": a_id[link_a].astype(np.int64) * segments.encoders.b_ids + b_id[link_b], "text": link_text,
     }
 
 
