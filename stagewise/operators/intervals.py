@@ -1,14 +1,14 @@
 """Point-in-interval joins and dimension versions.
 
 Nothing bounds how many periods or points one key has, and comparing each of a hot key's points with
-each of its periods would be quadratic. So time is cut into cells: of ``CELL_SECONDS``, of 16 times
+each of its periods would be quadratic. So time is cut into cells: of ``CELL_SECONDS``, of 4 times
 that, and so on. A period is written as the few largest cells that tile what it covers whole, and
-as the two small cells at its ends; a point looks up the cells it lies in, one per size. Equality of
-cells replaces the comparison except in the end cells, where a point meets only periods that
-begin or end in the same minute. Of the periods that cover a cell whole only the latest is kept.
+as the two small cells at its ends. Of the periods that cover a cell whole only the latest is kept.
 
-Points are looked up as distinct (key, instant), so equal points cost nothing and all keep
-their rows. The sizes follow from the range of time alone: building the plan reads no data.
+What holds in a small cell (the latest period that covers it whole, and those that begin or end in it) is looked up once
+per populated cell of a key, one row per size, and not once per point. Points are then joined to
+their cell as they are, one row each, and choose among the few periods that the cell has left.
+The sizes follow from the range of time alone: building the plan reads no data.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from stagewise.functions.columns import col, names, overlaps
 from stagewise.operators.rank import latest_by
 
-CELL_SECONDS = 60
-_BITS = 4
+CELL_SECONDS = 900
+_BITS = 2
 _ALWAYS = ("0001-01-01 00:00:00", "9999-12-31 23:59:59")
 _ENDS = -1  # level of the cells at the ends of a period
 
@@ -63,34 +63,34 @@ def latest_covering(
         F.greatest(micros(start), F.lit(0)).alias("_lo"),
         F.least(micros(end), micros(F.lit(within[1])) + 999_999).alias("_hi"),
     )
-    whole = (
-        _tiled(cut, sizes).groupBy(*keys, "_level", "_cell").agg(F.max("_best").alias("_best"))
-        .withColumns({"_lo": F.lit(None).cast("long"), "_hi": F.lit(None).cast("long")})
+    edge = F.when(F.col("_level") == _ENDS, F.struct("_best", "_lo", "_hi"))
+    covers = (
+        _cells_of(cut, sizes)
+        .groupBy(*keys, "_level", "_cell")
+        .agg(F.max(F.when(F.col("_level") >= 0, F.col("_best"))).alias("_whole"), F.collect_set(edge).alias("_edges"))
     )
-    unit = F.lit(CELL_SECONDS * 1_000_000)
-    ends = F.array_distinct(F.array(F.floor(F.col("_lo") / unit), F.floor(F.col("_hi") / unit)))
-    edges = cut.select(*keys, F.lit(_ENDS).alias("_level"), F.explode(ends).alias("_cell"), "_best", "_lo", "_hi")
-    covers = whole.unionByName(edges)
 
-    known = F.col(at).isNotNull()
+    unit = F.lit(CELL_SECONDS * 1_000_000)
+    known = F.col(at).isNotNull() & micros(at).between(F.lit(0), micros(F.lit(within[1])) + 999_999)
     for key in keys:
         known = known & F.col(key).isNotNull()
-    asked = points.where(known).select(*keys, at).distinct().withColumn("_at", micros(at))
-    own = F.floor(F.col("_at") / unit)
+    own = F.floor(micros(at) / unit)
     levels = F.concat(
-        F.array(F.struct(F.lit(_ENDS).alias("_level"), own.alias("_cell"))),
-        F.array(*[F.struct(F.lit(n).alias("_level"), F.shiftright(own, _BITS * n).alias("_cell")) for n in range(sizes)]),
+        F.array(F.struct(F.lit(_ENDS).alias("_level"), F.col("_own").alias("_cell"))),
+        F.array(*[F.struct(F.lit(n).alias("_level"), F.shiftright("_own", _BITS * n).alias("_cell")) for n in range(sizes)]),
     )
-    located = asked.withColumn("_in", F.explode(levels)).select(*keys, at, "_at", "_in._level", "_in._cell")
-    inside = F.col("_lo").isNull() | F.col("_at").between(F.col("_lo"), F.col("_hi"))
-    found = (
+    populated = points.where(known).select(*keys, own.alias("_own")).distinct()
+    located = populated.withColumn("_in", F.explode(levels)).select(*keys, "_own", "_in._level", "_in._cell")
+    held = (
         located.join(covers, [*keys, "_level", "_cell"])
-        .where(inside)
-        .groupBy(*keys, at)
-        .agg(F.max("_best").alias("_best"))
+        .groupBy(*keys, "_own")
+        .agg(F.max("_whole").alias("_whole"), F.flatten(F.collect_list("_edges")).alias("_edges"))
     )
-    joined = points.join(found, [*keys, at], "left")
-    return joined.select(*points.columns, *[F.col("_best")[c].alias(c) for c in [start, *take]])
+    joined = points.withColumns({"_own": F.when(known, own), "_at": micros(at)}).join(held, [*keys, "_own"], "left")
+    inside = F.filter("_edges", lambda e: F.col("_at").between(e["_lo"], e["_hi"]))
+    found = F.greatest("_whole", F.array_max(F.transform(inside, lambda e: e["_best"])))
+    joined = joined.withColumn("_found", found)
+    return joined.select(*points.columns, *[F.col("_found")[c].alias(c) for c in [start, *take]])
 
 
 def latest_valid(
@@ -113,28 +113,26 @@ def _usable(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFr
     return periods.where(keep)
 
 
-def _tiled(cut: DataFrame, sizes: int) -> DataFrame:
-    """One row per cell that tiles what a period covers whole: at every size, the cells left over
-    at both ends once the next larger size has taken what it can."""
+def _cells_of(cut: DataFrame, sizes: int) -> DataFrame:
+    """One row per cell that tiles what a period covers whole (at every size, the cells left over
+    at both ends once the next larger size has taken what it can), and one per cell that it begins or ends in."""
+    unit = CELL_SECONDS * 1_000_000
 
     def numbers(lo: str, hi: str) -> str:
         return f"if({lo} < {hi}, sequence({lo}, {hi} - 1), CAST(array() AS array<bigint>))"
 
-    # The cells of size n inside the period are lo..hi-1; those from up to down-1 fill
-    # larger cells, if there are any.
-    inside = f"""
-      transform(sequence(0, {sizes - 1}), n -> struct(n,
-        shiftright(_from + shiftleft(1L, {_BITS} * n) - 1, {_BITS} * n) AS lo, shiftright(_to, {_BITS} * n) AS hi))"""
-    split = f"""
-      transform({inside}, s -> struct(s.n, s.lo, s.hi,
-        if(s.n < {sizes - 1}, shiftleft(shiftright(s.lo + {(1 << _BITS) - 1}, {_BITS}), {_BITS}), s.hi) AS up,
-        if(s.n < {sizes - 1}, shiftleft(shiftright(s.hi, {_BITS}), {_BITS}), s.hi) AS down))"""
-    left_over = f"""
-      transform({split}, s -> struct(s.n, s.lo, s.hi,
-        if(s.up < s.down, s.up, s.hi) AS up, if(s.up < s.down, s.down, s.hi) AS down))"""
-    tiles = f"""
-      flatten(transform({left_over}, s -> transform(
-        concat({numbers('s.lo', 's.up')}, {numbers('s.down', 's.hi')}), c -> struct(s.n AS _level, c AS _cell))))"""
-    bounded = cut.withColumns({"_from": F.expr(f"(_lo + {CELL_SECONDS * 1_000_000} - 1) div {CELL_SECONDS * 1_000_000}"), "_to": F.expr(f"(_hi + 1) div {CELL_SECONDS * 1_000_000}")})
-    tiled = bounded.where("_from < _to").withColumn("_tile", F.explode(F.expr(tiles)))
-    return tiled.select(*[c for c in cut.columns if c not in ("_lo", "_hi")], "_tile._level", "_tile._cell")
+    tiles = []
+    for n in range(sizes):
+        # The cells of size n inside the period are lo..hi-1; those from up to down-1 fill larger cells, if there are any.
+        lo, hi = f"shiftright(_from + {(1 << _BITS * n) - 1}L, {_BITS * n})", f"shiftright(_to, {_BITS * n})"
+        if n == sizes - 1:
+            tiles.append(f"transform({numbers(lo, hi)}, c -> struct({n} AS _level, c AS _cell))")
+            continue
+        up = f"shiftleft(shiftright({lo} + {(1 << _BITS) - 1}, {_BITS}), {_BITS})"
+        down = f"shiftleft(shiftright({hi}, {_BITS}), {_BITS})"
+        some = f"concat({numbers(lo, up)}, {numbers(down, hi)})"
+        tiles.append(f"transform(if({up} < {down}, {some}, {numbers(lo, hi)}), c -> struct({n} AS _level, c AS _cell))")
+    ends = f"transform(array_distinct(array(_lo div {unit}, _hi div {unit})), c -> struct({_ENDS} AS _level, c AS _cell))"
+    bounded = cut.withColumns({"_from": F.expr(f"(_lo + {unit - 1}) div {unit}"), "_to": F.expr(f"(_hi + 1) div {unit}")})
+    cells = F.expr(f"concat({ends}, if(_from < _to, concat({', '.join(tiles)}), array()))")
+    return bounded.withColumn("_in", F.explode(cells)).select(*cut.columns, "_in._level", "_in._cell")

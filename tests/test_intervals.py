@@ -77,3 +77,28 @@ def test_latest_version_valid_in_period(spark):
     df = spark.createDataFrame(rows, "k string, s int, e int, v string")
     got = latest_valid(df, "k", "s", "e", F.lit(4), F.lit(10), ["v"])
     assert sorted((r.k, r.v) for r in got.collect()) == [("a", "new"), ("c", "edge")]
+
+
+def test_one_key_with_a_million_periods(spark, plan_of):
+    """A key with a million periods (each 100 s, begun every 30 s) over a year, and points a second after every 50th begins."""
+    n = 1_000_000
+    begin = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 30)
+    periods = spark.range(n).select(
+        F.lit("hot").alias("u"), begin.alias("s"), (begin + F.expr("INTERVAL 100 SECONDS")).alias("e"), F.col("id").alias("team")
+    )
+    points = spark.range(0, n, 50).select("id", F.lit("hot").alias("u"), (begin + F.expr("INTERVAL 1 SECOND")).alias("at"))
+    found = latest_covering(points, periods, "u", "at", "s", "e", ["team"])
+    row = found.agg(F.count(F.lit(1)), F.count(F.when(F.col("team") == F.col("id"), 1))).first()
+    assert tuple(row) == (n // 50, n // 50)
+
+
+def test_a_point_is_one_row_in_the_exchange(spark, drawn, plan_of):
+    """Only cells are looked up row by row; the points themselves meet their cell once, with all their columns."""
+    points, periods = drawn
+    p = spark.createDataFrame(points, "id int, u string, at timestamp")
+    v = spark.createDataFrame(periods, "u string, s timestamp, e timestamp, team string")
+    found = latest_covering(p, v, "u", "at", "s", "e", ["team"])
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") == 3, "points twice (cells, rows), periods once"
+    for line in text.splitlines():
+        assert "Generate" not in line or "id#" not in line
