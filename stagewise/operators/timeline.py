@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from stagewise.functions.columns import names
 
 
-#: Minutes in a day, days in a key's history, instants in a minute: what one task orders.
+#: Minutes in a day, days in a key's history, instants in a minute: what one task orders. Where a key can hold very many
+#: instants in a minute, a third size (``"millisecond"``) splits it.
 PIECES = ("day", "minute")
 
 
-def per_instant(df: DataFrame, keys, ts: str, amount: str, pieces: tuple[str, str] = PIECES) -> DataFrame:
+def per_instant(df: DataFrame, keys, ts: str, amount: str, pieces: tuple[str, ...] = PIECES) -> DataFrame:
     """Amount (``_total``) and number of rows (``_ties``) per key and instant, and the fine piece
     of the time axis that it lies in (``_fine``). The piece is an aggregate so that what joins demand of
     it is not pushed below: all readers of one key's instants then share one exchange."""
@@ -28,37 +29,62 @@ def per_instant(df: DataFrame, keys, ts: str, amount: str, pieces: tuple[str, st
         .agg(
             F.sum(amount).alias("_total"),
             F.count(F.lit(1)).alias("_ties"),
-            F.min(F.date_trunc(pieces[1], ts)).alias("_fine"),
+            F.min(F.date_trunc(pieces[-1], ts)).alias("_fine"),
         )
     )
 
 
 def _sums_before(
-    rows: DataFrame, keys: list[str], measures: list[str], coarse: str, later_first: bool
+    rows: DataFrame, keys: list[str], measures: list[str], pieces: tuple[str, ...], later_first: bool
 ) -> DataFrame:
-    """Per key and fine piece of the time axis, the sums over all pieces in front of it
-    (behind it, with ``later_first``), as ``_before_<measure>``.
+    """Per key and fine piece of the time axis (the last of ``pieces``), the sums over all pieces in front of it
+    (behind it, with ``later_first``), as ``_before_<measure>``, and the sums of the whole key, as ``_all_<measure>``.
 
-    Fine pieces are ordered inside one coarse piece only and coarse pieces inside a key, so
+    Pieces of one size are ordered inside one piece of the next larger size only and the largest inside a key, so
     what one task orders is bounded by the calendar and not by the rows of a key.
     """
-    own = rows.withColumn("_coarse", F.date_trunc(coarse, "_fine"))
-    fine_sums = own.groupBy(*keys, "_coarse", "_fine").agg(*[F.sum(m).alias(m) for m in measures])
-    coarse_sums = fine_sums.groupBy(*keys, "_coarse").agg(*[F.sum(m).alias(m) for m in measures])
-
-    def ordered(by: list[str], at: str):
-        order = F.col(at).desc() if later_first else F.col(at).asc()
-        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    inside, across = ordered([*keys, "_coarse"], "_fine"), ordered(keys, "_coarse")
-    fine_sums = fine_sums.select(*keys, "_coarse", "_fine", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
-    coarse_sums = coarse_sums.select(*keys, "_coarse", *[F.sum(m).over(across).alias(f"_out_{m}") for m in measures])
-    joined = fine_sums.join(coarse_sums, [*keys, "_coarse"])
+    cells = rows.groupBy(*keys, "_fine").agg(*[F.sum(m).alias(m) for m in measures])
+    order = F.col("_fine").desc() if later_first else F.col("_fine").asc()
+
+    def before(window):
+        ahead = window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"_before_{m}") for m in measures]
+
+    if len(pieces) == 1:
+        whole = Window.partitionBy(*keys)
+        return cells.select(*keys, "_fine", *before(whole), *[F.sum(m).over(whole).alias(f"_all_{m}") for m in measures])
+    cells = cells.withColumn("_coarse", F.date_trunc(pieces[-2], "_fine"))
+    inside = cells.select(*keys, "_coarse", "_fine", *before(Window.partitionBy(*keys, "_coarse")))
+    larger = cells.select(*keys, F.col("_coarse").alias("_fine"), *measures)
+    outside = _sums_before(larger, keys, measures, pieces[:-1], later_first).withColumnRenamed("_fine", "_coarse")
+    outside = outside.withColumnsRenamed({f"_before_{m}": f"_out_{m}" for m in measures})
+    total = [(F.col(f"_before_{m}") + F.col(f"_out_{m}")).alias(f"_before_{m}") for m in measures]
+    return inside.join(outside, [*keys, "_coarse"]).select(*keys, "_fine", *total, *[f"_all_{m}" for m in measures])
+
+
+def _with_later(instants: DataFrame, keys: list[str], ts: str, pieces: tuple[str, ...], more: list[str]) -> DataFrame:
+    """Rows per instant with the amount of it and all later ones (``_after``), and the sums of ``more`` over later pieces."""
+    measures = ["_total", "_ties", *more]
+    later = _sums_before(instants, keys, measures, pieces, later_first=True)
+    inside = Window.partitionBy(*keys, "_fine").orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    running = instants.withColumns({f"_running_{m}": F.sum(m).over(inside) for m in ["_total", *more]})
+    # The number of later rows is never negative; asking for it keeps both sides on one exchange.
+    joined = running.join(later.where("_before__ties >= 0"), [*keys, "_fine"])
+    return joined.withColumn("_after", F.coalesce(F.col("_running__total") + F.col("_before__total"), F.col("_before__total")))
 
-    def total(m: str):
-        return F.coalesce(f"_in_{m}", F.lit(0)) + F.coalesce(f"_out_{m}", F.lit(0))
 
-    return joined.select(*keys, "_fine", *[total(m).alias(f"_before_{m}") for m in measures])
+def paid_timeline(
+    df: DataFrame, keys, ts: str, amount: str, out: str = "amount_after", position: str = "position", *,
+    dedupe_ties: bool = False, pieces: tuple[str, ...] = PIECES,
+) -> DataFrame:
+    """A key's timeline as rows: keys, ``ts``, :func:`suffix_sum` and the entry's place in time, from 1. Amount and place come from
+    the same rows per instant: ``df`` is read once and one pass over the pieces gives both."""
+    keys = names(keys)
+    instants = per_instant(df, keys, ts, amount, pieces).withColumn("_one", F.lit(1).cast("long"))
+    found = _with_later(instants, keys, ts, pieces, ["_one"])
+    value = F.col("_after") if dedupe_ties else F.col("_after") * F.col("_ties")
+    place = F.col("_all__one") - F.col("_before__one") - F.col("_running__one") + 1
+    return found.select(*keys, ts, F.round(value, 2).alias(out), place.alias(position))
 
 
 def suffix_sum(
@@ -69,7 +95,7 @@ def suffix_sum(
     out: str = "amount_after",
     *,
     dedupe_ties: bool = False,
-    pieces: tuple[str, str] = PIECES,
+    pieces: tuple[str, ...] = PIECES,
 ) -> DataFrame:
     """Per key and instant, the amount of that and all later rows, to 2 decimals.
 
@@ -89,29 +115,22 @@ def suffix_sum_of(
 ) -> DataFrame:
     """:func:`suffix_sum` from the rows of :func:`per_instant`."""
     keys = names(keys)
-    later = _sums_before(instants, keys, ["_total", "_ties"], pieces[0], later_first=True)
-    inside = Window.partitionBy(*keys, "_fine").orderBy(F.col(ts).desc())
-    running = instants.withColumn(
-        "_running", F.sum("_total").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    # The number of later rows is never negative; asking for it keeps both sides on one exchange.
-    joined = running.join(later.where("_before__ties >= 0"), [*keys, "_fine"])
-    both = F.coalesce(F.col("_running") + F.col("_before__total"), F.col("_before__total"))
-    value = both if dedupe_ties else both * F.col("_ties")
-    return joined.select(*keys, ts, F.round(value, 2).alias(out))
+    found = _with_later(instants, keys, ts, pieces, [])
+    value = F.col("_after") if dedupe_ties else F.col("_after") * F.col("_ties")
+    return found.select(*keys, ts, F.round(value, 2).alias(out))
 
 
 def timeline(
-    df: DataFrame, keys, ts: str, fields: Iterable[str], *, pieces: tuple[str, str] = PIECES, out: str = "position"
+    df: DataFrame, keys, ts: str, fields: Iterable[str], *, pieces: tuple[str, ...] = PIECES, out: str = "position"
 ) -> DataFrame:
     """A key's timeline as rows: keys, ``ts``, fields, and the entry's place in the key's order
     of ``(ts, *fields)``, from 1. The form is the same whatever the length of a history; an array
     of all entries is ``collect_list`` over it where histories are known to be short."""
     keys, fields = names(keys), list(fields)
     entries = df.select(*keys, ts, *fields).withColumns(
-        {"_one": F.lit(1).cast("long"), "_fine": F.date_trunc(pieces[1], ts)}
+        {"_one": F.lit(1).cast("long"), "_fine": F.date_trunc(pieces[-1], ts)}
     )
-    before = _sums_before(entries, keys, ["_one"], pieces[0], later_first=False)
+    before = _sums_before(entries, keys, ["_one"], pieces, later_first=False)
     inside = Window.partitionBy(*keys, "_fine").orderBy(ts, *fields)
     numbered = entries.withColumn("_row", F.row_number().over(inside))
     place = (F.col("_row") + F.col("_before__one")).alias(out)

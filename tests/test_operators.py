@@ -191,3 +191,28 @@ def test_first_after_equals_looking_up_the_timeline(spark):
 def test_date_type_survives(spark):
     df = spark.createDataFrame([(date(2024, 1, 1),)], "d date")
     assert rank.first_by(df, "d", "d").first().d == date(2024, 1, 1)
+
+
+def test_paid_timeline_is_amount_and_place_in_one_pass(spark, tmp_path, plan_of):
+    df = _payments(spark)
+    line = timeline.timeline(timeline.suffix_sum(df, "u", "t", "m"), "u", "t", ["amount_after"])
+    for pieces in (timeline.PIECES, ("day",), ("year", "day", "millisecond")):
+        got = timeline.paid_timeline(df, "u", "t", "m", pieces=pieces)
+        assert rows(got.select(*line.columns)) == rows(line)
+    df.write.parquet(f"{tmp_path}/paid")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(timeline.paid_timeline(spark.read.parquet(f"{tmp_path}/paid"), "u", "t", "m"), final=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "83886080")
+    assert plan.count("FileScan") == 1, "all readers share the exchange of the rows per instant"
+
+
+def test_a_user_with_all_rows_in_one_minute_is_split(spark):
+    """200,000 payments of one user within a minute, 300 microseconds apart: no task orders more than a millisecond's or a minute's pieces."""
+    n = 200_000
+    at = F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 300)
+    df = spark.range(n).select(F.lit("u").alias("u"), at.alias("t"), F.lit(1.0).alias("m"), "id")
+    found = timeline.paid_timeline(df, "u", "t", "m", pieces=("day", "minute", "millisecond"))
+    off = found.join(df, ["u", "t"]).where((F.col("amount_after") != n - F.col("id")) | (F.col("position") != F.col("id") + 1))
+    assert found.count() == n and off.isEmpty()

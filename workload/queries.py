@@ -272,8 +272,7 @@ def suffix_sum_without_ties(spark, sf_dir):
 @query
 def pay_timeline(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    after = timeline.suffix_sum(orders, "o_custkey", "o_orderdate", "o_totalprice")
-    return _dated(timeline.timeline(after, "o_custkey", "o_orderdate", ["amount_after"]))
+    return _dated(timeline.paid_timeline(orders, "o_custkey", "o_orderdate", "o_totalprice"))
 
 
 @query
