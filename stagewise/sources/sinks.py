@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stagewise.sources.publish import Published
+
 INLINE_ROWS = 20
 
 
@@ -33,15 +35,18 @@ def is_table(target: str) -> bool:
     return "/" not in target
 
 
-def overwrite_partition(df: DataFrame, target: str, partition: dict[str, int]) -> None:
-    """:func:`write_partition` or :func:`write_table_partition`, by what the target is."""
-    if is_table(target):
+def overwrite_partition(df: DataFrame, target: str | Published, partition: dict[str, int]) -> None:
+    """:func:`write_partition`, :func:`write_table_partition` or a publish, by what the target is."""
+    if isinstance(target, Published):
+        ((name, value),) = partition.items()
+        target.publish(df.withColumn(name, F.lit(value)), [value])
+    elif is_table(target):
         write_table_partition(df, target, partition)
     else:
         write_partition(df, target, partition)
 
 
-def write_days(df: DataFrame, target: str, days: list[int], day: str = "day") -> None:
+def write_days(df: DataFrame, target: str | Published, days: list[int], day: str = "day") -> None:
     """Overwrites the partitions of ``days`` in a path or a catalog table. A day without rows ends up
     empty, as if it had been written on its own; other days are left alone.
 
@@ -49,8 +54,11 @@ def write_days(df: DataFrame, target: str, days: list[int], day: str = "day") ->
     day that was not asked for (``ValueError``), is the target touched: days without rows are
     emptied first, then the others are replaced. A failing plan or a stray day leaves the target as it
     was. Rows are rebalanced per day: adaptive execution splits a large day over many tasks and
-    files and packs small ones.
+    files and packs small ones. To a :class:`Published` target all days change in one step.
     """
+    if isinstance(target, Published):
+        target.publish(df, days)
+        return
     spark = df.sparkSession
     root = spark.conf.get("spark.sql.warehouse.dir") if is_table(target) else target
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
