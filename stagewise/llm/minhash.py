@@ -8,9 +8,9 @@ them once in 20 million.
 
 Buckets make stars, not pairs: every member is a candidate of the bucket's least node. Candidates whose sketches agree in too few bins for the
 threshold are dropped (5 standard deviations), the others are confirmed on their full sets, read from the texts, and confirmed links become components.
-What a star can miss is two members that are alike while the centre is like only one of them. So as long as a
-bucket holds members of different components, its least 16, 256, ... remaining nodes become centres in further rounds, for members of other
-components only: no pair of a bucket is left out, and copies cost one comparison each.
+What a star can miss is two members that are alike while the centre is like only one of them. So buckets that hold members of different
+components after that are opened: their sketches meet block by block inside tasks, members of different components are compared, and only pairs
+whose sketches agree come out, to be confirmed. No pair of a bucket is left out, and copies cost one comparison each.
 
 Defined cases: null, empty and blank texts have an empty set and are their own component; fewer words than a shingle has are
 one shingle; a null id never names a component unless all ids in it are null; rows equal in id and text are one node; ties do not
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.llm.components import components
@@ -33,8 +33,8 @@ BINS = 1 << BIN_BITS
 BANDS, ROWS = 32, 4
 #: Agreeing bins below which a pair is not compared: so many standard deviations under the threshold.
 DEVIATIONS = 5.5
-#: Centres of a bucket in each further round, over the round before.
-GROWTH = 16
+#: Members of a bucket that are compared at once where stars do not settle it.
+BLOCK = 1024
 _SALT = np.uint64(0x5DEECE66D1CE4E5B)
 
 
@@ -124,23 +124,7 @@ def similar_components(
     stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     confirmed = _confirmed(rows, nodes, stars, words, percent)
     rooted = components(confirmed)
-    left, done = shared.where("node <> centre").select("bucket", "node"), 0
-    while True:
-        # Members that were not a centre yet, of buckets that hold members of different components.
-        left = left.select("bucket", "node").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        left = left.join(mixed.select("bucket"), "bucket")
-        done = done * GROWTH or GROWTH
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        centres = left.withColumn("place", place).where(F.col("place") <= done).select("bucket", "node", F.lit(True).alias("centre"))
-        left = written(left.join(centres, ["bucket", "node"], "left"))
-        if left.isEmpty():
-            break
-        centres = left.where("centre").select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"))
-        pairs = left.join(centres, "bucket").where("a < node AND a_root <> root").select("a", F.col("node").alias("b")).distinct()
-        confirmed = _confirmed(rows, nodes, pairs, words, percent)
-        rooted = _merged(rooted, confirmed)
-        left = left.where("centre IS NULL")
+    rooted = _merged(rooted, _confirmed(rows, nodes, _missed(shared, nodes, rooted, percent), words, percent))
     named = nodes.select("node", "least_id").join(rooted, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
@@ -151,6 +135,44 @@ def similar_components(
     )
 
 
+def _missed(shared: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of members of one bucket that are in different components and whose sketches agree: what the stars could not
+    see. Members of such buckets are dealt to blocks; every two blocks of a bucket meet once, as sketches."""
+    left = shared.where("node <> centre").select("bucket", "node").join(rooted, "node", "left")
+    left = left.withColumn("root", F.coalesce("root", "node"))
+    mixed = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+    mixed = mixed.where("low <> high").select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+    dealt = left.join(mixed, "bucket").join(nodes.select("node", "n", "sketch"), "node")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts").cast("long")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    dealt = dealt.select("bucket", "node", "root", "n", "sketch", "part", other).withColumns(
+        {"i": F.least("part", "other"), "j": F.greatest("part", "other")}
+    )
+    least = _least_agreeing(percent)
+
+    def meet(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
+        node, root, n, part = (block[c].to_numpy() for c in ("node", "root", "n", "part"))
+        sketch = _fixed(block["sketch"].combine_chunks())
+        # The members of the largest component need no comparison with each other.
+        kinds, which, times = np.unique(root, return_inverse=True, return_counts=True)
+        largest = which == np.argmax(times)
+        pairs = []
+        for x in np.flatnonzero(~largest):
+            to = (root != root[x]) & (n * 100 >= n[x] * percent) & (n[x] * 100 >= n * percent)
+            # Two that are both outside of it meet at the smaller of them only.
+            to &= largest | (node > node[x])
+            if key[1].as_py() != key[2].as_py():
+                to &= part != part[x]
+            to = np.flatnonzero(to)
+            to = to[(sketch[to] == sketch[x]).sum(axis=1) >= least]
+            pairs.append(np.stack([np.minimum(node[to], node[x]), np.maximum(node[to], node[x])]))
+        a, b = np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    columns = dealt.select("bucket", "i", "j", "node", "root", "n", "part", "sketch")
+    return columns.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+
+
 def _merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
     """Components after further links, from those between components alone."""
     if links.isEmpty():

@@ -68,8 +68,9 @@ def families():
     return rows
 
 
-def test_minhash_groups_equal_brute_force(spark, families, monkeypatch):
-    monkeypatch.setattr(minhash, "GROWTH", 4)
+@pytest.mark.parametrize("block", [1024, 5])
+def test_minhash_groups_equal_brute_force(spark, families, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
     docs = spark.createDataFrame(families, DOCS).repartition(3)
     found = minhash.similar_components(docs, words=4, percent=80)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
