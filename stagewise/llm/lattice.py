@@ -254,15 +254,18 @@ def score_documents(
 
     scored = written(counts.mapInArrow(lattice_scores, "word string, c long, n long, lattice double"))
 
-    # The most frequent words, at most head_words: the least count that so many words reach.
-    sizes = scored.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n")).collect()
-    least, held = 1 << 62, 0
-    for n, words in sizes:
-        held += words
-        if held > head_words:
+    # The most frequent words, about head_words: counts in cells of 4 %, the highest first; of the cell that does not fit
+    # whole the share that does, by a hash of the word, so that there is a head whatever the counts are.
+    cell = F.floor(F.log2(F.greatest("n", F.lit(1))) * 16)
+    sizes = scored.groupBy(cell.alias("cell")).count().orderBy(F.desc("cell")).collect()  # 1,024 rows at most
+    chosen, room = F.lit(False), head_words
+    for at, words in sizes:
+        if words > room:
+            drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < F.lit(room * (1 << 20) // words)
+            chosen = chosen | ((cell == at) & drawn)
             break
-        least = n
-    head = scored.where(F.col("n") >= least).select("word", "c", "lattice").toArrow()
+        chosen, room = cell >= at, room - words
+    head = scored.where(chosen).select("word", "c", "lattice").toArrow()
     names = head["word"].combine_chunks()
     hashed = Words(*flat_text(names), np.zeros(256, bool)).hash
     order = np.argsort(hashed)

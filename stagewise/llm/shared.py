@@ -41,6 +41,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; one of this machine only where none is set, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="stagewise-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from stagewise.llm import align, minhash, repair
+from stagewise.llm import align, lattice, minhash, repair
 from stagewise.llm.registry import QUERIES
 from tests.llm.brute_align import align as align_brute
 from tests.llm.brute_repair import damage_and_repair
@@ -212,3 +212,15 @@ def test_repair_of_one_long_conversation_and_of_nothing(spark):
     got = repair.digests(repair.repair_conversations(repair.damaged(turns), gone="gone", piece_rows=500)).select(*REPAIRED).collect()
     assert {r[0]: tuple(r[1:]) for r in got} == damage_and_repair(rows)
     assert repair.repair_conversations(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_a_head_that_does_not_fit_is_still_a_head(spark):
+    """More words of one count than the head holds: scores stay right, and part of them need no join."""
+    rows = [(k, " ".join(f"w{j}" for j in range(40))) for k in range(30)] + [(99, "rare words here")]
+    docs = spark.createDataFrame(rows, DOCS)
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens"]
+    whole = lattice.score_documents(docs, F.lit(True))
+    small = lattice.score_documents(docs, F.lit(True), head_words=20)
+    assert rows_of(whole, columns) == rows_of(small, columns)
+    scores = [sorted((r.doc_id, round(r.score, 9), round(r.base_score, 9)) for r in df.collect()) for df in (whole, small)]
+    assert scores[0] == scores[1]
