@@ -10,7 +10,7 @@ Buckets make stars, not pairs: every member is a candidate of the bucket's least
 threshold are dropped (5 standard deviations), the others are confirmed on their full sets, read from the texts, and confirmed links become components.
 What a star can miss is two members that are alike while the centre is like only one of them. So buckets that hold members of different
 components after that are opened: their sketches meet block by block inside tasks, members of different components are compared, and only pairs
-whose sketches agree come out, to be confirmed. No pair of a bucket is left out, and copies cost one comparison each.
+whose sketches agree come out, to be confirmed: first the likeliest one of each member, then all that are still apart. No pair of a bucket is left out, and copies cost one comparison each.
 
 Defined cases: null, empty and blank texts have an empty set and are their own component; fewer words than a shingle has are
 one shingle; a null id never names a component unless all ids in it are null; rows equal in id and text are one node; ties do not
@@ -124,7 +124,10 @@ def similar_components(
     stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     confirmed = _confirmed(rows, nodes, stars, words, percent)
     rooted = components(confirmed)
-    rooted = _merged(rooted, _confirmed(rows, nodes, _missed(shared, nodes, rooted, percent), words, percent))
+    # First each member's likeliest partner, which joins most of them; then every pair that is still apart.
+    for best in (True, False):
+        missed = _missed(shared, nodes, rooted, percent, best)
+        rooted = _merged(rooted, _confirmed(rows, nodes, missed, words, percent))
     named = nodes.select("node", "least_id").join(rooted, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
@@ -135,9 +138,9 @@ def similar_components(
     )
 
 
-def _missed(shared: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+def _missed(shared: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs ``a, b`` of members of one bucket that are in different components and whose sketches agree: what the stars could not
-    see. Members of such buckets are dealt to blocks; every two blocks of a bucket meet once, as sketches."""
+    see. With ``best`` only the one that agrees most for each member outside of the largest component. Members of such buckets are dealt to blocks; every two blocks of a bucket meet once, as sketches."""
     left = shared.where("node <> centre").select("bucket", "node").join(rooted, "node", "left")
     left = left.withColumn("root", F.coalesce("root", "node"))
     mixed = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
@@ -164,7 +167,8 @@ def _missed(shared: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int
             if key[1].as_py() != key[2].as_py():
                 to &= part != part[x]
             to = np.flatnonzero(to)
-            to = to[(sketch[to] == sketch[x]).sum(axis=1) >= least]
+            agree = (sketch[to] == sketch[x]).sum(axis=1)
+            to = to[agree >= least] if not best else to[_most(agree, least)]
             pairs.append(np.stack([np.minimum(node[to], node[x]), np.maximum(node[to], node[x])]))
         a, b = np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -173,6 +177,12 @@ def _missed(shared: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int
     return columns.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
 
 
+def _most(agree: np.ndarray, least: int) -> np.ndarray:
+    """The place of the greatest number, if it reaches ``least``."""
+    at = np.argmax(agree) if len(agree) else 0
+    return np.array([at] if len(agree) and agree[at] >= least else [], np.int64)
+
+
 def _merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
     """Components after further links, from those between components alone."""
     if links.isEmpty():
