@@ -27,10 +27,10 @@ PREFIX_INTENTS = {
 }
 PREFIX_SEPARATORS = "：: "
 UNREADABLE = {"understanding": "AI 返回格式异常，请重试", "sql": ""}
-
 # Where an answer may stand in a text: in the first fenced block, between the outermost braces.
 FENCED = r"(?s)```(?:json)?\s*\n?(.*?)\n?```"
 BRACED = r"(?s)\{.*\}"
+
 NO_NUMBER = '^"(NaN|-?Infinity)"$'
 
 # What valid JSON can look like from outside; parsing anything else only raises errors.
@@ -87,31 +87,44 @@ def tag_intent(df: DataFrame, text: str) -> DataFrame:
     return df.withColumns({"intent": intent_of(text), "requirement": fast_requirement(text)})
 
 
+_STRICT = {"allowSingleQuotes": "false"}
+
+
 def _is_json(text: Column) -> Column:
-    """One whole JSON value, nothing before or after it. Readers stop after the first value, so it
-    is read inside brackets and inside braces: text that goes on breaks one of the two. NaN and infinities
-    count as values, and a key may come twice."""
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
-    named = F.from_json(
-        F.concat(F.lit('{"v":'), text, F.lit("}")), "v string, _broken string", {"columnNameOfCorruptRecord": "_broken"}
-    )
-    return text.rlike(_JSON_SHAPE) & (F.size(listed) == 1) & named["_broken"].isNull()
+    """One whole JSON value, nothing before or after it. Readers stop after the first value, so it is read once, as the
+    only item of a list under one name, with a second name behind it that no text can hold: text that goes on shows as a
+    further item or name, or hides the second one. NaN and infinities count as values, and a key may come twice."""
+    last = F.md5(text.cast("binary"))
+    wrapped = F.concat(F.lit('{"v":['), text, F.lit('],"'), last, F.lit('":[]}'))
+
+    def whole(read: Column) -> Column:
+        return (F.size(read) == 2) & (F.size(F.element_at(read, "v")) == 1) & F.element_at(read, last).isNotNull()
+
+    return text.rlike(_JSON_SHAPE) & F.exists(F.array(F.from_json(wrapped, "map<string,array<string>>", _STRICT)), whole)
 
 
 def parse_tolerant(c: str | Column, schema: T.StructType = ANSWER_SCHEMA, default: dict = UNREADABLE) -> Column:
     """JSON record from free text: the whole text, else the first fenced block, else
     everything between the outermost braces; ``default`` when none of them is one JSON value. Of a
     key that comes twice the last value counts. Values are given as text (``NaN`` as such); single
-    quotes, comments and escapes that JSON does not know are no JSON here either.
+    quotes, comments and escapes that JSON does not know are no JSON here either. A candidate is read only if those before
+    it are none: an answer that is JSON as it stands is read twice, once to see that and once for its fields.
     Give it a column of its own and take fields from there, so that it is parsed once."""
 
-    def candidates(whole: Column) -> Column:
-        return F.array(whole, strip(F.regexp_extract(whole, FENCED, 1)), F.regexp_extract(whole, BRACED, 0))
+    def first(candidate: Column, unlike: Column | None = None) -> Column:
+        def fits(t: Column) -> Column:
+            return _is_json(t) if unlike is None else (t != unlike) & _is_json(t)
+
+        return F.get(F.filter(F.array(candidate), fits), F.lit(0))
+
+    def found(whole: Column) -> Column:
+        fenced = strip(F.regexp_extract(whole, FENCED, 1))
+        return F.coalesce(first(whole), first(fenced), first(F.regexp_extract(whole, BRACED, 0), unlike=whole))
 
     # A one-element array names the stripped text, so that it is computed once.
-    found = F.transform(F.array(strip(c)), lambda w: F.get(F.filter(candidates(w), _is_json), F.lit(0)))
+    text = F.get(F.transform(F.array(strip(c)), found), F.lit(0))
     fallback = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in default.items()]))
-    record = F.from_json(F.coalesce(F.get(found, F.lit(0)), fallback), schema)
+    record = F.from_json(F.coalesce(text, fallback), schema, _STRICT)
     # The reader puts quotes around what is no number when it is asked for text.
     texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,7 +100,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 @dataclass(frozen=True)
 class Delivery:
     """``kind`` is ``"empty"``, ``"inline"`` (``text`` holds tab-separated rows) or
-    ``"file"`` (``path`` holds CSV part files)."""
+    ``"file"`` (``path`` holds CSV part files, which :func:`ordered_files` lists in the order of the rows)."""
 
     kind: str
     rows: int
@@ -107,39 +108,104 @@ class Delivery:
     path: str | None = None
 
 
+#: How CSV files are written and read back without loss.
+CSV = {
+    "header": True,
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+#: Names the part files in the order of their rows; the underscore hides it from readers of the folder.
+ORDER_FILE = "_order.json"
+
+
 def deliver(df: DataFrame, path: str, threshold: int = INLINE_ROWS) -> Delivery:
     """Small results as text, larger ones as distributed CSV. The plan runs once: its rows are
-    written to a staging folder beside ``path`` as Parquet, which keeps every value, and counted; text or CSV files are
-    made from that, in the order of the rows. At most ``threshold`` rows ever reach the driver."""
+    counted while they are written as CSV to a folder beside ``path``, which takes its place when all is through; a failing plan leaves
+    ``path`` as it was. Part files keep the order of the rows, so nothing is sorted: ``_order.json`` lists them. At most
+    ``threshold`` rows ever reach the driver. Arrays, maps and structs become JSON, binary values base64."""
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}_staging-{uuid.uuid4().hex}"
-    place = "_place"
-    while place in df.columns:
-        place = f"_{place}"
-    # Parquet has no type for columns of nothing but nulls.
-    named = [(F.col(f"`{f.name.replace('`', '``')}`"), f) for f in df.schema]
-    columns = [c.cast("string").alias(f.name) if f.dataType == T.NullType() else c for c, f in named]
+    plain = df.select(*[_as_plain(f).alias(f.name) for f in df.schema])
     written = Observation()
     try:
-        (
-            df.select(*columns, F.monotonically_increasing_id().alias(place))
-            .observe(written, F.count(F.lit(1)).alias("rows"))
-            .write.parquet(staging)
-        )
+        plain.observe(written, F.count(F.lit(1)).alias("rows")).write.options(**CSV).csv(staging)
         rows = written.get["rows"]
-        staged = spark.read.parquet(staging).orderBy(place).drop(place)
         if rows > threshold:
-            (
-                staged.write.mode("overwrite")
-                .option("header", True)
-                .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-                .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-                .csv(path)
-            )
+            _write_order(spark, staging, rows)
+            _replace(spark, staging, path)
             return Delivery("file", rows, path=path)
         _delete(spark, path)
         if not rows:
             return Delivery("empty", 0)
-        return Delivery("inline", rows, text=staged.toPandas().to_csv(sep="\t", index=False))
+        return Delivery("inline", rows, text=_inline(spark, staging, plain.schema))
     finally:
         _delete(spark, staging)
+
+
+def ordered_files(spark: SparkSession, path: str) -> list[str]:
+    """The part files of a delivery, in the order of its rows."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{path}/{ORDER_FILE}")
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        names = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["files"]
+    finally:
+        stream.close()
+    return [f"{path}/{name}" for name in names]
+
+
+def _as_plain(field: T.StructField) -> Column:
+    """A column as CSV can hold it."""
+    value = F.col(f"`{field.name.replace('`', '``')}`")
+    if isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        return F.to_json(value)
+    if isinstance(field.dataType, T.BinaryType):
+        return F.base64(value)
+    return value.cast("string") if isinstance(field.dataType, T.NullType) else value
+
+
+def _part_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the part files by the number of the task that wrote them, which is the order of the rows."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
+    names = [f.getPath().getName() for f in files]
+    return sorted((n for n in names if n.startswith("part-")), key=lambda n: (int(n.split("-")[1]), n))
+
+
+def _write_order(spark: SparkSession, path: str, rows: int) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{ORDER_FILE}")
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    stream.write(bytearray(json.dumps({"rows": rows, "files": _part_files(spark, path)}), "utf-8"))
+    stream.close()
+
+
+def _replace(spark: SparkSession, staging: str, path: str) -> None:
+    """The staged folder takes the place of ``path``; what stood there goes last."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, place, old = hadoop_path(staging), hadoop_path(path), hadoop_path(f"{staging}-old")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stood = files.exists(place)
+    if stood and not files.rename(place, old):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(new, place):
+        if stood:
+            files.rename(old, place)
+        raise OSError(f"{staging} cannot take the name {path}")
+    if stood:
+        files.delete(old, True)
+
+
+def _inline(spark: SparkSession, staging: str, schema: T.StructType) -> str:
+    """The staged rows, few as they are, in order. A file with values of several lines is read by one task from its
+    begin, so rows of one file come as they were written."""
+    name = "_file"
+    while name in schema.names:
+        name = f"_{name}"
+    staged = spark.read.schema(schema).options(**CSV).csv(staging)
+    rows = staged.withColumn(name, F.col("_metadata.file_name")).toPandas()
+    place = {n: k for k, n in enumerate(_part_files(spark, staging))}
+    rows = rows.sort_values(name, key=lambda names: names.map(place), kind="stable")
+    return rows.drop(columns=name).to_csv(sep="\t", index=False)

@@ -1,7 +1,9 @@
+import base64
 import csv
 import io
 import os
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +174,24 @@ def test_delivery_keeps_every_value(spark, tmp_path):
     back = spark.read.schema("n int, body string, at timestamp, gap string").csv(path, header=True, multiLine=True)
     assert filed.rows == 30 and sorted(map(tuple, back.collect())) == rows
     assert os.listdir(tmp_path) == ["out"]
+
+
+def test_delivery_keeps_order_and_types_without_a_sort(spark, tmp_path):
+    path = str(tmp_path / "out")
+    values = [(k, Decimal(k) / 8, date(2024, 1, 1 + k % 9), k / 3, " a ", "", None, ["x", None], bytes([k])) for k in range(90)]
+    schema = "n int, d decimal(10,3), at date, share double, edge string, blank string, gap string, list array<string>, raw binary"
+    df = spark.createDataFrame(values, schema).repartition(7).orderBy(F.desc("n"))
+    inline = sinks.deliver(df.where("n < 9"), path)
+    got = list(csv.reader(io.StringIO(inline.text), delimiter="\t"))
+    assert [int(r[0]) for r in got[1:]] == list(range(8, -1, -1))
+    assert [(Decimal(r[1]), float(r[3]), r[4], r[7]) for r in got[1:]] == [(v[1], v[3], " a ", '["x",null]') for v in reversed(values[:9])]
+    filed = sinks.deliver(df, path)
+    rows = [r for name in sinks.ordered_files(spark, path) for r in csv.reader(open(name)) if r[0] != "n"]
+    assert filed.rows == 90 and [int(r[0]) for r in rows] == list(range(89, -1, -1))
+    assert rows[0][-1] == base64.b64encode(bytes([89])).decode()
+    # A failing plan leaves the delivery before it alone; a later one takes its place.
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.deliver(df.select(F.raise_error(F.lit("no")).alias("n")), path)
+    assert spark.read.options(**sinks.CSV).csv(path).count() == 90
+    assert sinks.deliver(df.where("n >= 30"), path).rows == 60
+    assert spark.read.options(**sinks.CSV).csv(path).count() == 60 and os.listdir(tmp_path) == ["out"]

@@ -51,6 +51,14 @@ def test_tolerant_json(spark):
         '{"sql": NaN, "understanding": -Infinity}': "NaN",
         '{"sql": "x"} trailing': "x",
         '{"sql": "x" "y"}': "",
+        "{'sql': 'x'}": "",
+        f"[{good}": "select 1",
+        f'{good}], "x": [{good}': "",
+        f'{good}], "v": [{good}': "",
+        f"{good}]}} {{": "",
+        "null": None,
+        "[]": None,
+        '{"sql": "]}, \\" {["}': ']}, " {[',
     }
     df = spark.createDataFrame(list(enumerate(cases)), "i int, t string")
     got = df.select("i", text.parse_tolerant("t").alias("a")).select("i", "a.sql", "a.output_fields", "a.understanding").orderBy("i").collect()

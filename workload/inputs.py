@@ -93,7 +93,7 @@ TABLES: dict[str, tuple[str, str]] = {
     "allocations": ("'signup'", """
   SELECT uid AS user_id, CASE k % 5 WHEN 0 THEN 'mid_school' WHEN 1 THEN NULL ELSE 'other' END AS clue_source, day
   FROM keyed"""),
-    "produced": ("'view'", "SELECT CASE WHEN k % 2 = 0 THEN uid END AS userid, day FROM keyed"),
+    "produced": ("'view'", "SELECT uid AS userid, day FROM keyed"),
     # One row per user and day.
     "activity": ("'view', 'click', 'signup', 'purchase'", """
   SELECT k.user_id + 1000000 AS user_sk, CAST(k.user_id AS STRING) AS u_user, k.day,

@@ -369,9 +369,13 @@ FROM valued""",
 _WORDS = ", ".join(f"'{w}'" for w in MESSAGE_WORDS)
 _MESSAGES = rf"""
 said AS (
-  SELECT conv_id, turn, FALSE AS is_command, text FROM conversations
+  SELECT conv_id, turn, FALSE AS is_command, 'text' AS message_type, text FROM conversations
   UNION ALL
-  SELECT conv_id, turn, TRUE, list_extract([{_WORDS}], (conv_id + turn) % {len(MESSAGE_WORDS)} + 1) FROM conversations),
+  SELECT conv_id, turn, TRUE, 'text', list_extract([{_WORDS}], (conv_id + turn) % {len(MESSAGE_WORDS)} + 1) FROM conversations
+  UNION ALL
+  SELECT conv_id, turn, FALSE, 'text', '@_user_9 ' FROM conversations
+  UNION ALL
+  SELECT conv_id, turn, FALSE, 'image', text FROM conversations),
 raw AS (
   SELECT conv_id, turn, is_command, CASE turn % 6
            WHEN 0 THEN '@_user_1  ' || text
@@ -379,7 +383,7 @@ raw AS (
            WHEN 2 THEN ' @_user_7 ' || text || '  '
            WHEN 3 THEN '帮我改 ' || text
            ELSE text END AS text
-  FROM said),
+  FROM said WHERE message_type = 'text'),
 messages AS (
   SELECT conv_id, turn, is_command, regexp_replace(regexp_replace(text, '@_user_\d+\s*', '', 'g'), '^\s+|\s+$', '', 'g') AS text
   FROM raw WHERE regexp_matches(regexp_replace(text, '@_user_\d+\s*', '', 'g'), '\S'))"""

@@ -486,12 +486,17 @@ def _messages(spark, sf_dir):
     said = turns.select("conv_id", "turn", "text", F.lit(False).alias("is_command"))
     command = F.element_at(words, ((F.col("conv_id") + F.col("turn")) % len(MESSAGE_WORDS) + 1).cast("int"))
     turns = said.unionByName(said.withColumns({"text": command, "is_command": F.lit(True)}))
+    turns = turns.withColumn("message_type", F.lit("text"))
+    # So are a message that mentions someone and says nothing, and a picture.
+    mention = said.withColumns({"text": F.lit("@_user_9 "), "message_type": F.lit("text")})
+    picture = said.withColumn("message_type", F.lit("image"))
+    turns = turns.unionByName(mention).unionByName(picture)
     spoken = F.col("turn") % 6
     return turns.select(
         "conv_id",
         "turn",
         "is_command",
-        F.lit("text").alias("message_type"),
+        "message_type",
         F.when(spoken == 0, F.concat(F.lit("@_user_1  "), "text"))
         .when(spoken == 1, F.concat(F.lit(" 直接跑： "), "text", F.lit(" @_user_22")))
         .when(spoken == 2, F.concat(F.lit(" @_user_7 "), "text", F.lit("  ")))
