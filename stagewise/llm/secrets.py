@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stagewise.llm.shared import read_table, written
 
@@ -41,6 +42,34 @@ KINDS = ("assign", "access", "hex", "owned")
 WIDE = "[A-Za-z0-9+/_=-]{20,}"
 EXAMPLE_OWNERS = 3
 
+#: Matches of a text whose places are summed at once.
+PIECE = 128
+
+
+def _before(steps: Column) -> Column:
+    """Sums of all numbers before each one, from sums of whole pieces and of what stands before it in its piece, so
+    that a text of very many matches costs a bounded number of additions each. ``steps`` is a name, not a term: it is read often."""
+    pieces = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / PIECE).cast("int"))
+
+    def total(numbers: Column) -> Column:
+        return F.aggregate(numbers, F.lit(0), lambda s, x: s + x)
+
+    def summed(sums: Column) -> Column:
+        return F.transform(sums, lambda _, p: total(F.slice(sums, 1, p)))
+
+    def spread(heads: Column) -> Column:
+        def within(p: Column, head: Column) -> Column:
+            piece = F.slice(steps, p * PIECE + 1, F.lit(PIECE))
+            return F.get(
+                F.transform(F.array(piece), lambda x: F.transform(x, lambda _, i: head + total(F.slice(x, 1, i)))), 0
+            )
+
+        return F.flatten(F.zip_with(pieces, heads, within))
+
+    sums = F.transform(pieces, lambda p: total(F.slice(steps, p * PIECE + 1, F.lit(PIECE))))
+    heads = F.get(F.transform(F.array(sums), summed), 0)
+    return F.get(F.transform(F.array(heads), spread), 0)
+
 
 def _found(text: Column, pattern: str, kind: int, value) -> Column:
     """Array of (a, kind, z, value) of all matches: places come from the lengths of what stands
@@ -50,17 +79,16 @@ def _found(text: Column, pattern: str, kind: int, value) -> Column:
 
     def placed(m: Column) -> Column:
         def spans(gaps: Column) -> Column:
-            def span(x: Column, i: Column) -> Column:
-                before = F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda s, g: s + F.length(g))
-                before += F.aggregate(F.slice(m, 1, i), F.lit(0), lambda s, g: s + F.length(g))
+            # The last gap stands behind the last match.
+            steps = F.zip_with(m, F.slice(gaps, 1, F.size(m)), lambda x, g: F.length(g) + F.length(x))
+
+            def span(x: Column, to: Column) -> Column:
                 return F.struct(
-                    before.alias("a"),
-                    F.lit(kind).alias("kind"),
-                    (before + F.length(x)).alias("z"),
-                    value(x).alias("value"),
+                    (to - F.length(x)).alias("a"), F.lit(kind).alias("kind"), to.alias("z"), value(x).alias("value")
                 )
 
-            return F.transform(m, span)
+            ends = F.transform(F.array(steps), lambda x: F.zip_with(x, _before(x), lambda step, before: before + step))
+            return F.zip_with(m, F.get(ends, 0), span)
 
         return F.when(F.size(m) == 0, empty).otherwise(
             F.get(F.transform(F.array(F.split(text, pattern, -1)), spans), 0)
@@ -94,7 +122,7 @@ def scan_secrets(
     example_owners: int = EXAMPLE_OWNERS,
 ) -> DataFrame:
     """One row per document: its spans (a, kind number, z, value hash, owners, repositories,
-    is_live) in ``found``. ``repository``: SQL for the repository of a row; an owner has many."""
+    is_live) in ``base``, and in ``added`` those that the corpus adds. ``repository``: SQL for the repository of a row; an owner has many."""
     body = F.coalesce(F.col(text), F.lit(""))
     assign = F.filter(
         _found(body, ASSIGN, 0, lambda x: F.regexp_replace(x, ASSIGN_HEAD, "")),
@@ -131,26 +159,29 @@ def scan_secrets(
     ownership = by_owner.groupBy("hash").agg(
         F.count("*").alias("owners"), F.sum("repositories").alias("repositories")
     )
+    judged = held.select("doc_id", "text_mark", "s").distinct().join(ownership, F.col("s.hash") == ownership["hash"])
+    judged = judged.select(F.col("doc_id").alias("judged_id"), F.col("text_mark").alias("judged_mark"), "s", "owners", "repositories")
+    # A base span touches another span if it begins no later and ends behind its begin, or begins inside it.
+    whole = Window.partitionBy("judged_id", "judged_mark")
+    is_base = F.col("s.kind") < 3
+    reached = F.max(F.when(is_base, F.col("s.z"))).over(whole.orderBy(F.col("s.a")))
+    follows = F.min(F.when(is_base, F.col("s.a"))).over(whole.orderBy(F.col("s.a").desc()))
+    touched = F.coalesce(reached > F.col("s.a"), F.lit(False)) | F.coalesce(follows < F.col("s.z"), F.lit(False))
+    is_live = F.col("owners") < example_owners
     place = F.struct(
         F.col("s.a").alias("a"), F.col("s.kind").alias("kind"), F.col("s.z").alias("z"),
-        F.col("s.hash").alias("hash"), "owners", "repositories",
-        (F.col("owners") < example_owners).alias("is_live"),
+        F.col("s.hash").alias("hash"), "owners", "repositories", is_live.alias("is_live"),
     )
     judged = (
-        held.select("doc_id", "text_mark", "s").distinct()
-        .join(ownership, F.col("s.hash") == ownership["hash"])
-        .groupBy(F.col("doc_id").alias("judged_id"), F.col("text_mark").alias("judged_mark"))
-        .agg(F.collect_list(place).alias("found"))
+        judged.withColumns({"is_base": is_base, "is_added": ~is_base & is_live & ~touched, "place": place})
+        .groupBy("judged_id", "judged_mark")
+        .agg(
+            F.collect_list(F.when(F.col("is_base"), F.col("place"))).alias("base"),
+            F.collect_list(F.when(F.col("is_added"), F.col("place"))).alias("added"),
+        )
     )
     same = F.col("doc_id").eqNullSafe(F.col("judged_id")) & (F.col("text_mark") == F.col("judged_mark"))
-    base = F.filter("found", lambda s: s["kind"] < 3)
-    added = F.filter(
-        "found",
-        lambda s: (s["kind"] == 3) & s["is_live"] & ~F.exists(base, lambda b: (b["a"] < s["z"]) & (s["a"] < b["z"])),
-    )
-    return scanned.join(judged, same, "left").select(
-        "doc_id", base.alias("base"), added.alias("added")
-    )
+    return scanned.join(judged, same, "left").select("doc_id", "base", "added")
 
 
 def op4_secrets(spark, sf_dir):

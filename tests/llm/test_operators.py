@@ -197,6 +197,16 @@ def test_secrets_keep_the_base_and_ask_for_owners(spark, awkward, nothing):
     assert secrets.scan_secrets(nothing).count() == 0
 
 
+def test_secrets_of_a_text_with_very_many_matches(spark):
+    body = " ".join(f"token=abcdef{k} {k:024x} Zq9Xw7Er5Ty3Ui1Op8{k:06d}" for k in range(3000))
+    around = f"{'Ab1' * 12} AKIA{'A1' * 10}/{'b2' * 8} {'Cd3' * 9}"  # the second stands beside a base span of its own run
+    df = spark.createDataFrame([(1, body, "a"), (2, around, "b")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secrets.scan_secrets(df).collect()}
+    assert sorted((s.a, s.kind, s.z) for s in got[1].base) == _base_spans(body)
+    assert [body[s.a : s.z] for s in sorted(got[1].added)] == [f"Zq9Xw7Er5Ty3Ui1Op8{k:06d}" for k in range(3000)]
+    assert sorted(around[s.a : s.z] for s in got[2].added) == ["Ab1" * 12, "Cd3" * 9] and len(got[2].base) == 1
+
+
 # --- 5 lattice -----------------------------------------------------------------
 
 def test_lattice_sums_all_segmentations():
