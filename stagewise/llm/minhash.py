@@ -19,6 +19,8 @@ matter, the least id names a component; further columns are not carried.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +37,10 @@ BANDS, ROWS = 32, 4
 DEVIATIONS = 5.5
 #: Members of a bucket that are compared at once where stars do not settle it.
 BLOCK = 1024
+#: Token values a member brings to such a comparison: all of a set up to this size, a sample by value of a larger one.
+DETAIL = 2048
 _SALT = np.uint64(0x5DEECE66D1CE4E5B)
+_DETAIL_SALT = np.uint64(0x2545F4914F6CDD1D)
 
 
 def sketches(owner: np.ndarray, token: np.ndarray, rows: int) -> np.ndarray:
@@ -124,10 +129,8 @@ def similar_components(
     stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     confirmed = _confirmed(rows, nodes, stars, words, percent)
     rooted = components(confirmed)
-    # First each member's likeliest partner, which joins most of them; then every pair that is still apart.
-    for best in (True, False):
-        missed = _missed(shared, nodes, rooted, percent, best)
-        rooted = _merged(rooted, _confirmed(rows, nodes, missed, words, percent))
+    missed = _missed(rows, shared, nodes, rooted, words, percent)
+    rooted = _merged(rooted, _confirmed(rows, nodes, missed, words, percent))
     named = nodes.select("node", "least_id").join(rooted, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
@@ -138,49 +141,123 @@ def similar_components(
     )
 
 
-def _missed(shared: DataFrame, nodes: DataFrame, rooted: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Pairs ``a, b`` of members of one bucket that are in different components and whose sketches agree: what the stars could not
-    see. With ``best`` only the one that agrees most for each member outside of the largest component. Members of such buckets are dealt to blocks; every two blocks of a bucket meet once, as sketches."""
+def _missed(rows: DataFrame, shared: DataFrame, nodes: DataFrame, rooted: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of one bucket that are in different components: what the stars could not
+    see. Members of such buckets are dealt to blocks with the tokens of their sets; every two blocks of a bucket meet once. A pair is compared in
+    the first bucket it shares, and of the links found in a block only those come out that join what is still apart in it."""
     left = shared.where("node <> centre").select("bucket", "node").join(rooted, "node", "left")
     left = left.withColumn("root", F.coalesce("root", "node"))
     mixed = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     mixed = mixed.where("low <> high").select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
-    dealt = left.join(mixed, "bucket").join(nodes.select("node", "n", "sketch"), "node")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts").cast("long")).cast("int"))
+    left = written(left.join(mixed, "bucket"))
+    if left.isEmpty():
+        return left.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    needed = written(nodes.join(left.select("node").distinct(), "node"))
+    stands = needed.select("node", F.col("doc_id").alias("at_id"), F.col("text_mark").alias("at_mark"))
+    details = _texts_of(rows, stands).mapInArrow(partial(_details, words=words, most=DETAIL), "node long, level int, detail binary")
+    details = written(details.dropDuplicates(["node"]))
+    members = needed.select("node", "n", "sketch", "bands").join(details, "node")
+    dealt = left.withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts").cast("long")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    dealt = dealt.select("bucket", "node", "root", "n", "sketch", "part", other).withColumns(
+    dealt = dealt.select("bucket", "node", "root", "part", other).withColumns(
         {"i": F.least("part", "other"), "j": F.greatest("part", "other")}
     )
     least = _least_agreeing(percent)
 
     def meet(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
+        bucket, i, j = (k.as_py() for k in key)
         node, root, n, part = (block[c].to_numpy() for c in ("node", "root", "n", "part"))
         sketch = _fixed(block["sketch"].combine_chunks())
+        bands = block["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        tokens = _Tokens(block["detail"].combine_chunks(), block["level"].to_numpy(), n)
         # The members of the largest component need no comparison with each other.
-        kinds, which, times = np.unique(root, return_inverse=True, return_counts=True)
-        largest = which == np.argmax(times)
+        _, label, times = np.unique(root, return_inverse=True, return_counts=True)
+        largest = label == np.argmax(times)
         pairs = []
         for x in np.flatnonzero(~largest):
-            to = (root != root[x]) & (n * 100 >= n[x] * percent) & (n[x] * 100 >= n * percent)
+            to = (label != label[x]) & (n * 100 >= n[x] * percent) & (n[x] * 100 >= n * percent)
             # Two that are both outside of it meet at the smaller of them only.
             to &= largest | (node > node[x])
-            if key[1].as_py() != key[2].as_py():
+            if i != j:
                 to &= part != part[x]
             to = np.flatnonzero(to)
-            agree = (sketch[to] == sketch[x]).sum(axis=1)
-            to = to[agree >= least] if not best else to[_most(agree, least)]
+            alike = bands[to] == bands[x]
+            to = to[bands[x][np.argmax(alike, axis=1)] == bucket]
+            to = to[(sketch[to] == sketch[x]).sum(axis=1) >= least]
+            if not len(to):
+                continue
+            maybe, sure = tokens.links(x, to, percent)
+            _, one_each = np.unique(label[to[sure]], return_index=True)
+            joined = to[sure][one_each]
+            if len(joined):
+                label[np.isin(label, label[joined])] = label[x]
+            unsure = to[maybe & ~sure]
+            to = np.concatenate([joined, unsure[label[unsure] != label[x]]])
             pairs.append(np.stack([np.minimum(node[to], node[x]), np.maximum(node[to], node[x])]))
         a, b = np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    columns = dealt.select("bucket", "i", "j", "node", "root", "n", "part", "sketch")
+    columns = dealt.join(members, "node").select("bucket", "i", "j", "node", "root", "n", "part", "sketch", "bands", "level", "detail")
     return columns.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
 
 
-def _most(agree: np.ndarray, least: int) -> np.ndarray:
-    """The place of the greatest number, if it reaches ``least``."""
-    at = np.argmax(agree) if len(agree) else 0
-    return np.array([at] if len(agree) and agree[at] >= least else [], np.int64)
+def _details(batches, words: int, most: int):
+    """The sets of texts as 32-bit token values. Of a set of more than ``most`` tokens only values under a power of
+    two that its size names (``level``), so that any two sets can be compared by the values under the lower of both bounds."""
+    for batch in in_chunks(batches, "text"):
+        owner, token = distinct_sets(batch.column("text"), words)
+        size = np.bincount(owner, minlength=batch.num_rows)
+        level = np.ceil(np.log2(np.maximum(size, most) / most)).astype(np.int32)
+        value = (mix(token ^ _DETAIL_SALT) >> np.uint64(32)).astype(np.uint32)
+        keep = value.astype(np.uint64) < (np.uint64(1 << 32) >> level[owner].astype(np.uint64))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=batch.num_rows))])
+        value = value[keep]
+        detail = [value[u:v].tobytes() for u, v in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(level), pa.array(detail, pa.binary())], ["node", "level", "detail"]
+        )
+
+
+class _Tokens:
+    """Token values of the members of a block, to compare one member with many."""
+
+    def __init__(self, detail: pa.Array, level: np.ndarray, n: np.ndarray):
+        _, places, data = detail.buffers()
+        ends = np.frombuffer(places, np.int32)[detail.offset : detail.offset + len(detail) + 1] // 4
+        flat = np.frombuffer(data, np.uint32)[ends[0] : ends[-1]]
+        self.begin, self.size = (ends[:-1] - ends[0]).astype(np.int64), np.diff(ends).astype(np.int64)
+        values, self.value = np.unique(flat, return_inverse=True)
+        self.level, self.n = level, n
+        self.mark = np.zeros(len(values), bool)
+        # Numbers under this one are values under the bound of a level.
+        deepest = int(level.max(initial=0))
+        self.bounds = [len(values), *(int(np.searchsorted(values, np.uint32(1 << (32 - k)))) for k in range(1, deepest + 1))]
+
+    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[which]
+        first = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(first[-1]) + np.repeat(self.begin[which] - first[:-1], size)
+        return self.value[at], np.repeat(np.arange(len(which)), size)
+
+    def links(self, x: int, to: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``to`` may be linked to ``x``, and which surely are. Two values may be equal by chance, so a number of common tokens
+        is too high at most, and surely by no more than one; of samples the share is known to ``DEVIATIONS`` standard deviations."""
+        own = self.value[self.begin[x] : self.begin[x] + self.size[x]]
+        value, which = self._gathered(to)
+        self.mark[own] = True
+        common = np.bincount(which[self.mark[value]], minlength=len(to)).astype(np.int64)
+        self.mark[own] = False
+        level = np.maximum(self.level[to], self.level[x])
+        if not level.any():
+            both = self.n[to] + self.n[x]
+            return common * 100 >= percent * (both - common), (common - 1) * 100 >= percent * (both - common + 1)
+        bound = np.array(self.bounds)[level]
+        here = np.searchsorted(np.sort(own), bound)
+        there = np.bincount(which[value < bound[which]], minlength=len(to))
+        union = np.maximum(here + there - common, 1)
+        slack = np.where(level > 0, DEVIATIONS * np.sqrt(percent * (100 - percent) / union), 0)
+        share = 100 * common / union
+        return share >= percent - slack, (share - slack >= percent) & (common - 1 >= percent * (union + 1) / 100)
 
 
 def _merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
@@ -217,16 +294,7 @@ def _confirmed(rows, nodes, pairs, words: int, percent: int) -> DataFrame:
     # Texts of the nodes that any candidate needs, once; from there on only those move.
     needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     stands = nodes.join(needed, "node").select("node", F.col("doc_id").alias("at_id"), F.col("text_mark").alias("at_mark"))
-    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
-
-    def once(batches):
-        seen = set()  # rows equal in id and text stand for one node; a task needs it once
-        for batch in in_chunks(batches, "text"):
-            ids = batch.column("node").to_pylist()
-            fresh = [k for k, node in enumerate(ids) if node not in seen and not seen.add(node)]
-            yield batch.take(pa.array(fresh, pa.int64()))
-
-    held = written(rows.join(stands, same).select("node", "text").mapInArrow(once, "node long, text string"))
+    held = written(_texts_of(rows, stands))
     both = likely.join(held.withColumnRenamed("node", "b"), "b").join(held.select(F.col("node").alias("a"), F.col("text").alias("centre")), "a")
 
     def confirmed(batches):
@@ -246,6 +314,20 @@ def _confirmed(rows, nodes, pairs, words: int, percent: int) -> DataFrame:
     return written(both.select("a", "b", "text", "centre").mapInArrow(confirmed, "a long, b long"))
 
 
+def _texts_of(rows: DataFrame, stands: DataFrame) -> DataFrame:
+    """``node, text`` of the nodes in ``stands``, which names a row of each by ``at_id, at_mark``."""
+    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
+
+    def once(batches):
+        seen = set()  # rows equal in id and text stand for one node; a task needs it once
+        for batch in in_chunks(batches, "text"):
+            ids = batch.column("node").to_pylist()
+            fresh = [k for k, node in enumerate(ids) if node not in seen and not seen.add(node)]
+            yield batch.take(pa.array(fresh, pa.int64()))
+
+    return rows.join(stands, same).select("node", "text").mapInArrow(once, "node long, text string")
+
+
 def _fixed(column: pa.Array) -> np.ndarray:
     """Sketches of equal length as a matrix."""
     _, _, data = column.buffers()

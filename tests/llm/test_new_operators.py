@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -68,9 +69,10 @@ def families():
     return rows
 
 
-@pytest.mark.parametrize("block", [1024, 5])
-def test_minhash_groups_equal_brute_force(spark, families, monkeypatch, block):
+@pytest.mark.parametrize("block, detail", [(1024, 2048), (5, 2048), (1024, 16)])
+def test_minhash_groups_equal_brute_force(spark, families, monkeypatch, block, detail):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "DETAIL", detail)
     docs = spark.createDataFrame(families, DOCS).repartition(3)
     found = minhash.similar_components(docs, words=4, percent=80)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
@@ -93,6 +95,22 @@ def test_sketch_agreement_is_the_similarity():
         assert abs(np.mean(agree) - exact) < 0.06
 
 
+def test_token_values_tell_links_from_others():
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 2**32, 4000)
+    for size, own in ((40, 5), (3000, 300), (3000, 600)):
+        rows = [np.unique(np.concatenate([common[:size], rng.integers(0, 2**32, own)])).astype(np.uint32) for _ in range(5)]
+        bound = 1 << 30 if size > 2000 else 1 << 32  # two levels of a sample
+        detail = pa.array([r[r < bound].tobytes() for r in rows], pa.binary())
+        level = np.full(5, 2 if size > 2000 else 0, np.int32)
+        tokens = minhash._Tokens(detail, level, np.array([len(r) for r in rows]))
+        maybe, sure = tokens.links(0, np.arange(1, 5), 80)
+        share = [len(np.intersect1d(rows[0], r)) / len(np.union1d(rows[0], r)) for r in rows[1:]]
+        assert all(maybe[np.array(share) >= 0.8]) and not any(sure[np.array(share) < 0.8])
+        if not level.any():
+            assert list(maybe) == [x >= 0.8 for x in share]
+
+
 def test_minhash_awkward_rows(spark):
     same = "these are the very same words in every row"
     rows = [(1, same), (1, same), (None, same), (2, None), (None, None), (3, "x " * 50_000), (4, "x " * 50_000)]
