@@ -129,8 +129,8 @@ def similar_components(
     stars = shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     confirmed = _confirmed(rows, nodes, stars, words, percent)
     rooted = components(confirmed)
-    missed = _missed(rows, shared, nodes, rooted, words, percent)
-    rooted = _merged(rooted, _confirmed(rows, nodes, missed, words, percent))
+    missed, held = _missed(rows, shared, nodes, rooted, words, percent)
+    rooted = _merged(rooted, _confirmed(rows, nodes, missed, words, percent, held))
     named = nodes.select("node", "least_id").join(rooted, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
@@ -141,20 +141,22 @@ def similar_components(
     )
 
 
-def _missed(rows: DataFrame, shared: DataFrame, nodes: DataFrame, rooted: DataFrame, words: int, percent: int) -> DataFrame:
+def _missed(
+    rows: DataFrame, shared: DataFrame, nodes: DataFrame, rooted: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, DataFrame | None]:
     """Links ``a, b`` between members of one bucket that are in different components: what the stars could not
     see. Members of such buckets are dealt to blocks with the tokens of their sets; every two blocks of a bucket meet once. A pair is compared in
-    the first bucket it shares, and of the links found in a block only those come out that join what is still apart in it."""
+    the first bucket it shares, and of the links found in a block only those come out that join what is still apart in it. Also the texts of all these members."""
     left = shared.where("node <> centre").select("bucket", "node").join(rooted, "node", "left")
     left = left.withColumn("root", F.coalesce("root", "node"))
     mixed = left.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     mixed = mixed.where("low <> high").select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     left = written(left.join(mixed, "bucket"))
     if left.isEmpty():
-        return left.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        return left.select(F.col("node").alias("a"), F.col("node").alias("b")), None
     needed = written(nodes.join(left.select("node").distinct(), "node"))
-    stands = needed.select("node", F.col("doc_id").alias("at_id"), F.col("text_mark").alias("at_mark"))
-    details = _texts_of(rows, stands).mapInArrow(partial(_details, words=words, most=DETAIL), "node long, level int, detail binary")
+    held = _texts_of(rows, needed)
+    details = held.mapInArrow(partial(_details, words=words, most=DETAIL), "node long, level int, detail binary")
     details = written(details.dropDuplicates(["node"]))
     members = needed.select("node", "n", "sketch", "bands").join(details, "node")
     dealt = left.withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts").cast("long")).cast("int"))
@@ -198,7 +200,7 @@ def _missed(rows: DataFrame, shared: DataFrame, nodes: DataFrame, rooted: DataFr
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     columns = dealt.join(members, "node").select("bucket", "i", "j", "node", "root", "n", "part", "sketch", "bands", "level", "detail")
-    return columns.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+    return columns.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct(), held
 
 
 def _details(batches, words: int, most: int):
@@ -273,8 +275,9 @@ def _merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
     return written(every.join(moved, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
 
 
-def _confirmed(rows, nodes, pairs, words: int, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` (``a`` the centre) whose full sets are similar enough."""
+def _confirmed(rows, nodes, pairs, words: int, percent: int, held: DataFrame | None = None) -> DataFrame:
+    """Those of the pairs ``a, b`` (``a`` the centre) whose full sets are similar enough; ``held`` are the texts of their nodes, if they
+    have been gathered already."""
     side = nodes.select("node", "n", "sketch")
     fits = (F.col("n_a") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("n_a") * percent)
     sized = pairs.join(side.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")), "a")
@@ -291,10 +294,8 @@ def _confirmed(rows, nodes, pairs, words: int, percent: int) -> DataFrame:
     likely = written(sized.mapInArrow(agreeing, "a long, b long"))
     if likely.isEmpty():
         return likely
-    # Texts of the nodes that any candidate needs, once; from there on only those move.
-    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    stands = nodes.join(needed, "node").select("node", F.col("doc_id").alias("at_id"), F.col("text_mark").alias("at_mark"))
-    held = written(_texts_of(rows, stands))
+    if held is None:  # texts of the nodes that any candidate needs, once; from there on only those move
+        held = _texts_of(rows, nodes.join(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"))
     both = likely.join(held.withColumnRenamed("node", "b"), "b").join(held.select(F.col("node").alias("a"), F.col("text").alias("centre")), "a")
 
     def confirmed(batches):
@@ -314,8 +315,10 @@ def _confirmed(rows, nodes, pairs, words: int, percent: int) -> DataFrame:
     return written(both.select("a", "b", "text", "centre").mapInArrow(confirmed, "a long, b long"))
 
 
-def _texts_of(rows: DataFrame, stands: DataFrame) -> DataFrame:
-    """``node, text`` of the nodes in ``stands``, which names a row of each by ``at_id, at_mark``."""
+def _texts_of(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """``node, text`` of the nodes in ``needed``. The rows that stand for them are written first, so that their size is known
+    when the texts are joined: while it is small, texts stay where they are."""
+    stands = written(needed.select("node", F.col("doc_id").alias("at_id"), F.col("text_mark").alias("at_mark")))
     same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
 
     def once(batches):
@@ -325,7 +328,7 @@ def _texts_of(rows: DataFrame, stands: DataFrame) -> DataFrame:
             fresh = [k for k, node in enumerate(ids) if node not in seen and not seen.add(node)]
             yield batch.take(pa.array(fresh, pa.int64()))
 
-    return rows.join(stands, same).select("node", "text").mapInArrow(once, "node long, text string")
+    return written(rows.join(stands, same).select("node", "text").mapInArrow(once, "node long, text string"))
 
 
 def _fixed(column: pa.Array) -> np.ndarray:
