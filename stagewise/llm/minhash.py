@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from stagewise.llm.components import components
 from stagewise.llm.jaccard import distinct_sets, set_marks_of
+from stagewise.llm.repeats import among
 from stagewise.llm.shared import in_chunks, mix, read_table, written
 
 BIN_BITS = 7
@@ -316,9 +317,10 @@ def _confirmed(rows, nodes, pairs, words: int, percent: int, held: DataFrame | N
 
 
 def _texts_of(rows: DataFrame, needed: DataFrame) -> DataFrame:
-    """``node, text`` of the nodes in ``needed``. The rows that stand for them are written first, so that their size is known
-    when the texts are joined: while it is small, texts stay where they are."""
+    """``node, text`` of the nodes in ``needed``. The rows that stand for them are written first, and only texts that may be of
+    such a row are dealt."""
     stands = written(needed.select("node", F.col("doc_id").alias("at_id"), F.col("text_mark").alias("at_mark")))
+    rows, bitmap = among(rows, F.xxhash64("doc_id", "text_mark"), stands.select(F.xxhash64("at_id", "at_mark")))
     same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
 
     def once(batches):
@@ -328,7 +330,9 @@ def _texts_of(rows: DataFrame, needed: DataFrame) -> DataFrame:
             fresh = [k for k, node in enumerate(ids) if node not in seen and not seen.add(node)]
             yield batch.take(pa.array(fresh, pa.int64()))
 
-    return written(rows.join(stands, same).select("node", "text").mapInArrow(once, "node long, text string"))
+    held = written(rows.join(stands, same).select("node", "text").mapInArrow(once, "node long, text string"))
+    bitmap.destroy()
+    return held
 
 
 def _fixed(column: pa.Array) -> np.ndarray:

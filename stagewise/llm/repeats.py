@@ -1,4 +1,4 @@
-"""Which hashes more than one document holds: a bitmap of bounded size, gathered from packed lists."""
+"""Bitmaps of bounded size: which hashes more than one document holds, which rows a later join needs."""
 
 from __future__ import annotations
 
@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from stagewise.llm.shared import in_chunks, ship_code
+from stagewise.llm.shared import free_names, in_chunks, ship_code
 
 #: Text behind one list of hashes; the number of lists follows the input.
 BUCKET_BYTES = 16 << 20
 #: The bitmap has 2**28 bits at most (32 MB).
 MOST_BITS = 28
+#: Bits of the bitmap that one row brings to the driver, as Spark's function for it has them.
+CELL_BITS = 15
 #: Hashes that a task gathers before it sends them on.
 GATHER = 1_000_000
 
@@ -107,3 +111,32 @@ def repeated_bitmap(
 def in_bitmap(hashes: np.ndarray, bits: int, cells: np.ndarray) -> np.ndarray:
     spot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     return (cells[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8)) & 1 > 0
+
+
+def among(rows: DataFrame, key: Column, wanted: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """The rows whose ``key``, a 64-bit hash, may be in the one column of ``wanted``: none that is gets lost, one in 16 of the
+    others passes (more once ``wanted`` outgrows the bitmap). So rows that a later join has no use for are not moved. Also the
+    bitmap, to be destroyed when these rows have been written.
+    """
+    spark = rows.sparkSession
+    ship_code(spark)
+    bits = min(MOST_BITS, max(CELL_BITS, wanted.count().bit_length() + 4))
+    spot = F.shiftrightunsigned(F.col(wanted.columns[0]), 64 - bits)
+    spots = wanted.select(F.shiftright(spot, CELL_BITS).alias("cell"), spot.bitwiseAND((1 << CELL_BITS) - 1).alias("bit"))
+    # Dealt before they are gathered: a number per wanted row moves, not a bitmap per task.
+    cells = spots.repartition("cell").groupBy("cell").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bitmap = np.zeros((1 << bits) // 8, np.uint8)
+    size = (1 << CELL_BITS) // 8
+    for cell, found in cells.toLocalIterator():  # 4 KB a row, 32 MB in all
+        bitmap[cell * size : (cell + 1) * size] = np.frombuffer(bytes(found), np.uint8)
+    shipped = spark.sparkContext.broadcast(bitmap.tobytes())
+    (name,) = free_names(rows, "at_key")
+
+    def pick(batches):
+        held = np.frombuffer(shipped.value, np.uint8)
+        for batch in batches:
+            spot = (batch.column(name).to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            kept = (held[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
+            yield batch.filter(pa.array(kept)).drop_columns([name])
+
+    return rows.withColumn(name, key).mapInArrow(pick, rows.schema), shipped

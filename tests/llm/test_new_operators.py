@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stagewise.llm import align, lattice, minhash, repair
 from stagewise.llm.registry import QUERIES
+from stagewise.llm.repeats import among
 from tests.llm.brute_align import align as align_brute
 from tests.llm.brute_repair import damage_and_repair
 
@@ -242,3 +243,14 @@ def test_a_head_that_does_not_fit_is_still_a_head(spark):
     assert rows_of(whole, columns) == rows_of(small, columns)
     scores = [sorted((r.doc_id, round(r.score, 9), round(r.base_score, 9)) for r in df.collect()) for df in (whole, small)]
     assert scores[0] == scores[1]
+
+
+def test_rows_that_a_join_needs_are_never_lost(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("id"), F.lit("x").alias("at_key"))
+    for wanted in (rows.where("id % 7 = 0"), rows.where("id IS NULL"), rows.where("id < 0")):
+        picked, bitmap = among(rows, F.xxhash64("id"), wanted.select(F.xxhash64("id")))
+        assert picked.columns == rows.columns
+        assert wanted.exceptAll(picked).isEmpty()
+        least = wanted.count()
+        assert picked.count() <= least + (20_000 - least) / 8
+        bitmap.destroy()
