@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.llm.components import components
-from stagewise.llm.repeats import in_bitmap, repeated_bitmap
+from stagewise.llm.repeats import among, in_bitmap, repeated_bitmap
 from stagewise.llm.shared import BLANK, Rolling, Words, flat_text, free_names, in_chunks, mix, read_table, written
 
 #: Cells in which frequent tokens are noticed; a cell is sent on if a task finds it so much
@@ -161,6 +161,7 @@ def similar_components(
             f"doc_id {kind}, text_mark long, n long, lone long, m1 long, m2 long, prefix array<long>, after array<int>",
         ).withColumn("node", F.xxhash64("n", "m1", "m2"))
     )
+    table.destroy()  # 32 MB of the driver and of every executor
     # Equal sets are one node; any of its rows stands for it.
     filled = sets.where("n > 0")
     nodes = filled.groupBy("node").agg(
@@ -189,10 +190,11 @@ def similar_components(
     grouped = written(active.groupBy("node").agg(F.min(named).getField("token").alias("group"), F.max("n").alias("n"), F.max("lone").alias("lone")))
 
     # Token sets of the active nodes, from their texts.
-    stands = nodes.join(grouped, "node").select(
+    stands = written(nodes.join(grouped, "node").select(
         "node", "group", F.col("row.doc_id").alias("at_id"), F.col("row.text_mark").alias("at_mark")
-    )
-    texts = rows.join(
+    ))
+    needed, bitmap = among(rows, F.xxhash64("doc_id", "text_mark"), stands.select(F.xxhash64("at_id", "at_mark")))
+    texts = needed.join(
         stands, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
     ).select("node", "group", "text")
 
@@ -210,6 +212,7 @@ def similar_components(
     members = written(
         texts.mapInArrow(token_sets, "node long, group long, tokens array<long>")
     )
+    bitmap.destroy()
 
     # The middle of a family of copies has the fewest tokens of its own.
     drawn = [F.struct("lone", F.xxhash64(F.col("node"), F.lit(k)), "node", "n") for k in range(HUBS)]
