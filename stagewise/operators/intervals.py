@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.functions.columns import col, names, overlaps
+from stagewise.operators.joins import shuffled
 from stagewise.operators.rank import latest_by
 
 CELL_SECONDS = 900
@@ -82,11 +83,11 @@ def latest_covering(
     populated = points.where(known).select(*keys, own.alias("_own")).distinct()
     located = populated.withColumn("_in", F.explode(levels)).select(*keys, "_own", "_in._level", "_in._cell")
     held = (
-        located.join(covers, [*keys, "_level", "_cell"])
+        located.join(shuffled(covers), [*keys, "_level", "_cell"])
         .groupBy(*keys, "_own")
         .agg(F.max("_whole").alias("_whole"), F.flatten(F.collect_list("_edges")).alias("_edges"))
     )
-    joined = points.withColumns({"_own": F.when(known, own), "_at": micros(at)}).join(held, [*keys, "_own"], "left")
+    joined = points.withColumns({"_own": F.when(known, own), "_at": micros(at)}).join(shuffled(held), [*keys, "_own"], "left")
     inside = F.filter("_edges", lambda e: F.col("_at").between(e["_lo"], e["_hi"]))
     found = F.greatest("_whole", F.array_max(F.transform(inside, lambda e: e["_best"])))
     joined = joined.withColumn("_found", found)

@@ -1,4 +1,5 @@
-"""Join shapes of the funnels. No join hints: sizes are Spark's to measure."""
+"""Join shapes of the funnels. The only join hint is :func:`shuffled`, for sides that grow with the data;
+the sizes of dimensions are Spark's to measure."""
 
 from __future__ import annotations
 
@@ -10,6 +11,12 @@ from pyspark.sql import functions as F
 from stagewise.functions.columns import names
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data: it meets the other side by an exchange. Before a job runs, Spark takes
+    a table for as large as its compressed files, and what it takes for small is collected whole on the driver."""
+    return side.hint("merge")
+
+
 def enrich(base: DataFrame, other: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
     """Left join that keeps every base row. ``on`` may map base to other names;
     the other side's key columns are dropped in that case."""
@@ -38,7 +45,7 @@ def funnel_join(stages: list[DataFrame], keys: list[dict[str, str]]) -> DataFram
     for stage, on in zip(reversed(stages[:-1]), reversed(keys)):
         temporary = {f"_on_{r}": F.col(r) for r in on.values()}
         right = result.withColumns(temporary).drop(*[r for r in on.values() if r in on])
-        result = stage.join(right, _equal(on), "left").drop(*temporary)
+        result = stage.join(shuffled(right), _equal(on), "left").drop(*temporary)
     return result
 
 
@@ -68,7 +75,7 @@ def split_left_join(
     any other left row goes to one part and stays alone. Each input is read once.
     """
     keys = parts.select(*[F.col(r).alias(f"_on_{r}") for r in on.values()], "_parts")
-    known = left.join(keys, _equal(on), "left").drop(*[f"_on_{r}" for r in on.values()])
+    known = left.join(shuffled(keys), _equal(on), "left").drop(*[f"_on_{r}" for r in on.values()])
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     dealt = known.withColumn("_part", F.explode(copies))
     number = F.pmod(F.xxhash64(*spread), F.col("_parts").cast("long")).cast("int")
@@ -77,7 +84,7 @@ def split_left_join(
         *[r for r in on.values() if r in left.columns]
     )
     numbered = numbered.withColumn("_met", F.lit(True))
-    joined = dealt.join(numbered, _equal({**on, "_part": "_part"}), "left")
+    joined = dealt.join(shuffled(numbered), _equal({**on, "_part": "_part"}), "left")
     kept = joined.where(F.col("_parts").isNull() | F.col("_met"))
     return kept.drop("_parts", "_part", "_met", "_on__part", *[f"_on_{r}" for r in on.values()])
 

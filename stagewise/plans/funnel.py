@@ -30,7 +30,7 @@ from stagewise.functions.dates import (
 )
 from stagewise.operators.convert import MONTH_END, conversions, total_orders
 from stagewise.operators.intervals import latest_covering
-from stagewise.operators.joins import ROWS_PER_PART, enrich, funnel_join, parts_of, split_left_join
+from stagewise.operators.joins import ROWS_PER_PART, enrich, funnel_join, parts_of, shuffled, split_left_join
 from stagewise.operators.rank import first_by, latest_by
 from stagewise.operators.rollup import collapse_max, distinct_keys
 from stagewise.sources.scans import eligible_orders, scan_days, scan_events
@@ -272,7 +272,7 @@ def _daily_contacts(tables: FunnelTables, start: int, end: int, contacts: DataFr
         & (F.col("channel_id") == F.col("_channel"))
     )
     kept = ["_day", "_channel", "get_wechat_user", "n_added"]
-    added = contacts.where(is_text("external_user_id")).join(entered, same)
+    added = contacts.where(is_text("external_user_id")).join(shuffled(entered), same)
     added = added.select(*kept, F.col("user_id").alias("add_wechat_user"), "worker_id", "external_user_id")
     alone = entered.where("n_added = 0").select(*kept)
     reached = added.unionByName(alone, allowMissingColumns=True)
@@ -287,13 +287,13 @@ def _daily_contacts(tables: FunnelTables, start: int, end: int, contacts: DataFr
         "worker_id": "_worker",
     }
     parts = parts_of(pulled, list(on.values()))
-    pulled = pulled.join(parts, list(on.values()))
+    pulled = pulled.join(shuffled(parts), list(on.values()))
     reached = split_left_join(reached, pulled, on, parts, ["info_uuid"])
     paid = conversions(
         eligible_orders(tables.orders), "user_id", "pay_time", "amount", start, end, DAILY_WINDOWS
     ).withColumnsRenamed({"user_id": "pull_wechat_user", "day": "_day"})
     paid_columns = [c for c in paid.columns if c.startswith("paid_")]
-    reached = reached.join(paid, ["pull_wechat_user", "_day"], "left")
+    reached = reached.join(shuffled(paid), ["pull_wechat_user", "_day"], "left")
     return reached.select(
         F.col("_day").alias("day"), F.col("_channel").alias("channel_id"), *CONTACT_COLUMNS, *paid_columns
     )
@@ -410,7 +410,7 @@ def daily_funnel(tables: FunnelTables, start: int, end: int | None = None) -> Da
     """
     end = start if end is None else end
     exposed = daily_exposures(tables, start, end)
-    known = exposed.join(daily_users(tables, start, end), ["u_user", "day"], "left")
+    known = exposed.join(shuffled(daily_users(tables, start, end)), ["u_user", "day"], "left")
     clicked, on = _clicked(distinct_keys(clicks(tables.events, start, end), ["day", *ENTRANCE]), ["day"])
     reached = funnel_join([known, clicked], [on])
     contacts, entered = contact_keys(tables, start, end)
@@ -420,7 +420,7 @@ def daily_funnel(tables: FunnelTables, start: int, end: int | None = None) -> Da
         "_parts", F.greatest(F.ceil(F.col("n_added") / ROWS_PER_PART), F.lit(1)).cast("int")
     ).drop("n_added")
     contacted = contacted.withColumnsRenamed({"day": "_contact_day", "channel_id": "_contact_channel"})
-    contacted = contacted.join(parts, list(names_.values()))
+    contacted = contacted.join(shuffled(parts), list(names_.values()))
     on = {"click_entrance_user": "get_wechat_user", "_click_task_id": "_contact_channel", "_click_day": "_contact_day"}
     reached = split_left_join(reached, contacted, on, parts, ["add_wechat_user", "info_uuid"])
     return _finish(reached, daily_channels(tables, start, end), ["day"]).select(*DAILY_COLUMNS, "day")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stagewise.operators.joins import shuffled
 from stagewise.plans.funnel import FunnelTables
 from stagewise.plans.pool import PaidPoolTables
 
@@ -156,6 +157,7 @@ PLAIN_TABLES = {
 }
 
 GIVEN = ("region", "nation", "customer", "supplier", "events")
+GROWING = ("customer",)  # given tables that TABLES join and that grow with the data
 
 
 def table_sql(name: str, words: dict[str, str], bounds: str = "") -> str:
@@ -173,17 +175,21 @@ def checker_tables(*names: str) -> str:
 
 
 class _Words(dict):
-    """Spark's words; a given table becomes a view over its files when it is first named."""
+    """Spark's words; a given table becomes a view over its files when it is first named. Joins shuffle those in ``growing``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, growing: tuple[str, ...] = ()):
         super().__init__(SPARK)
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.growing = spark, sf_dir, growing
 
     def __missing__(self, table: str) -> str:
         if table not in GIVEN:
             raise KeyError(table)
-        self[table] = f"given_{table}"
-        self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").createOrReplaceTempView(self[table])
+        given = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        if table in self.growing:
+            self[table], given = f"growing_{table}", shuffled(given)
+        else:
+            self[table] = f"given_{table}"
+        given.createOrReplaceTempView(self[table])
         return self[table]
 
 
@@ -191,7 +197,8 @@ class Inputs:
     """Derived tables as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.words = spark, _Words(spark, sf_dir)
+        # A hint passes through an aggregate: a small table made of a growing one must not carry it.
+        self.spark, self.words, self.plain = spark, _Words(spark, sf_dir, GROWING), _Words(spark, sf_dir)
 
     def load(self, name: str, days: tuple[int, int] | None = None) -> DataFrame:
         """``days`` bounds the time column of the files, as a day partition would."""
@@ -199,7 +206,7 @@ class Inputs:
         if days is not None:
             lo, hi = (f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}" for d in days)
             bounds = f"AND ts >= '{lo} 00:00:00' AND ts <= '{hi} 23:59:59.999999'"
-        return self.spark.sql(table_sql(name, self.words, bounds))
+        return self.spark.sql(table_sql(name, self.plain if name in PLAIN_TABLES else self.words, bounds))
 
 
 def funnel_tables(spark: SparkSession, sf_dir: str, days: tuple[int, int]) -> FunnelTables:
