@@ -33,6 +33,7 @@ def made(tmp_path_factory):
     ("name", "dimensions"),
     [
         ("backfill_funnel", 5),  # nation, region, teams, grades, channels of a day
+        ("interval_at_event", 0),
     ],
 )
 def test_only_dimensions_are_broadcast(spark, made, plan_of, name, dimensions):
