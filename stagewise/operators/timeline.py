@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagewise.functions.columns import names
+from stagewise.operators.joins import shuffled
 
 
 #: Minutes in a day, days in a key's history, instants in a minute: what one task orders. Where a key can hold very many
@@ -59,7 +60,7 @@ def _sums_before(
     outside = _sums_before(larger, keys, measures, pieces[:-1], later_first).withColumnRenamed("_fine", "_coarse")
     outside = outside.withColumnsRenamed({f"_before_{m}": f"_out_{m}" for m in measures})
     total = [(F.col(f"_before_{m}") + F.col(f"_out_{m}")).alias(f"_before_{m}") for m in measures]
-    return inside.join(outside, [*keys, "_coarse"]).select(*keys, "_fine", *total, *[f"_all_{m}" for m in measures])
+    return inside.join(shuffled(outside), [*keys, "_coarse"]).select(*keys, "_fine", *total, *[f"_all_{m}" for m in measures])
 
 
 def _with_later(instants: DataFrame, keys: list[str], ts: str, pieces: tuple[str, ...], more: list[str]) -> DataFrame:
@@ -69,7 +70,7 @@ def _with_later(instants: DataFrame, keys: list[str], ts: str, pieces: tuple[str
     inside = Window.partitionBy(*keys, "_fine").orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
     running = instants.withColumns({f"_running_{m}": F.sum(m).over(inside) for m in ["_total", *more]})
     # The number of later rows is never negative; asking for it keeps both sides on one exchange.
-    joined = running.join(later.where("_before__ties >= 0"), [*keys, "_fine"])
+    joined = running.join(shuffled(later.where("_before__ties >= 0")), [*keys, "_fine"])
     return joined.withColumn("_after", F.coalesce(F.col("_running__total") + F.col("_before__total"), F.col("_before__total")))
 
 
