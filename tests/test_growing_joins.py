@@ -35,6 +35,7 @@ def made(tmp_path_factory):
         ("backfill_funnel", 5),  # nation, region, teams, grades, channels of a day
         ("interval_at_event", 0),
         ("paid_amount_by_user", 0),
+        ("suffix_sum", 0),
     ],
 )
 def test_only_dimensions_are_broadcast(spark, made, plan_of, name, dimensions):
