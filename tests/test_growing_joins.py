@@ -36,6 +36,7 @@ def made(tmp_path_factory):
         ("interval_at_event", 0),
         ("paid_amount_by_user", 0),
         ("suffix_sum", 0),
+        ("suffix_sum_without_ties", 0),
     ],
 )
 def test_only_dimensions_are_broadcast(spark, made, plan_of, name, dimensions):
