@@ -13,8 +13,9 @@ from stagewise.functions.columns import names
 
 def shuffled(side: DataFrame) -> DataFrame:
     """A side of a join that grows with the data: it meets the other side by an exchange. Before a job runs, Spark takes
-    a table for as large as its compressed files, and what it takes for small is collected whole on the driver."""
-    return side.hint("merge")
+    a table for as large as its compressed files, and what it takes for small is collected whole on the driver. Each task
+    holds one partition of the side, so its rows must be one or few per key, or dealt by a part number."""
+    return side.hint("shuffle_hash")
 
 
 def enrich(base: DataFrame, other: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:

@@ -258,7 +258,7 @@ def contact_keys(tables: FunnelTables, start: int, end: int) -> tuple[DataFrame,
 def daily_contacts(tables: FunnelTables, start: int, end: int) -> DataFrame:
     """Got the code -> added the worker -> pulled into the pool, per day, with the
     orders of the pulled user. Columns: day, channel_id, CONTACT_COLUMNS, paid_*."""
-    return _daily_contacts(tables, start, end, *contact_keys(tables, start, end))
+    return _daily_contacts(tables, start, end, *contact_keys(tables, start, end)).drop("n_added")
 
 
 def _daily_contacts(tables: FunnelTables, start: int, end: int, contacts: DataFrame, entered: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _daily_contacts(tables: FunnelTables, start: int, end: int, contacts: DataFr
     paid_columns = [c for c in paid.columns if c.startswith("paid_")]
     reached = reached.join(shuffled(paid), ["pull_wechat_user", "_day"], "left")
     return reached.select(
-        F.col("_day").alias("day"), F.col("_channel").alias("channel_id"), *CONTACT_COLUMNS, *paid_columns
+        F.col("_day").alias("day"), F.col("_channel").alias("channel_id"), *CONTACT_COLUMNS, *paid_columns, "n_added"
     )
 
 
@@ -414,13 +414,12 @@ def daily_funnel(tables: FunnelTables, start: int, end: int | None = None) -> Da
     clicked, on = _clicked(distinct_keys(clicks(tables.events, start, end), ["day", *ENTRANCE]), ["day"])
     reached = funnel_join([known, clicked], [on])
     contacts, entered = contact_keys(tables, start, end)
+    added_parts = F.greatest(F.ceil(F.col("n_added") / ROWS_PER_PART), F.lit(1)).cast("int")
     contacted = _with_payers(_daily_contacts(tables, start, end, contacts, entered), DAILY_WINDOWS)
+    contacted = contacted.withColumn("_parts", added_parts).drop("n_added")
     names_ = {"day": "_contact_day", "user_id": "get_wechat_user", "channel_id": "_contact_channel"}
-    parts = entered.withColumnsRenamed(names_).withColumn(
-        "_parts", F.greatest(F.ceil(F.col("n_added") / ROWS_PER_PART), F.lit(1)).cast("int")
-    ).drop("n_added")
+    parts = entered.withColumnsRenamed(names_).withColumn("_parts", added_parts).drop("n_added")
     contacted = contacted.withColumnsRenamed({"day": "_contact_day", "channel_id": "_contact_channel"})
-    contacted = contacted.join(shuffled(parts), list(names_.values()))
     on = {"click_entrance_user": "get_wechat_user", "_click_task_id": "_contact_channel", "_click_day": "_contact_day"}
     reached = split_left_join(reached, contacted, on, parts, ["add_wechat_user", "info_uuid"])
     return _finish(reached, daily_channels(tables, start, end), ["day"]).select(*DAILY_COLUMNS, "day")
