@@ -7,8 +7,10 @@ active; each active node belongs to one group, named by the least such token, so
 Inside a group all members of fitting size are compared with a few hubs (members with the fewest tokens of their own);
 those over the threshold hang on their hub and need no comparison with each other. Members are then stored in blocks of one hub and bounded size, each with
 the union of its tokens. The token-group matrix (token, block) tells which blocks a node's prefix reaches; blocks of
-the node's own hub are left out. The node's overlap with the block's union bounds its overlap with any member, and
-only blocks that pass are opened, their members counted exactly. Links make components by alternating stars.
+the node's own hub are left out. Parity sketches, about a bit per token, tell which hubs, and which members of the blocks that it
+reaches, a node may be similar to; texts and token sets of the others are not moved. The node's overlap with the block's union
+bounds its overlap with any member, and only blocks that pass are opened, their members counted exactly. Links make
+components by alternating stars.
 
 Everything is exact up to equal 64-bit hashes of different shingles; the frequency order of tokens is a
 hint only. Groups of any size are split: hub comparisons are a join, blocks and query blocks are bounded in tokens.
@@ -21,6 +23,7 @@ ties do not matter, since the least id names a component; further columns of the
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.llm.components import components
+from stagewise.llm.parity import may_be_similar, may_meet, sketches
 from stagewise.llm.repeats import among, in_bitmap, repeated_bitmap
 from stagewise.llm.shared import BLANK, Rolling, Words, flat_text, free_names, in_chunks, mix, read_table, written
 
@@ -148,8 +152,9 @@ def similar_components(
                     pa.array(marks[0].view(np.int64)), pa.array(marks[1].view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(taken.view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(after, pa.int32())),
+                    sketches(token, first, np.diff(ends) > 0),
                 ],
-                ["doc_id", "text_mark", "n", "lone", "m1", "m2", "prefix", "after"],
+                ["doc_id", "text_mark", "n", "lone", "m1", "m2", "prefix", "after", "sketch"],
             )
 
     rows = docs.select(
@@ -158,7 +163,7 @@ def similar_components(
     sets = written(
         rows.mapInArrow(
             prefixes,
-            f"doc_id {kind}, text_mark long, n long, lone long, m1 long, m2 long, prefix array<long>, after array<int>",
+            f"doc_id {kind}, text_mark long, n long, lone long, m1 long, m2 long, prefix array<long>, after array<int>, sketch binary",
         ).withColumn("node", F.xxhash64("n", "m1", "m2"))
     )
     table.destroy()  # 32 MB of the driver and of every executor
@@ -189,14 +194,8 @@ def similar_components(
     named = F.struct(F.xxhash64("token"), "token")
     grouped = written(active.groupBy("node").agg(F.min(named).getField("token").alias("group"), F.max("n").alias("n"), F.max("lone").alias("lone")))
 
-    # Token sets of the active nodes, from their texts.
-    stands = written(nodes.join(grouped, "node").select(
-        "node", "group", F.col("row.doc_id").alias("at_id"), F.col("row.text_mark").alias("at_mark")
-    ))
-    needed, bitmap = among(rows, F.xxhash64("doc_id", "text_mark"), stands.select(F.xxhash64("at_id", "at_mark")))
-    texts = needed.join(
-        stands, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
-    ).select("node", "group", "text")
+    drawn_up = filled.where(F.size("prefix") > 0).select("node", "sketch").dropDuplicates(["node"])
+    drawn_up = written(drawn_up.join(grouped.select("node"), "node"))
 
     def token_sets(batches):
         seen = set()  # rows equal in id and text stand for one node; a task needs it once
@@ -207,12 +206,20 @@ def similar_components(
             owner, token = distinct_sets(batch.column("text"), words)
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("group"), tokens], ["node", "group", "tokens"])
-
-    members = written(
-        texts.mapInArrow(token_sets, "node long, group long, tokens array<long>")
-    )
-    bitmap.destroy()
+            yield pa.RecordBatch.from_arrays([batch.column("node"), tokens], ["node", "tokens"])
+
+    def members_of(wanted: DataFrame) -> DataFrame:
+        """Token sets of the nodes in the one column of ``wanted``, from their texts."""
+        stands = written(nodes.join(wanted.distinct(), "node").select(
+            "node", F.col("row.doc_id").alias("at_id"), F.col("row.text_mark").alias("at_mark")
+        ))
+        needed, bitmap = among(rows, F.xxhash64("doc_id", "text_mark"), stands.select(F.xxhash64("at_id", "at_mark")))
+        texts = needed.join(
+            stands, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
+        ).select("node", "text")
+        members = written(texts.mapInArrow(token_sets, "node long, tokens array<long>"))
+        bitmap.destroy()
+        return members
 
     # The middle of a family of copies has the fewest tokens of its own.
     drawn = [F.struct("lone", F.xxhash64(F.col("node"), F.lit(k)), "node", "n") for k in range(HUBS)]
@@ -221,7 +228,20 @@ def similar_components(
     hubs = hubs.select(F.col("group").alias("of"), F.explode(listed).alias("h"))
     fits = (F.col("n") * 100 >= F.col("h.n") * percent) & (F.col("h.n") * 100 >= F.col("n") * percent)
     to_ask = grouped.join(hubs, (F.col("group") == F.col("of")) & (F.col("node") != F.col("h.node")) & fits)
-    to_ask = to_ask.select("node", F.col("h.node").alias("hub"))
+    to_ask = to_ask.select("node", F.col("h.node").alias("hub"), (F.col("n") + F.col("h.n")).alias("sizes"))
+
+    def may_hang(batches):
+        for batch in batches:
+            near = may_be_similar(batch.column("sketch"), batch.column("hub_sketch"), batch.column("sizes").to_numpy(), percent)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], ["node", "hub"]).filter(pa.array(near))
+
+    to_try = written(
+        to_ask.join(drawn_up, "node")
+        .join(drawn_up.select(F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
+        .select("node", "hub", "sizes", "sketch", "hub_sketch")
+        .mapInArrow(may_hang, "node long, hub long")
+    )
+    members = members_of(to_try.select("node").unionByName(to_try.select(F.col("hub").alias("node"))))
     hub_sets = members.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
 
     def against_hubs(batches):
@@ -233,7 +253,7 @@ def similar_components(
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], ["node", "hub"]).filter(pa.array(link))
 
     to_hubs = written(
-        to_ask.join(members.select("node", "tokens"), "node")
+        to_try.join(members, "node")
         .join(hub_sets, "hub")
         .select("node", "hub", "tokens", "hub_tokens")
         .mapInArrow(against_hubs, "node long, hub long")
@@ -290,29 +310,26 @@ def similar_components(
         .distinct()
     )
     pairs = written(pairs)
-    asked = pairs.groupBy("block").agg(F.ceil(F.sum("n") / QUERY_TOKENS).cast("int").alias("parts"))
-    queries = (
-        pairs.join(asked, "block")
-        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
-        .join(members.select("node", "tokens"), "node")
-        .select("block", "part", "node", "tokens")
-    )
-    stored = (
-        blocked.select("node", "block")
-        .join(asked, "block")
-        .join(members.select("node", "tokens"), "node")
-        .select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "tokens")
-        .toDF("to_block", "to_part", "held", "held_tokens")
-    )
+
+    def fitting(asking: pa.Table, held: pa.Table) -> pa.Table:
+        if not asking.num_rows or not held.num_rows:
+            return pa.table({"block": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "asks": pa.array([], pa.bool_())})
+        asks, holds = may_meet(asking, held, percent)
+        asking, held = asking.filter(pa.array(asks)), held.filter(pa.array(holds))
+        return pa.table({
+            "block": pa.chunked_array([*asking["block"].chunks, *held["to_block"].chunks], pa.int64()),
+            "node": pa.chunked_array([*asking["node"].chunks, *held["held"].chunks], pa.int64()),
+            "n": pa.chunked_array([*asking["n"].chunks, *held["held_n"].chunks], pa.int64()),
+            "asks": pa.array(np.arange(asking.num_rows + held.num_rows) < asking.num_rows),
+        })
 
     def opened(asking: pa.Table, held: pa.Table) -> pa.Table:
         return _open_block(asking, held, percent)
 
-    found = (
-        queries.groupBy("block", "part")
-        .cogroup(stored.groupBy("to_block", "to_part"))
-        .applyInArrow(opened, "a long, b long")
-    )
+    # What a block holds meets each part of the nodes that ask it.
+    fit = written(_met(pairs, blocked, drawn_up, fitting, "block long, node long, n long, asks boolean").distinct())
+    members = members_of(fit.select("node"))
+    found = _met(fit.where("asks"), fit.where("NOT asks"), members, opened, "a long, b long")
     links = to_hubs.select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(found)
     rooted = components(links)
     named = nodes.join(rooted, "node", "left").select(
@@ -327,6 +344,27 @@ def similar_components(
     )
 
 
+def _met(pairs: DataFrame, held: DataFrame, sets: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``run`` on the nodes of ``pairs`` that ask a block, in parts of bounded tokens, and on those of ``held`` in it, each with
+    what ``sets`` has of the node."""
+    (what,) = (c for c in sets.columns if c != "node")
+    asked = pairs.groupBy("block").agg(F.ceil(F.sum("n") / QUERY_TOKENS).cast("int").alias("parts"))
+    queries = (
+        pairs.join(asked, "block")
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
+        .join(sets, "node")
+        .select("block", "part", "node", "n", what)
+    )
+    stored = (
+        held.select("node", "n", "block")
+        .join(asked, "block")
+        .join(sets, "node")
+        .select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "n", what)
+        .toDF("to_block", "to_part", "held", "held_n", f"held_{what}")
+    )
+    return queries.groupBy("block", "part").cogroup(stored.groupBy("to_block", "to_part")).applyInArrow(run, schema)
+
+
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stagewise.llm import decontaminate, fingerprint, jaccard, language, lattice, lines, mixing, secrets, suffixes, toxicity
+from stagewise.llm import decontaminate, fingerprint, jaccard, language, lattice, lines, mixing, parity, secrets, suffixes, toxicity
 from stagewise.llm.components import components
 from stagewise.llm.registry import ORACLE_SQL, QUERIES
 from tests.check_oracle import compare, connect
@@ -419,6 +419,55 @@ def test_small_blocks_and_queries_change_nothing(families, monkeypatch):
     assert got == _components(rows, 3, 90)
 
 
+def test_sets_of_nodes_that_only_share_rare_tokens_are_not_moved(spark, monkeypatch):
+    """Neighbours in a ring share a passage but are not similar; only the two near copies need their token sets."""
+    rows = [(k, " ".join([f"own{k}x{j}" for j in range(5)] + [f"link{m}y{j}" for m in (k, (k + 1) % 60) for j in range(40)])) for k in range(60)]
+    near = [f"near{j}" for j in range(80)]
+    rows += [(1000, " ".join(near)), (1001, " ".join(near + ["more"]))]
+    tables, write = [], jaccard.written
+
+    def kept(df):
+        tables.append(write(df))
+        return tables[-1]
+
+    monkeypatch.setattr(jaccard, "written", kept)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_components(docs, words=3, percent=90).collect()}
+    assert got == _components(rows, 3, 90)
+    assert next(t for t in tables if "group" in t.columns).count() > 40  # nearly all of them are active
+    assert sum(t.count() for t in tables if "tokens" in t.columns) <= 2
+
+
+@pytest.mark.parametrize("percent", [1, 50, 80, 90, 100])
+def test_parity_sketches_pass_all_similar_pairs(percent):
+    draw = np.random.default_rng(percent)
+    sets = [draw.integers(0, 2**64, n, np.uint64) for n in (1, 2, 3, 60, 64, 65, 128, 129, 500, 3000)]
+    sets += [np.concatenate([s[: max(1, round(len(s) * part))], draw.integers(0, 2**64, round(len(s) * more), np.uint64)]) for s in sets for part, more in ((1, 0.05), (0.95, 0.02), (0.9, 0.3), (0.6, 0.1))]
+    sets = [np.unique(s) for s in sets]
+    first = np.cumsum([0, *map(len, sets)])
+    wanted = np.arange(len(sets)) != 4
+    packed = parity.sketches(np.concatenate(sets), first, wanted)
+    assert [len(x) * 8 >= len(s) for x, s in zip(packed.to_pylist(), sets, strict=True)] == list(wanted)
+    pairs = [(a, b) for a in np.flatnonzero(wanted) for b in np.flatnonzero(wanted)]
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in pairs])
+    sizes = np.array([len(sets[a]) + len(sets[b]) for a, b in pairs])
+    passed = parity.may_be_similar(packed.take([a for a, _ in pairs]), packed.take([b for _, b in pairs]), sizes, percent)
+    similar = both * 100 >= percent * (sizes - both)
+    assert similar.any() and not (similar & ~passed).any()
+    if percent >= 80:  # of sets of fitting size without a common member none passes
+        close = np.array([min(len(sets[a]), len(sets[b])) * 100 >= percent * max(len(sets[a]), len(sets[b])) for a, b in pairs])
+        assert (far := (both == 0) & close & (sizes > 100)).any() and not passed[far].any()
+    nodes = pa.array(np.flatnonzero(wanted))
+    n, drawn = pa.array(np.diff(first)[wanted]), packed.filter(pa.array(wanted))
+    asks, holds = parity.may_meet(
+        pa.table({"node": nodes, "n": n, "sketch": drawn}), pa.table({"held": nodes, "held_n": n, "held_sketch": drawn}), percent
+    )
+    others = {a for (a, b), fits in zip(pairs, passed, strict=True) if fits and a != b}
+    met = {a for (a, b), fits in zip(pairs, similar, strict=True) if fits and a != b}
+    for found in (asks, holds):
+        assert met <= set(nodes.to_numpy()[found]) <= others
+
+
 def test_one_of_each_group_stays(awkward, nothing):
     kept = jaccard.keep_one_each(awkward, words=3, percent=80)
     ids = sorted((r.doc_id for r in kept.collect()), key=repr)
