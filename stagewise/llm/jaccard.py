@@ -214,8 +214,9 @@ def similar_components(
             "node", F.col("row.doc_id").alias("at_id"), F.col("row.text_mark").alias("at_mark")
         ))
         needed, bitmap = among(rows, F.xxhash64("doc_id", "text_mark"), stands.select(F.xxhash64("at_id", "at_mark")))
+        # Dealt even if few: in one stage, both steps would keep two Python workers a core.
         texts = needed.join(
-            stands, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
+            stands.hint("merge"), F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_mark") == F.col("at_mark"))
         ).select("node", "text")
         members = written(texts.mapInArrow(token_sets, "node long, tokens array<long>"))
         bitmap.destroy()
